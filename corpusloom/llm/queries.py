@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import chunking, doi_dedup, packing
+from corpusloom.llm import chunking, doi_dedup, packing, pairs
 from corpusloom.session import table
 
 
+def p1_found(spark: SparkSession, root: str) -> DataFrame:
+    return pairs.broken_pairs(table(spark, root, "sft_examples"))
+
+
 def p2_packed_samples(spark: SparkSession, root: str) -> DataFrame:
     return packing.packed_samples(table(spark, root, "sft_tokens"))
 
@@ -34,6 +38,7 @@ def p5_records(spark: SparkSession, root: str) -> DataFrame:
 
 
 QUERIES = {
+    "p1_found": p1_found,
     "p2_packed_samples": p2_packed_samples,
     "p2_places": p2_places,
     "p4_found": p4_found,
