@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import chunking, doi_dedup, packing, pairs
+from corpusloom.llm import chunking, doi_dedup, leakage, packing, pairs
 from corpusloom.session import table
 
 
@@ -37,6 +37,14 @@ def p5_records(spark: SparkSession, root: str) -> DataFrame:
     return doi_dedup.records(table(spark, root, "doi_counts"), doi_dedup.doi_key(F.col("doi")), "row_id")
 
 
+def p6_leaks(spark: SparkSession, root: str) -> DataFrame:
+    return leakage.leaked_items(table(spark, root, "documents"), table(spark, root, "eval_items"))
+
+
+def p6_found(spark: SparkSession, root: str) -> DataFrame:
+    return p6_leaks(spark, root).select("doc_id", "item_id")
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p2_packed_samples": p2_packed_samples,
@@ -45,6 +53,8 @@ QUERIES = {
     "p4_pieces": p4_pieces,
     "p5_found": p5_found,
     "p5_records": p5_records,
+    "p6_found": p6_found,
+    "p6_leaks": p6_leaks,
 }
 
 SQL = {
