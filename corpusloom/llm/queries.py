@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import chunking, doi_dedup, leakage, packing, pairs
+from corpusloom.llm import chunking, doi_dedup, leakage, packing, pairs, quality
 from corpusloom.session import table
 
 
@@ -45,6 +45,15 @@ def p6_found(spark: SparkSession, root: str) -> DataFrame:
     return p6_leaks(spark, root).select("doc_id", "item_id")
 
 
+def p8_statistics(spark: SparkSession, root: str) -> DataFrame:
+    documents = table(spark, root, "documents")
+    return quality.document_quality(documents, quality.train(documents))
+
+
+def p8_found(spark: SparkSession, root: str) -> DataFrame:
+    return p8_statistics(spark, root).where("kind <> 'prose'").select("doc_id", "kind")
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p2_packed_samples": p2_packed_samples,
@@ -55,6 +64,8 @@ QUERIES = {
     "p5_records": p5_records,
     "p6_found": p6_found,
     "p6_leaks": p6_leaks,
+    "p8_found": p8_found,
+    "p8_statistics": p8_statistics,
 }
 
 SQL = {
