@@ -28,8 +28,7 @@ def weak_labels(f: np.ndarray) -> np.ndarray:
     steps = (c["mark_share"] >= 0.3) & (c["words_per_line"] <= 8) & (c["sentence_end_share"] >= 0.6)
     entries = (c["n_lines"] >= 4) & ((c["words_per_line"] <= 5) | steps | (marked & (c["words_per_line"] <= 24) & ((c["common_share"] < 0.2) | (c["words_per_line"] <= 7)))) & (c["cell_share"] < 0.4)
     entries &= (c["prose_share"] < 0.65) | (c["common_share"] < 0.2) | steps | (marked & (c["words_per_line"] <= 7))
-    entries &= c["paragraph_share"] < 0.4
-    is_list = some & (entries | (options & (c["n_lines"] >= 3))) & ~junk & ~table
+    is_list = some & (entries | (options & (c["n_lines"] >= 3))) & (c["paragraph_share"] < 0.4) & ~junk & ~table
     sentences = (c["common_share"] >= 0.18) & (c["prose_share"] >= 0.7) | (c["common_share"] >= 0.22) & (c["prose_share"] >= 0.6)
     prose = some & sentences & (c["words_per_line"] >= 6) & (c["symbol_ratio"] < 0.18) & (c["broken_ratio"] < 0.005) & ~repeated & ~is_list & ~table & ~junk
     votes = np.stack([prose, is_list, table, junk])
