@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import chunking, doi_dedup, leakage, packing, pairs, quality
+from corpusloom.llm import chunking, doi_dedup, leakage, mixing, packing, pairs, quality
 from corpusloom.session import table
 
 
@@ -45,6 +45,14 @@ def p6_found(spark: SparkSession, root: str) -> DataFrame:
     return p6_leaks(spark, root).select("doc_id", "item_id")
 
 
+def p7_selected(spark: SparkSession, root: str) -> DataFrame:
+    return mixing.mixed(table(spark, root, "documents"), table(spark, root, "mix_targets"))[0]
+
+
+def p7_shares(spark: SparkSession, root: str) -> DataFrame:
+    return mixing.mixed(table(spark, root, "documents"), table(spark, root, "mix_targets"))[1]
+
+
 def p8_statistics(spark: SparkSession, root: str) -> DataFrame:
     documents = table(spark, root, "documents")
     return quality.document_quality(documents, quality.train(documents))
@@ -64,6 +72,8 @@ QUERIES = {
     "p5_records": p5_records,
     "p6_found": p6_found,
     "p6_leaks": p6_leaks,
+    "p7_selected": p7_selected,
+    "p7_shares": p7_shares,
     "p8_found": p8_found,
     "p8_statistics": p8_statistics,
 }
