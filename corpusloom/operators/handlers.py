@@ -185,9 +185,8 @@ def pairwise(row: Row, o: Options) -> list[Tokens]:
         return []
     out: Tokens = {}
     for name, answer in zip(("chosen", "rejected"), both, strict=False):
-        pairs = T.encoded_pairs(t, [*prompt, answer], row.get("system"), row.get("tools"), o.tokenizer)
-        before = [i for a, b in pairs[:-1] for i in a + b] + pairs[-1][0]
-        said = pairs[-1][1] + ([o.tokenizer.eos] if t.efficient_eos else [])
+        before, said = T.encoded_last(t, [*prompt, answer], row.get("system"), row.get("tools"), o.tokenizer)
+        said = said + ([o.tokenizer.eos] if t.efficient_eos else [])
         out[f"{name}_input_ids"], out[f"{name}_labels"] = before + said, [IGNORE] * len(before) + said
     return [out]
 

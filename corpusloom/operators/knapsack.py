@@ -2,22 +2,27 @@
 
 The greedy rule takes the longest sample left that fits, so its result depends on how many samples there are of each length and
 on nothing else. The plan is made from that histogram, of at most as many rows as the length; samples join their slots
-by (length, rank among equals). Batches, if any, are packed apart.
+by (length, rank among equals). Batches, if any, are packed apart, each in one task.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_right
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from corpusloom.functions.arrays import IGNORE, inferred_lengths, prompt_runs
+from corpusloom.session import checkpointed, shuffle_width
 
 
-def greedy(histogram: dict[int, int], capacity: int) -> list[list[int]]:
-    """Lengths of each pack in the order they go in: the longest that fits, again and again."""
+def greedy_runs(histogram: dict[int, int], capacity: int) -> list[tuple[list[tuple[int, int]], int]]:
+    """Packs as (pattern, how often it recurs); a pattern lists (length, number) from the longest down.
+
+    A pattern recurs until one of its lengths runs short, so there are about as many as there are lengths.
+    """
     left = {n: c for n, c in histogram.items() if c > 0}
     if left and max(left) > capacity:
         raise ValueError("a sample is longer than a pack")
@@ -25,51 +30,80 @@ def greedy(histogram: dict[int, int], capacity: int) -> list[list[int]]:
         raise ValueError("a sample has no tokens")
     lengths, out = sorted(left), []
     while lengths:
-        room, pack = capacity, []
-        while (i := bisect_right(lengths, room) - 1) >= 0:
+        room, pattern, end = capacity, [], len(lengths)
+        while (i := bisect_right(lengths, room, 0, end) - 1) >= 0:
             n = lengths[i]
             take = min(left[n], room // n)
-            pack += [n] * take
-            room -= take * n
-            left[n] -= take
-            if not left[n]:
-                lengths.pop(i)
-            if not lengths:
-                break
-        out.append(pack)
+            pattern.append((n, take))
+            room, end = room - take * n, i
+        often = min(left[n] // take for n, take in pattern)
+        for n, take in pattern:
+            left[n] -= take * often
+        lengths = [n for n in lengths if left[n]]
+        out.append((pattern, often))
+    return out
+
+
+def greedy(histogram: dict[int, int], capacity: int) -> list[list[int]]:
+    """Lengths of each pack in the order they go in: the longest that fits, again and again."""
+    return [[n for n, take in pattern for _ in range(take)] for pattern, often in greedy_runs(histogram, capacity) for _ in range(often)]
+
+
+_SEGMENT = "struct<first:bigint,last:bigint,pack:bigint,slot:int,each:int,at:int>"
+
+
+def _segments(histogram: dict[int, int], capacity: int) -> dict[int, list[tuple[int, int, int, int, int, int]]]:
+    """For each length the ranks [first, last) that go, ``each`` to a pack, into packs from ``pack`` at ``slot`` and token ``at``."""
+    out: dict[int, list] = {}
+    seen: dict[int, int] = {}
+    pack = 0
+    for pattern, often in greedy_runs(histogram, capacity):
+        slot = at = 0
+        for n, take in pattern:
+            first = seen.get(n, 0)
+            seen[n] = first + take * often
+            out.setdefault(n, []).append((first, seen[n], pack, slot, take, at))
+            slot, at = slot + take, at + take * n
+        pack += often
     return out
 
 
-def slots(samples: DataFrame, length: str, order: str, capacity: int, batch: str | None = None) -> DataFrame:
-    """``samples`` with ``pack`` and ``slot``; of equal lengths the last in ``order`` goes first. Lengths lie in 1..capacity.
+def slots(samples: DataFrame, length: str, order: str, capacity: int) -> DataFrame:
+    """``samples`` with ``pack``, ``slot`` and ``at``; of equal lengths the last in ``order`` goes first. Lengths lie in 1..capacity.
 
-    A length that a large share of samples has is ranked in buckets of ``order`` first, so no task ranks it alone.
+    A length that a large share of samples has is ranked in ranges of ``order``, so no task ranks it alone. What is broadcast
+    has at most a row for each length.
     """
     spark = samples.sparkSession
-    b = F.col(batch) if batch else F.lit(0)
-    counts = samples.groupBy(b.alias("b"), F.col(length).alias("n")).agg(F.count("*").alias("c")).collect()
-    plans: dict = {}
-    for r in counts:
-        plans.setdefault(r["b"], {})[r["n"]] = r["c"]
-    rows = []
-    for k, histogram in plans.items():
-        seen: dict[int, int] = {}
-        for pack, lengths in enumerate(greedy(histogram, capacity)):
-            at = 0
-            for slot, n in enumerate(lengths):
-                seen[n] = seen.get(n, 0) + 1
-                rows.append((k, n, seen[n], pack, slot, at))
-                at += n
-    kind = samples.schema[batch].dataType.simpleString() if batch else "int"
-    plan = spark.createDataFrame(rows, f"_b {kind}, _n int, _rank bigint, pack bigint, slot int, at int")
-    bucket = F.pmod(F.xxhash64(order), F.lit(256))
-    keyed = samples.withColumn("_b", b).withColumn("_n", F.col(length).cast("int")).withColumn("_h", bucket)
-    sizes = keyed.groupBy("_b", "_n", "_h").agg(F.count("*").alias("_c"))
-    before = Window.partitionBy("_b", "_n").orderBy("_h").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_b", "_n", "_h", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_o"))
-    own = F.row_number().over(Window.partitionBy("_b", "_n", "_h").orderBy(F.desc(order)))
-    ranked = keyed.withColumn("_r", own).join(offsets, ["_b", "_n", "_h"]).withColumn("_rank", F.col("_r") + F.col("_o"))
-    return ranked.join(plan, ["_b", "_n", "_rank"]).drop("_b", "_n", "_h", "_r", "_o", "_rank")
+    histogram = {r["n"]: r["c"] for r in samples.groupBy(F.col(length).cast("int").alias("n")).agg(F.count("*").alias("c")).collect()}
+    plan = F.broadcast(spark.createDataFrame([(n, v) for n, v in _segments(histogram, capacity).items()], f"_n int, _s array<{_SEGMENT}>"))
+    parted = checkpointed(samples.withColumn("_n", F.col(length).cast("int")).repartitionByRange(shuffle_width(spark), "_n", F.desc(order)).withColumn("_p", F.spark_partition_id()))
+    sizes = parted.groupBy("_n", "_p").agg(F.count("*").alias("_c"))
+    before = Window.partitionBy("_n").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_n", "_p", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_o"))
+    own = F.row_number().over(Window.partitionBy("_n", "_p").orderBy(F.desc(order))) - 1
+    ranked = parted.withColumn("_r", own).join(offsets, ["_n", "_p"]).withColumn("_r", F.col("_r") + F.col("_o"))
+    found = ranked.join(plan, "_n").withColumn("_g", F.element_at(F.filter("_s", lambda g: (g["first"] <= F.col("_r")) & (F.col("_r") < g["last"])), 1))
+    k, each = F.col("_r") - F.col("_g.first"), F.col("_g.each")
+    return found.withColumns({"pack": F.col("_g.pack") + F.floor(k / each), "slot": (F.col("_g.slot") + k % each).cast("int"), "at": (F.col("_g.at") + k % each * F.col("_n")).cast("int")}).drop("_n", "_p", "_o", "_r", "_s", "_g")
+
+
+def batch_slots(samples: DataFrame, length: str, order: str, capacity: int, batch: str) -> DataFrame:
+    """(batch, order, pack, slot): as ``slots``, each batch of a bounded number of samples by itself."""
+    kinds = {f.name: f.dataType.simpleString() for f in samples.schema}
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values([length, order], ascending=[True, False], ignore_index=True)
+        rank = frame.groupby(length).cumcount()
+        plan = _segments(frame[length].value_counts().to_dict(), capacity)
+        packs, places = [], []
+        for n, r in zip(frame[length], rank, strict=True):
+            g = next(g for g in plan[n] if g[0] <= r < g[1])
+            packs.append(g[2] + (r - g[0]) // g[4])
+            places.append(g[3] + (r - g[0]) % g[4])
+        return pd.DataFrame({batch: frame[batch], order: frame[order], "pack": packs, "slot": places})
+
+    return samples.select(batch, order, length).groupBy(batch).applyInPandas(run, f"`{batch}` {kinds[batch]}, `{order}` {kinds[order]}, pack bigint, slot int")
 
 
 def packed(samples: DataFrame, sample_id: str, length: int, pad: int, neat: bool = False, extra: int = 0, batch: str | None = None, with_positions: bool = False) -> DataFrame:
@@ -84,7 +118,9 @@ def packed(samples: DataFrame, sample_id: str, length: int, pad: int, neat: bool
     if neat and not extra:
         fit = fit.withColumn("input_ids", F.slice("input_ids", 1, capacity)).withColumn("labels", F.slice("labels", 1, capacity))
     fit = fit.withColumn("_len", F.size("input_ids")).where(F.col("_len") <= capacity)
-    placed = slots(fit.select(sample_id, "input_ids", "labels", "_len", *([batch] if batch else [])), "_len", sample_id, capacity, batch)
+    sizes = fit.select(sample_id, "_len", *([batch] if batch else []))
+    where = batch_slots(sizes, "_len", sample_id, capacity, batch) if batch else slots(sizes, "_len", sample_id, capacity)
+    placed = fit.join(where.drop("_len", "at"), [sample_id, *([batch] if batch else [])])
     keys = [*([batch] if batch else []), "pack"]
     parts = F.sort_array(F.collect_list(F.struct("slot", "input_ids", "labels")))
     rows = placed.groupBy(*keys).agg(parts.alias("p"))

@@ -44,7 +44,8 @@ class Template:
     cut: str = "share"
     system_in_user: bool = False
     thought: tuple[str, str] = ("<think>\n", "\n</think>\n\n")
-    thinking: bool | None = None
+    reasoning: bool = False
+    thinking: bool = True
     separates: bool = True
 
 
@@ -106,11 +107,7 @@ def elements(t: Template, turns: list[tuple[str, str]], system: str | None, tool
         slot = {USER: t.user, ASSISTANT: t.assistant, OBSERVATION: t.observation, FUNCTION: t.function}.get(role)
         if slot is None:
             raise ValueError(f"unexpected role {role!r}")
-        if t.thinking is not None and role == ASSISTANT and i < len(turns) - 1:
-            content = without_thought(content, t)
-        elif t.thinking is not None and role == ASSISTANT and t.thought[0] not in content:
-            content = "".join(t.thought) + content
-        out.append(pieces + filled(slot, content=content, idx=str(i // 2)))
+        out.append(pieces + (function_slots(t, content) if role == FUNCTION else filled(slot, content=content, idx=str(i // 2))))
     return out
 
 
@@ -155,7 +152,15 @@ def inferred_lengths(source: int, target: int, room: int) -> tuple[int, int]:
 
 def encoded_pairs(t: Template, turns: list[tuple[str, str]], system: str | None, tools: str | None, tokenizer: Tokenizer, cutoff: int = 1_000_000, least: int = 1) -> list[tuple[list[int], list[int]]]:
     """(prompt ids, answer ids) of each exchange, as many as fit into ``cutoff`` tokens."""
+    if t.reasoning and not t.thinking:
+        turns = [(r, without_thought(c, t) if i % 2 else c) for i, (r, c) in enumerate(turns)]
     ids = [ids_of(p, tokenizer) for p in elements(t, turns, system, tools)]
+    if t.reasoning:
+        # an answer without a thought gets an empty one, which trains only where thinking is on
+        empty = tokenizer.encode("".join(t.thought))
+        for i in range(1, len(turns), 2):
+            if not any(w in turns[i][1] for w in t.thought):
+                ids[i - (not t.thinking)] = empty + ids[i] if t.thinking else ids[i - 1] + empty
     room = cutoff - (least if t.cut == "longer" else 0)
     out, used = [], 0
     for a, b in zip(ids[::2], ids[1::2], strict=True):
@@ -168,29 +173,25 @@ def encoded_pairs(t: Template, turns: list[tuple[str, str]], system: str | None,
     return out
 
 
-def _chat(begin: str, end: str, **more) -> Template:
-    """A family of templates: a header of the role before the content, an end mark behind it."""
-    slot = lambda role: (f"{begin}{role}\n{{{{content}}}}{end}\n",)
-    return Template(user=(f"{begin}user\n{{{{content}}}}{end}\n{begin}assistant\n",), assistant=(f"{{{{content}}}}{end}\n",), system=slot("system"), observation=(f"{begin}tool\n{{{{content}}}}{end}\n{begin}assistant\n",), **more)
+def _registry() -> dict[str, Template]:
+    from corpusloom.operators.template_values import TEMPLATES
 
+    return {name: _built(**spec) for name, spec in TEMPLATES.items()}
 
-_ALPACA_HEAD = "### Instruction:\n{{content}}\n\n### Response:\n"
 
-REGISTRY: dict[str, Template] = {
-    "empty": Template(),
-    "bytes": Template(user=(Mark("user"), "{{content}}", Mark("assistant")), assistant=("{{content}}", Mark("eos")), system=(Mark("system"), "{{content}}"), prefix=(Mark("bos"),), cut="longer"),
-    "default": Template(user=("Human: {{content}}\nAssistant:",), assistant=("{{content}}", Mark("eos")), system=("{{content}}\n",), separator=("\n",)),
-    "alpaca": Template(user=(_ALPACA_HEAD,), assistant=("{{content}}", Mark("eos")), system=("{{content}}\n\n",), separator=("\n\n",), default_system="Below is an instruction that describes a task. Write a response that appropriately completes the request."),
-    "chatml": _chat("<|im_start|>", "<|im_end|>", stop_words=("<|im_end|>",), replace_eos=True),
-    "qwen": _chat("<|im_start|>", "<|im_end|>", stop_words=("<|im_end|>",), default_system="You are a helpful assistant.", replace_eos=True),
-    "qwen3": _chat("<|im_start|>", "<|im_end|>", stop_words=("<|im_end|>",), replace_eos=True, thinking=True, cut="longer"),
-    "llama2": Template(user=(Mark("bos"), "[INST] {{content}} [/INST]"), assistant=("{{content}}", Mark("eos")), system=("<<SYS>>\n{{content}}\n<</SYS>>\n\n",), system_in_user=True),
-    "llama3": Template(user=("<|start_header_id|>user<|end_header_id|>\n\n{{content}}<|eot_id|><|start_header_id|>assistant<|end_header_id|>\n\n",), assistant=("{{content}}<|eot_id|>",), system=("<|start_header_id|>system<|end_header_id|>\n\n{{content}}<|eot_id|>",), prefix=(Mark("bos"),), stop_words=("<|eot_id|>",), replace_eos=True),
-    "mistral": Template(user=("[INST] {{content}} [/INST]",), assistant=(" {{content}}", Mark("eos")), prefix=(Mark("bos"),), system=("{{content}}\n\n",), system_in_user=True),
-    "gemma": Template(user=("<start_of_turn>user\n{{content}}<end_of_turn>\n<start_of_turn>model\n",), assistant=("{{content}}<end_of_turn>\n",), prefix=(Mark("bos"),), efficient_eos=True),
-    "baichuan2": Template(user=("<reserved_106>{{content}}<reserved_107>",), assistant=("{{content}}",), efficient_eos=True),
-    "chatglm3": Template(user=("<|user|>\n{{content}}<|assistant|>",), assistant=("\n{{content}}",), system=("<|system|>\n{{content}}",), observation=("<|observation|>\n{{content}}<|assistant|>",), prefix=("[gMASK]sop",), efficient_eos=True),
-}
+def _built(**spec) -> Template:
+    """A template of plain values: ``(name,)`` in a slot is a special token; what isn't given follows from the rest."""
+    slot = lambda v: tuple(Mark(p[0]) if isinstance(p, tuple) else p for p in v)
+    ends = () if spec.get("efficient_eos") else (Mark("eos"),)
+    given = {k: slot(v) if k in _SLOTS else v for k, v in spec.items() if k != "kind"}
+    kind = spec.get("kind", "plain")
+    made = {"assistant": ("{{content}}", *ends), "observation": given.get("user", ("{{content}}",)), "function": ("Action: {{name}}\nAction Input: {{arguments}}", *ends)} | given
+    return Template(**made, cut="share" if kind in ("plain", "folded") else "longer", separates=kind != "bare", system_in_user=kind == "folded", reasoning=kind == "reasoning")
+
+
+_SLOTS = ("user", "assistant", "system", "observation", "function", "separator", "prefix")
+
+REGISTRY: dict[str, Template] = _registry()
 
 
 def register(name: str, template: Template) -> None:
@@ -224,6 +225,27 @@ def end_fixed(t: Template, tokenizer: Tokenizer) -> tuple[Template, int]:
     return t, tokenizer.eos
 
 
+def encoded_last(t: Template, turns: list[tuple[str, str]], system: str | None, tools: str | None, tokenizer: Tokenizer) -> tuple[list[int], list[int]]:
+    """(everything before the last answer, the last answer) as ids; thoughts of earlier answers are dropped."""
+    if t.reasoning:
+        turns = [(r, without_thought(c, t) if i % 2 and i < len(turns) - 2 else c) for i, (r, c) in enumerate(turns)]
+    pairs = encoded_pairs(t, turns, system, tools, tokenizer)
+    return [i for a, b in pairs[:-1] for i in a + b] + pairs[-1][0], pairs[-1][1]
+
+
+def function_slots(t: Template, content: str) -> list[Piece]:
+    """A function turn: its calls filled into the slot one by one, or the content as it is if it holds none."""
+    try:
+        calls = json.loads(content)
+    except ValueError:
+        calls = []
+    calls = calls if isinstance(calls, list) else [calls]
+    good = [c for c in calls if isinstance(c, dict) and "name" in c and "arguments" in c]
+    if not good:
+        return filled(t.function, content=content, name="", arguments=content)
+    return [p for c in good for p in filled(t.function, name=c["name"], arguments=python_json(c["arguments"]), content=content)]
+
+
 def parse_tool_calls(text: str) -> list[tuple[str, str]] | str:
     """(name, arguments) of the tool calls of an answer in either notation; the text itself if it holds none."""
     marked = re.findall(r"<tool_call>\s*(.*?)\s*</tool_call>", text, re.S)
