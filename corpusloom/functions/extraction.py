@@ -8,6 +8,7 @@ from functools import cache
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StringType
 
 # Patterns that announce an option, tried in this order; {o} stands for the options (fixed values).
 ANNOUNCED = (
@@ -162,22 +163,22 @@ def task_answer(text: str | None, gold: str | None) -> str:
     return ""
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def option_udf(answer: pd.Series, gold: pd.Series) -> pd.Series:
     return pd.Series([option(a, g) for a, g in zip(answer, gold, strict=True)], dtype=object)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def math_answer_udf(text: pd.Series) -> pd.Series:
     return text.map(math_answer)
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(BooleanType())
 def same_formula_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([same_formula(x, y) for x, y in zip(a, b, strict=True)], dtype=object)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def task_answer_udf(text: pd.Series, gold: pd.Series) -> pd.Series:
     return pd.Series([task_answer(t, g) for t, g in zip(text, gold, strict=True)], dtype=object)
 

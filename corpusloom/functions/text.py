@@ -10,6 +10,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 _SPACE = r"\s\x1c-\x1f\x85\p{Z}"
 #: Prefixes of DOIs, tried in this order; one is removed (fixed values).
@@ -33,7 +34,7 @@ def normalize_doi(c: Column) -> Column:
     return none_if_empty(strip(F.regexp_replace(low, f"^(?:{prefix})", "")))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfc(texts: pd.Series) -> pd.Series:
     """Canonical composition (NFC)."""
     return texts.map(lambda t: t if t is None or t.isascii() else unicodedata.normalize("NFC", t))
