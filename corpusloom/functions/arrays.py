@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 IGNORE = -100
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, not anew in each call of an inner lambda."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _positions(c: Column) -> Column:
     """0 .. n-1 for an array of n elements, also if n is 0."""
     return F.filter(F.sequence(F.lit(0), F.size(c)), lambda i: i < F.size(c))
@@ -36,8 +41,8 @@ def masked(source: Column, target: Column) -> Column:
 def span_labels(c: Column, begin: int, end: int) -> Column:
     """Labels that copy the tokens from the k-th begin marker to the k-th end marker and are -100 elsewhere."""
     spans = F.arrays_zip(positions_where(c, begin).alias("b"), positions_where(c, end).alias("e"))
-    inside = lambda i: F.exists(spans, lambda s: (s["b"] <= i) & (i <= s["e"]))
-    return F.transform(c, lambda x, i: F.when(F.coalesce(inside(i), F.lit(False)), x).otherwise(F.lit(IGNORE)))
+    inside = lambda all_, i: F.exists(all_, lambda s: (s["b"] <= i) & (i <= s["e"]))
+    return let(spans, lambda all_: F.transform(c, lambda x, i: F.when(F.coalesce(inside(all_, i), F.lit(False)), x).otherwise(F.lit(IGNORE))))
 
 
 def shifted(c: Column) -> tuple[Column, Column]:
@@ -61,16 +66,20 @@ def filled_to(c: Column, n: int, filler: int) -> Column:
     return F.concat(c, F.array_repeat(F.lit(filler), F.greatest(F.lit(n) - F.size(c), F.lit(0))))
 
 
+def _behind(c: Column, end: int) -> Column:
+    """The positions right behind each end token."""
+    return F.transform(positions_where(c, end), lambda i: i + 1)
+
+
 def segments(c: Column, end: int) -> Column:
     """For each token the number of end tokens before it."""
-    return F.transform(c, lambda x, i: F.size(F.filter(F.slice(c, F.lit(1), i), lambda y: y == end)))
+    return let(_behind(c, end), lambda ends: F.transform(c, lambda x, i: F.size(F.filter(ends, lambda e: e <= i))))
 
 
 def positions_after_end(c: Column, end: int) -> Column:
-    """Position ids that begin anew behind each end token; one pass."""
-    start = F.struct(F.lit(0).alias("next"), F.array().cast("array<int>").alias("out"))
-    step = lambda s, x: F.struct(F.when(x == end, 0).otherwise(s["next"] + 1).alias("next"), F.concat(s["out"], F.array(s["next"])).alias("out"))
-    return F.aggregate(c, start, step, lambda s: s["out"])
+    """Position ids that begin anew behind each end token."""
+    start = lambda ends, i: F.coalesce(F.array_max(F.filter(ends, lambda e: e <= i)), F.lit(0))
+    return let(_behind(c, end), lambda ends: F.transform(c, lambda x, i: i - start(ends, i)))
 
 
 def sequence_ends(c: Column, end: int) -> Column:
@@ -92,7 +101,8 @@ def shifted_ends(ends: Column, by: int, length: Column | int) -> Column:
 
 def packed_positions(mask: Column) -> Column:
     """Position ids of packed segments numbered from 1, 0 for the padding at the tail."""
-    return F.transform(mask, lambda x, i: F.when(x == 0, 0).otherwise(i + 1 - F.array_position(mask, x).cast("int")))
+    first = F.filter(_positions(mask), lambda i: (i == 0) | (F.get(mask, i) != F.get(mask, i - 1)))
+    return let(first, lambda starts: F.transform(mask, lambda x, i: F.when(x == 0, 0).otherwise(i - F.array_max(F.filter(starts, lambda s: s <= i)))))
 
 
 def prompt_runs(labels: Column) -> Column:
@@ -131,7 +141,7 @@ def context_chunk(c: Column, rank: int, ranks: int) -> Column:
 def regenerated_positions(c: Column) -> Column:
     """Positions before the first zero become 0 .. k-1; a row without zero begins at 0."""
     first = F.array_position(c, 0).cast("int")
-    return F.transform(c, lambda x, i: F.when((first > 1) & (i < first - 1), i).when(first == 0, x - F.get(c, F.lit(0))).otherwise(x))
+    return let(first, lambda f: F.transform(c, lambda x, i: F.when((f > 1) & (i < f - 1), i).when(f == 0, x - F.get(c, F.lit(0))).otherwise(x)))
 
 
 def trimmed_tail(ends: Column, batch: int) -> Column:

@@ -87,7 +87,7 @@ def text_statistics(texts: DataFrame, by: str) -> DataFrame:
 
 def line_counts(texts: DataFrame, by: str, text_column: str) -> DataFrame:
     """Lines of each value of ``by`` and, under ``TOTAL``, of all; a text without line feed is one line, an empty one none."""
-    n = F.when(F.length(text_column) > 0, F.size(F.split(F.regexp_replace(F.col(text_column), "\n$", ""), "\n"))).otherwise(0)
+    n = F.when(F.length(text_column) > 0, F.size(F.split(F.regexp_replace(F.col(text_column), r"\n\z", ""), "\n"))).otherwise(0)
     counted = texts.rollup(by).agg(F.sum(n).alias("lines"), F.grouping_id().alias("g"))
     return counted.withColumn(by, F.when(F.col("g") == 1, "TOTAL").otherwise(F.col(by))).drop("g")
 
