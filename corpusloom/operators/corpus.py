@@ -79,17 +79,17 @@ def text_statistics(texts: DataFrame, by: str) -> DataFrame:
     o = F.col("outcome")
     return (
         texts.rollup(by)
-        .agg(F.count("*").alias("lines"), _one(o == "kept").alias("kept"), _one(o.isin("empty", "short")).alias("empty_or_short"), _one(o == "malformed").alias("malformed"), _one(o == "missing").alias("missing"), F.grouping_id().alias("g"))
-        .withColumn(by, F.when(F.col("g") == 1, "TOTAL").otherwise(F.col(by)))
-        .drop("g")
+        .agg(F.count("*").alias("lines"), _one(o == "kept").alias("kept"), _one(o.isin("empty", "short")).alias("empty_or_short"), _one(o == "malformed").alias("malformed"), _one(o == "missing").alias("missing"), F.grouping_id().alias("_gid"))
+        .withColumn(by, F.when(F.col("_gid") == 1, "TOTAL").otherwise(F.col(by)))
+        .drop("_gid")
     )
 
 
 def line_counts(texts: DataFrame, by: str, text_column: str) -> DataFrame:
     """Lines of each value of ``by`` and, under ``TOTAL``, of all; a text without line feed is one line, an empty one none."""
     n = F.when(F.length(text_column) > 0, F.size(F.split(F.regexp_replace(F.col(text_column), r"\n\z", ""), "\n"))).otherwise(0)
-    counted = texts.rollup(by).agg(F.sum(n).alias("lines"), F.grouping_id().alias("g"))
-    return counted.withColumn(by, F.when(F.col("g") == 1, "TOTAL").otherwise(F.col(by))).drop("g")
+    counted = texts.rollup(by).agg(F.sum(n).alias("lines"), F.grouping_id().alias("_gid"))
+    return counted.withColumn(by, F.when(F.col("_gid") == 1, "TOTAL").otherwise(F.col(by))).drop("_gid")
 
 
 def shared_keys(a: DataFrame, b: DataFrame, key: str) -> DataFrame:

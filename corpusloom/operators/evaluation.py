@@ -13,10 +13,10 @@ def accuracy(df: DataFrame, group: str, correct: Column, total: str = "total") -
     """(group, question_n, acc) and a row for all, the share of all rows. A null ``correct`` counts as wrong."""
     ok = F.coalesce(correct, F.lit(False)).cast("int")
     return (
-        df.withColumn("_ok", ok).rollup(group).agg(F.count("*").alias("question_n"), F.avg("_ok").alias("acc"), F.grouping_id().alias("g"))
-        .where((F.col("g") == 0) | (F.col("question_n") > 0))
-        .withColumn(group, F.when(F.col("g") == 1, total).otherwise(F.col(group)))
-        .drop("g")
+        df.withColumn("_ok", ok).rollup(group).agg(F.count("*").alias("question_n"), F.avg("_ok").alias("acc"), F.grouping_id().alias("_gid"))
+        .where((F.col("_gid") == 0) | (F.col("question_n") > 0))
+        .withColumn(group, F.when(F.col("_gid") == 1, total).otherwise(F.col(group)))
+        .drop("_gid")
     )
 
 

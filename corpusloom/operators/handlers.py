@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -297,21 +297,21 @@ def tokenized(df: DataFrame, name: str, row_id: str, options: Options = Options(
         fields = ("input_ids", "attention_mask")
     kind = df.schema[row_id].dataType.simpleString()
 
-    def plain(v):
-        return v.tolist() if hasattr(v, "tolist") else v
+    key = df.schema[row_id].dataType
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark.sql.pandas.types import to_arrow_type
+
+        types = [to_arrow_type(key), pa.int32(), *[pa.list_(pa.int32()) for _ in fields]]
         for b in batches:
-            out: dict[str, list] = {k: [] for k in (row_id, "seq", *fields)}
-            for row in b.to_dict("records"):
-                for k, tokens in enumerate(make({c: plain(v) for c, v in row.items()}, options)):
-                    out[row_id].append(row[row_id])
-                    out["seq"].append(k)
-                    for f in fields:
-                        out[f].append(tokens.get(f, []))
-            yield pd.DataFrame(out)
-
-    return df.mapInPandas(run, f"`{row_id}` {kind}, seq int, " + ", ".join(f"{f} array<int>" for f in fields))
+            out: list[list] = [[] for _ in types]
+            for row in b.to_pylist():
+                for k, tokens in enumerate(make(row, options)):
+                    for column, value in zip(out, (row[row_id], k, *(tokens.get(f, []) for f in fields)), strict=True):
+                        column.append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=[row_id, "seq", *fields])
+
+    return df.mapInArrow(run, f"`{row_id}` {kind}, seq int, " + ", ".join(f"{f} array<int>" for f in fields))
 
 
 def without_long(df: DataFrame, keys: list[str], length: int, inclusive: bool = True) -> DataFrame:

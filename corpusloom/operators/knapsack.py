@@ -173,8 +173,8 @@ def cut_turns(df: DataFrame, length: int) -> DataFrame:
         return F.when(s["used"] >= length, s).otherwise(more)
 
     cut = F.aggregate(full, start, step)
-    long = F.size("input_ids") > length
-    return df.withColumn("_c", F.when(long, cut)).withColumn("input_ids", F.when(long, F.col("_c.x")).otherwise(F.col("input_ids"))).withColumn("labels", F.when(long, F.col("_c.y")).otherwise(F.col("labels"))).drop("_c")
+    long = F.col("_c").isNotNull()
+    return df.withColumn("_c", F.when(F.size("input_ids") > length, cut)).withColumns({"input_ids": F.when(long, F.col("_c.x")).otherwise(F.col("input_ids")), "labels": F.when(long, F.col("_c.y")).otherwise(F.col("labels"))}).drop("_c")
 
 
 def pairwise_rows(df: DataFrame, row_id: str) -> DataFrame:

@@ -151,7 +151,9 @@ def sample_boundaries(documents: DataFrame, order: list[str], size: Column, leng
     else:
         low = F.when(F.col("start") == 0, F.lit(0)).otherwise(F.floor(F.col("start") / length) + 1)
         high = F.floor((F.col("start") + F.col("n_tokens")) / length)
-    last_start = F.lit(count * length > total - extra) & (F.col("start") <= total - extra) & (F.col("start") + F.col("n_tokens") > total - (1 if extra else extra))
+    end = F.col("start") + F.col("n_tokens")
+    holds_last = (end > total - 1) & (F.col("start") <= total - 1) if extra else (end >= total) & (F.col("start") < total)
+    last_start = F.lit(count * length > total - extra) & holds_last
     inside = F.when(F.least(high, F.lit(count)) >= low, F.sequence(low, F.least(high, F.lit(count)))).otherwise(F.array().cast("array<bigint>"))
     own = F.when(last_start, F.array_union(inside, F.array(F.lit(count).cast("bigint")))).otherwise(inside)
     at = F.least(F.col("sample") * length, F.lit(total - extra)) - F.col("start")

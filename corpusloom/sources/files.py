@@ -195,8 +195,8 @@ def read_examples(spark: SparkSession, paths: list[str]) -> DataFrame:
 def count_lines(spark: SparkSession, folder: str) -> DataFrame:
     """(path, lines) of every file below a folder and, under ``TOTAL``, of all."""
     lines = spark.read.option("recursiveFileLookup", "true").text(folder).select(F.col("_metadata.file_path").alias("path"))
-    counted = lines.rollup("path").agg(F.count("*").alias("lines"), F.grouping_id().alias("g"))
-    return counted.withColumn("path", F.when(F.col("g") == 1, "TOTAL").otherwise(F.col("path"))).drop("g")
+    counted = lines.rollup("path").agg(F.count("*").alias("lines"), F.grouping_id().alias("_gid"))
+    return counted.withColumn("path", F.when(F.col("_gid") == 1, "TOTAL").otherwise(F.col("path"))).drop("_gid")
 
 
 def cached(spark: SparkSession, path: str | None) -> DataFrame | None:
