@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import text
 from corpusloom.operators import corpus
-from corpusloom.session import table
+from corpusloom.session import table, wide_table
 from corpusloom.sources import gunzip
 
 _SPACES = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
@@ -22,7 +22,7 @@ _DOI = f"""NULLIF({_strip(f"regexp_replace(lower({_strip('doi')}), '^(https://do
 
 
 def _side(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return table(spark, root, "doi_counts").where(F.col("shard").startswith(name)).select(text.normalize_doi(F.col("doi")).alias("doi"))
+    return wide_table(spark, root, "doi_counts").where(F.col("shard").startswith(name)).select(text.normalize_doi(F.col("doi")).alias("doi"))
 
 
 def _merged(spark: SparkSession, root: str) -> DataFrame:
@@ -30,7 +30,7 @@ def _merged(spark: SparkSession, root: str) -> DataFrame:
 
 
 def key_normalize(spark: SparkSession, root: str) -> DataFrame:
-    return table(spark, root, "doi_counts").select("row_id", text.normalize_doi(F.col("doi")).alias("key"))
+    return wide_table(spark, root, "doi_counts").select("row_id", text.normalize_doi(F.col("doi")).alias("key"))
 
 
 def key_counts(spark: SparkSession, root: str) -> DataFrame:
@@ -58,7 +58,7 @@ def set_matched(spark: SparkSession, root: str) -> DataFrame:
 
 
 def text_normalize(spark: SparkSession, root: str) -> DataFrame:
-    return table(spark, root, "documents").select("doc_id", text.normalize_text(F.col("text")).alias("text"))
+    return wide_table(spark, root, "documents").select("doc_id", text.normalize_text(F.col("text")).alias("text"))
 
 
 def line_counts(spark: SparkSession, root: str) -> DataFrame:
@@ -67,21 +67,21 @@ def line_counts(spark: SparkSession, root: str) -> DataFrame:
 
 def record_statistics(spark: SparkSession, root: str) -> DataFrame:
     by = F.regexp_extract("source", "^/corpus/in/([^/]+)/", 1)
-    return corpus.line_statistics(table(spark, root, "job_lines").withColumn("corpus", by), "corpus")
+    return corpus.line_statistics(wide_table(spark, root, "job_lines").withColumn("corpus", by), "corpus")
 
 
 def record_classes(spark: SparkSession, root: str) -> DataFrame:
     from corpusloom.functions.records import classified
 
-    return classified(table(spark, root, "job_lines").select("line_id", "line")).groupBy("kind").agg(F.count("*").alias("n"))
+    return classified(wide_table(spark, root, "job_lines").select("line_id", "line")).groupBy("kind").agg(F.count("*").alias("n"))
 
 
 def paper_texts(spark: SparkSession, root: str) -> DataFrame:
-    return corpus.paper_texts(table(spark, root, "job_lines")).where("outcome = 'kept'").select("line_id", "text")
+    return corpus.paper_texts(wide_table(spark, root, "job_lines")).where("outcome = 'kept'").select("line_id", "text")
 
 
 def text_filter_statistics(spark: SparkSession, root: str) -> DataFrame:
-    return corpus.text_statistics(corpus.paper_texts(table(spark, root, "job_lines")), "source")
+    return corpus.text_statistics(corpus.paper_texts(wide_table(spark, root, "job_lines")), "source")
 
 
 def gunzip_layers(spark: SparkSession, root: str) -> DataFrame:

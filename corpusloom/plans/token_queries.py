@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from corpusloom.functions import arrays
 from corpusloom.operators import conversations as C
 from corpusloom.operators import handlers, knapsack
-from corpusloom.session import table
+from corpusloom.session import wide_table
 
 EOS, ASSISTANT, PAD, LENGTH = 257, 261, 258, 2048
 _LAYOUT = C.Mapping(messages="messages", role="role", content="content", user="user", assistant="assistant", observation="observation", function="function", extra=("example_id",))
 
 
 def _examples(spark: SparkSession, root: str) -> DataFrame:
-    return table(spark, root, "sft_examples")
+    return wide_table(spark, root, "sft_examples")
 
 
 def _messages(spark: SparkSession, root: str) -> DataFrame:
@@ -27,7 +27,7 @@ def _pairs(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _tokens(spark: SparkSession, root: str) -> DataFrame:
-    return table(spark, root, "sft_tokens")
+    return wide_table(spark, root, "sft_tokens")
 
 
 def _shape(df: DataFrame) -> DataFrame:
@@ -78,7 +78,7 @@ def hdl_prompt_only(spark: SparkSession, root: str) -> DataFrame:
 
 
 def hdl_pretrain(spark: SparkSession, root: str) -> DataFrame:
-    docs = table(spark, root, "documents").select(F.col("doc_id").alias("example_id"), "text")
+    docs = wide_table(spark, root, "documents").select(F.col("doc_id").alias("example_id"), "text")
     return handlers.tokenized(docs, "general_pretrain", "example_id", handlers.Options(append_eod=True)).select("example_id", F.size("input_ids").alias("n"))
 
 

@@ -12,6 +12,15 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
+def wide_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """``table``, spread over the cores where it was read into fewer partitions than there are, for work that costs far more than
+    moving the rows. A table of many files, as large ones are, is left as it was read.
+    """
+    df = table(spark, root, name)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
+
+
 def shuffle_width(spark: SparkSession) -> int:
     """Partitions of a shuffle, as the session sets it."""
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
