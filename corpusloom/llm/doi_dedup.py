@@ -1,6 +1,6 @@
 """Records that differ only in formatting: canonical keys, external sort, scan of adjacent runs.
 
-Plan: one projection computes the canonical key with built-in expressions; rows are range-partitioned by
+Plan: one projection computes the canonical key on Arrow batches; rows are range-partitioned by
 (key, id), so that a key holding any share of the rows spreads over as many partitions as it needs; each
 partition is sorted externally by Spark and written to the checkpoint folder; the scan then walks adjacent
 rows, comparing full keys. What crosses a partition border is settled from one summary per partition
@@ -9,6 +9,7 @@ rows, comparing full keys. What crosses a partition border is settled from one s
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,51 +17,76 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from corpusloom.session import checkpointed, shuffle_width
 
-_NOT_WORD = r"(?U)[^\p{L}\p{N}]"
-_UNICODE_ESCAPE = r"\\u[0-9a-fA-F]{4}"
-_PAIR = r"""(?s)(?U)["']?(\w+)["']?\s*[:=]\s*(.*?)(?=[,;]\s*["']?\w+["']?\s*[:=]|\}\s*$)"""
-_DOI = r"10\p{N}{4}.*"
-
-
-def _letters(c: Column) -> Column:
-    """Letters and digits only, lower case; a percent or backslash escape counts as punctuation."""
-    plain = F.regexp_replace(F.regexp_replace(c, r"%(?=2[0-9A-F])[0-9A-F]{2}", " "), _UNICODE_ESCAPE, " ")
-    return F.regexp_replace(F.lower(plain), _NOT_WORD, "")
+_PAIR = re.compile(r"""["']?(\w+)["']?\s*[:=]\s*(.*?)(?=[,;]\s*["']?\w+["']?\s*[:=]|\}\s*$)""", re.S)
+# Escapes that stand for punctuation or invisible characters.
+_ESCAPES = r"%2[0-9A-Fa-f]|\\u[0-9a-fA-F]{4}|\\[nrt]"
+_DOI = r"(?P<doi>10\pN{4}.*)"
+
+
+def _letters(texts: pa.Array) -> pa.Array:
+    """Letters and digits only, lower case; an escape counts as punctuation."""
+    if pc.any(pc.match_substring_regex(texts, r"[%\\]")).as_py():
+        texts = pc.replace_substring_regex(texts, _ESCAPES, " ")
+    return pc.replace_substring_regex(pc.utf8_lower(texts), r"[^\pL\pN]+", "")
+
+
+def _from_doi(words: pa.Array) -> pa.Array:
+    """From the first DOI on, null without one."""
+    return pc.struct_field(pc.extract_regex(words, _DOI), "doi")
+
+
+def _object_keys(texts: pa.Array) -> list[str | None]:
+    """Keys of objects: their pairs, compared likewise, in the order of names; null if no value holds a DOI."""
+    pairs = [_PAIR.findall(t) for t in texts.to_pylist()]
+    flat = [x for p in pairs for x in p]
+    if not flat:
+        return [None] * len(pairs)
+    names = _letters(pa.array([n for n, _ in flat], pa.string())).to_pylist()
+    words = _letters(pa.array([v for _, v in flat], pa.string()))
+    dois = _from_doi(words)
+    values, held, at, out = pc.coalesce(dois, words).to_pylist(), dois.is_valid().to_pylist(), 0, []
+    for p in pairs:
+        end = at + len(p)
+        out.append("o:" + "|".join(sorted(f"{n}={v}" for n, v in zip(names[at:end], values[at:end], strict=True))) if any(held[at:end]) else None)
+        at = end
+    return out
 
 
-def _value(c: Column) -> Column:
-    """A value compared likewise: from the DOI on if it has one, else all of it."""
-    word = _letters(c)
-    doi = F.regexp_extract(word, _DOI, 0)
-    return F.when(doi != "", doi).otherwise(word)
+def doi_keys(texts: pa.Array) -> pa.Array:
+    """Canonical keys of an array of DOI fields; see ``doi_key``."""
+    texts = texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts
+    plain = pc.binary_join_element_wise(pa.scalar("d:"), _from_doi(_letters(texts)), "")
+    objects = pc.fill_null(pc.match_substring_regex(texts, r"(?s)\{.*[:=].*\}\s*$"), False)
+    if not pc.any(objects).as_py():
+        return plain
+    return pc.replace_with_mask(plain, objects, pa.array(_object_keys(texts.filter(objects)), pa.string()))
 
 
 def doi_key(c: Column) -> Column:
     """Canonical key of a DOI field: ``d:`` and the DOI's letters and digits, or ``o:`` and an object's sorted pairs.
 
     Null where the field is null or holds no DOI (``10`` and at least four digits). An object that holds no DOI
-    in any of its values has no DOI either.
+    in any of its values has no DOI either. Runs on Arrow batches, several times as fast as regular expressions of the JVM.
     """
-    word = _letters(c)
-    plain = F.regexp_extract(word, _DOI, 0)
-    names, values = F.regexp_extract_all(c, F.lit(_PAIR), F.lit(1)), F.regexp_extract_all(c, F.lit(_PAIR), F.lit(2))
-    pairs = F.array_sort(F.zip_with(names, values, lambda n, v: F.concat(_letters(n), F.lit("="), _value(v))))
-    is_object = c.rlike(r"(?s)\{.*[:=].*\}\s*$")
-    held = F.exists(pairs, lambda p: p.rlike(r"=10\p{N}{4}"))
-    return F.when(is_object, F.when(held, F.concat(F.lit("o:"), F.array_join(pairs, "|")))).when(plain != "", F.concat(F.lit("d:"), plain))
+    return F.arrow_udf(doi_keys, StringType()).asNondeterministic()(c)
+
+
+def _words(c: Column) -> Column:
+    return F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}]", "")
 
 
 def text_key(c: Column) -> Column:
     """Canonical key of any text: its letters and digits in order; null without any."""
-    return F.nullif(_letters(c), F.lit(""))
+    return F.nullif(_words(c), F.lit(""))
 
 
 def fields_key(*cols: str) -> Column:
     """Canonical key of a record of several fields, in any order of the fields named."""
-    return F.array_join(F.array_sort(F.array(*[F.concat(F.lit(f"{n}="), F.coalesce(_letters(F.col(n).cast("string")), F.lit("~"))) for n in cols])), "|")
+    return F.array_join(F.array_sort(F.array(*[F.concat(F.lit(f"{n}="), F.coalesce(_words(F.col(n).cast("string")), F.lit("~"))) for n in cols])), "|")
 
 
 def sorted_keys(df: DataFrame, key: Column, row_id: str) -> DataFrame:

@@ -6,39 +6,39 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import chunking, doi_dedup, leakage, mixing, packing, pairs, quality
-from corpusloom.session import table
+from corpusloom.session import table, wide_table
 
 
 def p1_found(spark: SparkSession, root: str) -> DataFrame:
-    return pairs.broken_pairs(table(spark, root, "sft_examples"))
+    return pairs.broken_pairs(wide_table(spark, root, "sft_examples"))
 
 
 def p2_packed_samples(spark: SparkSession, root: str) -> DataFrame:
-    return packing.packed_samples(table(spark, root, "sft_tokens"))
+    return packing.packed_samples(wide_table(spark, root, "sft_tokens"))
 
 
 def p2_places(spark: SparkSession, root: str) -> DataFrame:
-    return packing.places(table(spark, root, "sft_tokens"))
+    return packing.places(wide_table(spark, root, "sft_tokens"))
 
 
 def p4_found(spark: SparkSession, root: str) -> DataFrame:
-    return chunking.split_oversized(table(spark, root, "sft_tokens")).where("piece = 0 AND n_pieces > 1").select("sample_id")
+    return chunking.split_oversized(wide_table(spark, root, "sft_tokens")).where("piece = 0 AND n_pieces > 1").select("sample_id")
 
 
 def p4_pieces(spark: SparkSession, root: str) -> DataFrame:
-    return chunking.split_oversized(table(spark, root, "sft_tokens"))
+    return chunking.split_oversized(wide_table(spark, root, "sft_tokens"))
 
 
 def p5_found(spark: SparkSession, root: str) -> DataFrame:
-    return doi_dedup.repeats(table(spark, root, "doi_counts"), doi_dedup.doi_key(F.col("doi")), "row_id")
+    return doi_dedup.repeats(wide_table(spark, root, "doi_counts"), doi_dedup.doi_key(F.col("doi")), "row_id")
 
 
 def p5_records(spark: SparkSession, root: str) -> DataFrame:
-    return doi_dedup.records(table(spark, root, "doi_counts"), doi_dedup.doi_key(F.col("doi")), "row_id")
+    return doi_dedup.records(wide_table(spark, root, "doi_counts"), doi_dedup.doi_key(F.col("doi")), "row_id")
 
 
 def p6_leaks(spark: SparkSession, root: str) -> DataFrame:
-    return leakage.leaked_items(table(spark, root, "documents"), table(spark, root, "eval_items"))
+    return leakage.leaked_items(wide_table(spark, root, "documents"), table(spark, root, "eval_items"))
 
 
 def p6_found(spark: SparkSession, root: str) -> DataFrame:
@@ -46,15 +46,15 @@ def p6_found(spark: SparkSession, root: str) -> DataFrame:
 
 
 def p7_selected(spark: SparkSession, root: str) -> DataFrame:
-    return mixing.mixed(table(spark, root, "documents"), table(spark, root, "mix_targets"))[0]
+    return mixing.mixed(wide_table(spark, root, "documents"), table(spark, root, "mix_targets"))[0]
 
 
 def p7_shares(spark: SparkSession, root: str) -> DataFrame:
-    return mixing.mixed(table(spark, root, "documents"), table(spark, root, "mix_targets"))[1]
+    return mixing.mixed(wide_table(spark, root, "documents"), table(spark, root, "mix_targets"))[1]
 
 
 def p8_statistics(spark: SparkSession, root: str) -> DataFrame:
-    documents = table(spark, root, "documents")
+    documents = wide_table(spark, root, "documents")
     return quality.document_quality(documents, quality.train(documents))
 
 
