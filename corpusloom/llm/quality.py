@@ -53,9 +53,12 @@ def train(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", rows
     A kind of which the sample holds too few (a tiny or uniform corpus) is learnt from the hand-labelled texts too.
     """
     total = documents.count()
+    # a hash threshold takes a little more than is needed, where the rows lie; the surplus is cut on the driver
     order = F.xxhash64(F.col(doc_id), F.lit(seed))
-    keep = documents if total <= rows else documents.where(F.pmod(order, F.lit(1_000_000)) < int(1_100_000 * rows / total) + 1)
-    sample = document_statistics(keep.orderBy(order, doc_id).limit(rows) if total > rows else keep, doc_id, text).toPandas().sort_values("doc_id")
+    keep = documents if total <= rows else documents.where(F.pmod(order, F.lit(1_000_000)) < int(1_050_000 * rows / total) + 1)
+    if total > rows and (n := keep.count()) > 1.5 * rows:  # ids that recur hash alike
+        keep = keep.where(F.rand(seed) < rows / n)
+    sample = document_statistics(keep, doc_id, text).withColumn("_order", F.xxhash64("doc_id", F.lit(seed))).toPandas().sort_values(["_order", "doc_id"])[:rows]
     x = sample[list(NAMES)].to_numpy(np.float64)
     y = weak_labels(x)
     held = features(pa.array([t for _, t in HOLDOUT]))
