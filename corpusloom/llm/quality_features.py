@@ -24,7 +24,7 @@ NAMES = (
     "number_end_share", "symbol_ratio", "digit_ratio", "upper_ratio", "space_ratio", "tab_ratio", "bar_ratio", "comma_ratio", "semicolon_ratio",
     "equal_ratio", "colon_ratio", "angle_ratio", "brace_ratio", "dash_ratio", "slash_ratio", "vowel_ratio", "other_ratio",
     "unique_words", "unique_lines", "repeat_share", "number_words", "single_words", "long_words", "mixed_words", "broken_ratio",
-    "cell_share", "cell_evenness", "lower_start_share", "log_words", "option_share", "markup_cells", "menu_words", "rich_words", "paragraph_share",
+    "cell_share", "cell_evenness", "lower_start_share", "log_words", "option_share", "markup_cells", "menu_words", "rich_words", "paragraph_share", "script_marks",
 )
 
 #: Statistics that say how long a text is rather than what it is like; the trees don't see them.
@@ -56,6 +56,8 @@ _OPTION = r"^--?[A-Za-z][\w-]*(?:[ =]|$)"
 # Words of page navigation (fixed values).
 _MENU = pa.array("home menu login logout help cookies share export cite pdf top next back previous prev search register contact about privacy terms sitemap download print subscribe close accept more news account settings skip toggle navigation".split())
 _MARK = r"^(?:\[[ xX]?\]\s|[-*•+–·▪◦‣○■]\s|\(?[0-9]{1,3}(?:\.[0-9]{1,3})*[.)\]]?\s|\(?[A-Za-z][.)]\s|\[[0-9]{1,4}\]|--?[a-z])"
+# What markup, style sheets, scripts and page description files leave behind (fixed values).
+_SCRIPT = r"<(?:div|span|script|style|link|meta|iframe)\b|\{[\w-]+:[^{}\n]*\}|\bvar _|\bfunction\s*\(|[0-9] obj\b|endobj|endstream"
 _KEY = r"^[\pL\pN_ .\-]{1,28}(?:[:=]\s*|\t\s*)\S"
 _ENDS = r"""[.!?…:;,]["”»'’)\]*_]*$"""
 _SENTENCE_END = r"""[.!?…]["”»'’)\]*_]*$"""
@@ -184,6 +186,7 @@ def features(texts: pa.Array) -> np.ndarray:
         "markup_cells": pc.count_substring_regex(clean, "</t[dh]>").to_numpy().astype(np.float64) / words,
         "menu_words": _sums(menu, doc_of, n) / words,
         "paragraph_share": _sums(np.where(prose & (line_words >= 14), line_words, 0), owner, n) / words,
+        "script_marks": pc.count_substring_regex(clean, _SCRIPT).to_numpy().astype(np.float64) / words,
         "rich_words": unique_words / np.sqrt(words),
     }
     for k, name in enumerate(NAMES):

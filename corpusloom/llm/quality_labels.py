@@ -19,6 +19,7 @@ def weak_labels(f: np.ndarray) -> np.ndarray:
     dump = (c["common_share"] < 0.06) & (c["n_words"] >= 20) & ((c["mean_word"] <= 2.2) | ((c["mixed_words"] + c["number_words"] >= 0.75) & (c["cell_share"] < 0.3) & (c["mark_share"] < 0.6)))
     letters = (c["common_share"] < 0.05) & (c["n_words"] >= 8) & (c["words_per_line"] >= 10) & (c["symbol_ratio"] < 0.03) & (c["unique_words"] >= 0.7)
     script = (c["common_share"] < 0.08) & (c["brace_ratio"] + c["angle_ratio"] >= 0.03) & (c["markup_cells"] < 0.1) & (c["mark_share"] < 0.5)
+    script |= (c["script_marks"] >= 0.08) & (c["common_share"] < 0.1) & (c["markup_cells"] < 0.1)
     menu = c["menu_words"] >= 0.5
     junk = some & ~html & (repeated | noise | dump | letters | script | menu | (c["broken_ratio"] >= 0.02)) & ((c["cell_evenness"] * c["number_words"] < 0.15) | (c["cell_share"] < 0.5))
     marked = (c["mark_share"] >= 0.6) | (c["leader_share"] >= 0.5) | ((c["key_share"] >= 0.8) & (c["words_per_line"] <= 8)) | ((c["number_end_share"] >= 0.6) & (c["words_per_line"] <= 7))
