@@ -21,7 +21,8 @@ def weak_labels(f: np.ndarray) -> np.ndarray:
     script = (c["common_share"] < 0.08) & (c["brace_ratio"] + c["angle_ratio"] >= 0.03) & (c["markup_cells"] < 0.1) & (c["mark_share"] < 0.5)
     script |= (c["script_marks"] >= 0.08) & (c["common_share"] < 0.1) & (c["markup_cells"] < 0.1)
     menu = c["menu_words"] >= 0.5
-    junk = some & ~html & (repeated | noise | dump | letters | script | menu | (c["broken_ratio"] >= 0.02)) & ((c["cell_evenness"] * c["number_words"] < 0.15) | (c["cell_share"] < 0.5))
+    bare = (c["cell_evenness"] * c["number_words"] < 0.15) | (c["cell_share"] < 0.5)
+    junk = some & ~html & (script | (repeated | noise | dump | letters | menu | (c["broken_ratio"] >= 0.02)) & bare)
     marked = (c["mark_share"] >= 0.6) | (c["leader_share"] >= 0.5) | ((c["key_share"] >= 0.8) & (c["words_per_line"] <= 8)) | ((c["number_end_share"] >= 0.6) & (c["words_per_line"] <= 7))
     options = c["option_share"] >= 0.6
     table = some & (c["cell_share"] >= 0.75) & (c["cell_evenness"] >= 0.6) & (c["common_share"] < 0.2) & (c["n_lines"] >= 3) & ~junk & ~options
