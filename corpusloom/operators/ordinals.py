@@ -5,9 +5,13 @@ from __future__ import annotations
 import math
 import re
 from bisect import bisect_right
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 from pyspark.sql.window import Window
 
 from corpusloom.session import checkpointed, shuffle_width
@@ -16,20 +20,32 @@ from corpusloom.session import checkpointed, shuffle_width
 def with_prefix(df: DataFrame, order: list[str], value: Column | None = None, name: str = "ord") -> DataFrame:
     """``df`` with the sum of ``value`` (1 by default) over all rows before each in ``order``, which must be unique.
 
-    Rows are range-partitioned by ``order`` and kept in the checkpoint folder; each partition is summed by itself, and the
-    partitions' totals (one row each) give the offsets. Null values count 0.
+    Rows are range-partitioned by ``order``, sorted and kept in the checkpoint folder; the partitions' totals (one row each)
+    give the offsets, and each partition is then summed where it lies, without another shuffle. Null values count 0.
     """
     n = shuffle_width(df.sparkSession)
     v = F.coalesce(value if value is not None else F.lit(1), F.lit(0)).cast("bigint")
-    parted = checkpointed(df.withColumn("_v", v).repartitionByRange(n, *order).withColumn("_p", F.spark_partition_id()))
-    totals = sorted((r["_p"], r["t"]) for r in parted.groupBy("_p").agg(F.sum("_v").alias("t")).collect())
-    offsets, at = [], 0
-    for p, t in totals:
-        offsets.append((p, at))
-        at += t
-    base = F.broadcast(df.sparkSession.createDataFrame(offsets or [(0, 0)], "_p int, _o bigint"))
-    own = F.sum("_v").over(Window.partitionBy("_p").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
-    return parted.join(base, "_p").withColumn(name, F.col("_o") + F.coalesce(own, F.lit(0))).drop("_v", "_p", "_o")
+    parted = checkpointed(df.withColumn("__prefix_v", v).repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("__prefix_p", F.spark_partition_id()))
+    offsets, at = {}, 0
+    for r in sorted(parted.groupBy("__prefix_p").agg(F.sum("__prefix_v").alias("t")).collect(), key=lambda r: r["__prefix_p"]):
+        offsets[r["__prefix_p"]] = at
+        at += r["t"]
+    kept = [c for c in parted.columns if c not in ("__prefix_v", "__prefix_p", name)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            if total is None:
+                total = offsets[b.column("__prefix_p")[0].as_py()]
+            own = b.column("__prefix_v").to_numpy(zero_copy_only=False)
+            sums = total + np.cumsum(own)
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in kept], pa.array(sums - own, pa.int64())], names=[*kept, name])
+            total = int(sums[-1])
+
+    schema = StructType([*[parted.schema[c] for c in kept], StructField(name, LongType())])
+    return parted.mapInArrow(run, schema)
 
 
 def split_weights(text: str) -> list[float]:
@@ -96,6 +112,27 @@ def epoch_order(df: DataFrame, row_id: str, epochs: int, seed: int, separate_las
     return with_prefix(every.withColumn("late", last.cast("int")).withColumn("order", seeded(seed, "epoch", row_id)), ["late", "order", "epoch", row_id], name="pos").select("epoch", row_id, "pos")
 
 
+def repeated_order(df: DataFrame, row_id: str, n: int, seed: int, shuffle: bool = True, pad_to: int = 0, reshuffle: bool = False) -> DataFrame:
+    """(pos, row_id): whole permutations behind one another until there are ``n`` rows; sequential unless ``shuffle``.
+
+    With ``pad_to`` every repetition is filled up to a multiple of it with the first rows by ``row_id``; with ``reshuffle`` all
+    repetitions are shuffled together once more.
+    """
+    placed = with_prefix(df.select(row_id), [row_id], name="_o")
+    size = placed.count()
+    if not size:
+        return placed.select(F.col("_o").alias("pos"), row_id)
+    extra = -size % pad_to if pad_to else 0
+    times = max(1, -(-n // (size + extra)))
+    one = placed.withColumn("_copy", F.lit(0))
+    for k in range(-(-extra // size)):
+        one = one.unionByName(placed.where(F.col("_o") < extra - k * size).withColumn("_copy", F.lit(k + 1)))
+    every = one.withColumn("_e", F.explode(F.sequence(F.lit(0), F.lit(times - 1))))
+    key = seeded(seed, "_e", "_copy", row_id) if shuffle or reshuffle else F.lit("")
+    order = ["_k", "_e", "_copy", "_o"] if reshuffle else ["_e", "_k", "_copy", "_o"]
+    return with_prefix(every.withColumn("_k", key), order, name="pos").select("pos", row_id)
+
+
 def separate_final_epoch(samples: int, per_epoch: int, threshold: float = 0.8) -> bool:
     """Whether the final epoch, of which only part is needed, is shuffled apart: fewer samples than the share of one epoch."""
     if per_epoch <= 0 or samples <= per_epoch:

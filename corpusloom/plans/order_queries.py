@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.operators import blending, ordinals
+from corpusloom.operators import blending, blocks, ordinals
 from corpusloom.session import table
 
 LENGTH = 2048
@@ -90,7 +90,22 @@ def concat_sources(spark: SparkSession, root: str) -> DataFrame:
     return a.unionByName(b, allowMissingColumns=True)
 
 
-QUERIES = {f.__name__: f for f in (sequence_pointers, split_ordinals, sample_index, chunk_concat, epoch_shuffle, support_sets, batch_ranks, even_parts, blend_weighted, blend_exhaustive, blended_documents, interleaved_sources, resampled_documents, bucket_order, concat_sources)}
+def sentence_blocks(spark: SparkSession, root: str) -> DataFrame:
+    docs = table(spark, root, "documents").select("doc_id", blocks.sentence_sizes(F.col("text")).alias("sizes"))
+    return blocks.sentence_blocks(docs, "doc_id", "sizes", 256, short=0.1)
+
+
+def titled_blocks(spark: SparkSession, root: str) -> DataFrame:
+    docs = table(spark, root, "documents").select("doc_id", blocks.sentence_sizes(F.col("text")).alias("sizes"), F.length(F.coalesce("doi", F.lit(""))).alias("title"))
+    return blocks.titled_blocks(docs, "doc_id", "sizes", "title", 512)
+
+
+def repeated_order(spark: SparkSession, root: str) -> DataFrame:
+    docs = table(spark, root, "documents").select("doc_id")
+    return ordinals.repeated_order(docs, "doc_id", 2 * docs.count() + 1, 3, pad_to=64)
+
+
+QUERIES = {f.__name__: f for f in (sequence_pointers, split_ordinals, sample_index, chunk_concat, epoch_shuffle, support_sets, batch_ranks, even_parts, blend_weighted, blend_exhaustive, blended_documents, interleaved_sources, resampled_documents, bucket_order, concat_sources, sentence_blocks, titled_blocks, repeated_order)}
 
 _STREAM = "WITH d AS (SELECT doc_id, strlen(text) AS n FROM documents WHERE strlen(text) > 0), s AS (SELECT doc_id, n, SUM(n) OVER (ORDER BY doc_id) - n AS start FROM d), t AS (SELECT SUM(n) AS total FROM d)"
 
