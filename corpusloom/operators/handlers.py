@@ -14,9 +14,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.tokenizers import ByteTokenizer, Tokenizer
+from corpusloom.operators import markup_template
 from corpusloom.operators import templates as T
 
 IGNORE = -100
+#: Name of the template with its own markup of calls.
+MARKUP = "deepseek4"
 #: Ids that open the turns of the two sides in one of the chat layouts (fixed values).
 MOSS_USER, MOSS_ASSISTANT = 195, 196
 
@@ -53,6 +56,16 @@ def _dialogue(row: Row, o: Options) -> list[tuple[str, str]] | None:
     return None if o.drop_invalid else [(T.USER, ""), (T.ASSISTANT, "")]
 
 
+def _pairs(row: Row, turns: list[tuple[str, str]], o: Options, cutoff: int = 1_000_000) -> tuple[bool, list[tuple[list[int], list[int]]]]:
+    """Whether the template's end mark is implied, and the exchanges' ids; one template works on whole messages."""
+    if o.template == MARKUP:
+        valid = len(row.get("prompt") or []) % 2 == 1 and len(row.get("response") or []) == 1
+        messages = [*row["prompt"], *row["response"]] if valid else [{"role": r, "content": c} for r, c in turns]
+        return False, markup_template.encoded_pairs(messages, row.get("system"), row.get("tools"), o.tokenizer, cutoff)
+    t = T.template(o.template)
+    return t.efficient_eos, T.encoded_pairs(t, turns, row.get("system"), row.get("tools"), o.tokenizer, cutoff)
+
+
 def _end(out: Tokens, o: Options) -> Tokens:
     if o.append_eod:
         for k, v in out.items():
@@ -107,13 +120,12 @@ def instruction(row: Row, o: Options) -> list[Tokens]:
     turns = _dialogue(row, o)
     if turns is None:
         return []
-    t = T.template(o.template)
+    implied, pairs = _pairs(row, turns, o, o.cutoff)
     ids, labels = [], []
-    pairs = T.encoded_pairs(t, turns, row.get("system"), row.get("tools"), o.tokenizer, o.cutoff)
     for source, target in pairs:
         if o.train_on_inputs:
             mask = list(source)
-        elif ids and t.efficient_eos:
+        elif ids and implied:
             mask = [o.tokenizer.eos] + [IGNORE] * (len(source) - 1)
         else:
             mask = [IGNORE] * len(source)
@@ -122,7 +134,7 @@ def instruction(row: Row, o: Options) -> list[Tokens]:
             source, mask, target = source[:a], mask[:a], target[:b]
         ids += source + target
         labels += mask + target
-    if t.efficient_eos:
+    if implied:
         ids.append(o.tokenizer.eos)
         labels.append(o.tokenizer.eos)
     return [_end({"input_ids": ids, "attention_mask": [1] * len(ids), "labels": labels}, o)]
@@ -136,12 +148,11 @@ def processed_sft(row: Row, o: Options) -> list[Tokens]:
     prompt, response = _turns(row.get("prompt")), _turns(row.get("response"))
     if len(prompt) % 2 != 1 or len(response) != 1:
         return []
-    t = T.template(o.template)
-    pairs = T.encoded_pairs(t, prompt + response, row.get("system"), row.get("tools"), o.tokenizer)
+    implied, pairs = _pairs(row, prompt + response, o)
     pairs = pairs[::-1] if o.mask_history else pairs
     ids: list[int] = []
     labels: list[int] = []
-    used = 1 if t.efficient_eos else 0
+    used = 1 if implied else 0
     for k, (source, target) in enumerate(pairs):
         if used >= o.cutoff:
             break
@@ -150,7 +161,7 @@ def processed_sft(row: Row, o: Options) -> list[Tokens]:
         used += a + b
         if o.train_on_inputs:
             mask = list(source)
-        elif t.efficient_eos and k:
+        elif implied and k:
             mask = [o.tokenizer.eos] + [IGNORE] * (a - 1)
         else:
             mask = [IGNORE] * a
@@ -159,7 +170,7 @@ def processed_sft(row: Row, o: Options) -> list[Tokens]:
             ids, labels = source + target + ids, mask + answer + labels
         else:
             ids, labels = ids + source + target, labels + mask + answer
-    if t.efficient_eos:
+    if implied:
         ids.append(o.tokenizer.eos)
         labels.append(o.tokenizer.eos)
     return [{"input_ids": ids, "attention_mask": [1] * len(ids), "labels": labels}]
@@ -196,7 +207,7 @@ def prompt_only(row: Row, o: Options) -> list[Tokens]:
     turns = _dialogue(row, o)
     if turns is None:
         return []
-    ids = [i for a, _ in T.encoded_pairs(T.template(o.template), turns, row.get("system"), row.get("tools"), o.tokenizer, o.cutoff) for i in a]
+    ids = [i for a, _ in _pairs(row, turns, o, o.cutoff)[1] for i in a]
     return [{"input_ids": ids, "attention_mask": [1] * len(ids)}]
 
 
@@ -205,7 +216,7 @@ def all_but_last_answer(row: Row, o: Options) -> list[Tokens]:
     turns = _dialogue(row, o)
     if turns is None:
         return []
-    pairs = T.encoded_pairs(T.template(o.template), turns, row.get("system"), row.get("tools"), o.tokenizer, o.cutoff)
+    pairs = _pairs(row, turns, o, o.cutoff)[1]
     ids = [i for k, (a, b) in enumerate(pairs) for i in (a if k == len(pairs) - 1 else a + b)]
     out = {"input_ids": ids, "attention_mask": [1] * len(ids)}
     if o.labels_from_answer:

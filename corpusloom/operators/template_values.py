@@ -49,8 +49,8 @@ TEMPLATES: dict[str, dict] = {
     "deepseek3": {"user": ["<｜User｜>{{content}}<｜Assistant｜>"], "prefix": [_BOS]},
     "intern2": {"user": [_IM_USER], "assistant": [_IM_ANSWER], "system": [_IM_SYSTEM], "prefix": [_BOS], "stop_words": ("<|im_end|>",)},
     "hunyuan": {"user": ["{{content}}"], "assistant": ["{{content}}"], "default_system": "You are a helpful assistant."},
-    "qwen3": {"user": [_IM_USER], "assistant": [_IM_ANSWER], "system": [_IM_SYSTEM], "function": [_IM_ANSWER], "observation": [_IM_RESULT], "stop_words": ("<|im_end|>",), "replace_eos": True, "kind": "reasoning"},
-    "bailing_mini": {"user": ["<role>HUMAN</role>{{content}}<|role_end|><role>ASSISTANT</role>"], "assistant": ["{{content}}<|role_end|>"], "system": ["<role>SYSTEM</role>{{content}}<|role_end|>"], "observation": ["<role>OBSERVATION</role>\n<tool_response>\n{{content}}\n</tool_response><|role_end|><role>ASSISTANT</role>"], "function": ["{{content}}<|role_end|>"], "stop_words": ("<|endoftext|>",), "efficient_eos": True},
+    "qwen3": {"user": [_IM_USER], "assistant": [_IM_ANSWER], "system": [_IM_SYSTEM], "function": [_IM_ANSWER], "observation": [_IM_RESULT], "stop_words": ("<|im_end|>",), "tool_style": "tagged", "replace_eos": True, "kind": "reasoning"},
+    "bailing_mini": {"user": ["<role>HUMAN</role>{{content}}<|role_end|><role>ASSISTANT</role>"], "assistant": ["{{content}}<|role_end|>"], "system": ["<role>SYSTEM</role>{{content}}<|role_end|>"], "observation": ["<role>OBSERVATION</role>\n<tool_response>\n{{content}}\n</tool_response><|role_end|><role>ASSISTANT</role>"], "function": ["{{content}}<|role_end|>"], "stop_words": ("<|endoftext|>",), "tool_style": "tagged_plain", "efficient_eos": True},
     "plm": {"user": [_IM_USER], "assistant": [_IM_ANSWER], "system": [_IM_SYSTEM], "default_system": "You are a helpful assistant.", "stop_words": ("<|endoftext|>",), "replace_eos": True},
     "gpt_oss": {"user": ["<|start|>user<|message|>{{content}}<|end|><|start|>assistant"], "assistant": ["{{content}}<|end|>"], "system": ["<|start|>system<|message|>{{content}}<|end|>"], "thought": ("<|channel|>analysis<|message|>", "<|end|><|start|>assistant<|channel|>final<|message|>"), "default_system": "You are ChatGPT, a large language model trained by OpenAI.", "efficient_eos": True, "kind": "reasoning"},
 }

@@ -13,6 +13,7 @@ from dataclasses import dataclass, field, replace
 from pathlib import Path
 
 from corpusloom.functions.tokenizers import Tokenizer
+from corpusloom.operators import tool_formats
 
 #: A piece ``Mark("bos")`` is the tokenizer's special token of that name.
 USER, ASSISTANT, OBSERVATION, FUNCTION = "user", "assistant", "observation", "function"
@@ -39,6 +40,7 @@ class Template:
     prefix: tuple[Piece, ...] = ()
     default_system: str = ""
     stop_words: tuple[str, ...] = ()
+    tool_style: str = "plain"
     efficient_eos: bool = False
     replace_eos: bool = False
     cut: str = "share"
@@ -65,35 +67,10 @@ def without_thought(text: str, t: Template) -> str:
     return re.sub(f"{re.escape(begin)}(.*?){re.escape(end)}", "", text, flags=re.S).lstrip("\n")
 
 
-def tool_text(tools: str | None) -> str:
-    """Tools as the text that follows the system message; tools that aren't JSON objects give none."""
-    if not tools:
-        return ""
-    try:
-        listed = json.loads(tools)
-    except ValueError:
-        return ""
-    listed = listed if isinstance(listed, list) else [listed]
-    names, lines = [], []
-    for tool in listed:
-        f = tool.get("function", tool) if isinstance(tool, dict) else {}
-        if not f.get("name"):
-            continue
-        names.append(f["name"])
-        lines.append(f"> Tool Name: {f['name']}\nTool Description: {f.get('description', '')}\nTool Args:\n")
-        required = (f.get("parameters") or {}).get("required", [])
-        for arg, about in ((f.get("parameters") or {}).get("properties") or {}).items():
-            needed = ", required" if arg in required else ""
-            lines.append(f"  - {arg} ({about.get('type', '')}{needed}): {about.get('description', '')}\n")
-    if not names:
-        return ""
-    return f"You have access to the following tools:\n{''.join(lines)}Use the following format if using a tool:\n```\nAction: tool name (one of [{', '.join(names)}])\nAction Input: the input to the tool, in a JSON format representing the kwargs.\n```\n"
-
-
 def elements(t: Template, turns: list[tuple[str, str]], system: str | None, tools: str | None) -> list[list[Piece]]:
     """Pieces of every turn; the first one has the prefix, system text and tools, every later user turn the separator."""
     system, out = system or t.default_system, []
-    head = (system or "") + tool_text(tools)
+    head = (system or "") + tool_formats.described(tools, t.tool_style)
     for i, (role, content) in enumerate(turns):
         pieces: list[Piece] = []
         if i == 0:
@@ -234,40 +211,13 @@ def encoded_last(t: Template, turns: list[tuple[str, str]], system: str | None,
 
 
 def function_slots(t: Template, content: str) -> list[Piece]:
-    """A function turn: its calls filled into the slot one by one, or the content as it is if it holds none."""
-    try:
-        calls = json.loads(content)
-    except ValueError:
-        calls = []
-    calls = calls if isinstance(calls, list) else [calls]
-    good = [c for c in calls if isinstance(c, dict) and "name" in c and "arguments" in c]
-    if not good:
+    """A function turn: in the notation of the template, or its calls filled into the slot one by one; as it is without any."""
+    if t.tool_style != "plain":
+        return filled(t.function, content=tool_formats.written(content))
+    calls = tool_formats.calls_of(content)
+    if not calls:
         return filled(t.function, content=content, name="", arguments=content)
-    return [p for c in good for p in filled(t.function, name=c["name"], arguments=python_json(c["arguments"]), content=content)]
-
-
-def parse_tool_calls(text: str) -> list[tuple[str, str]] | str:
-    """(name, arguments) of the tool calls of an answer in either notation; the text itself if it holds none."""
-    marked = re.findall(r"<tool_call>\s*(.*?)\s*</tool_call>", text, re.S)
-    try:
-        if marked:
-            calls = [json.loads(m) for m in marked]
-            return [(c["name"], json.dumps(c["arguments"], ensure_ascii=False)) for c in calls]
-    except (ValueError, KeyError, TypeError):
-        return text
-    found = re.findall(r"Action:\s*([\w-]+)\s*Action Input:\s*(.+?)(?=\s*Action:|\Z)", text, re.S)
-    out = []
-    for name, arguments in found:
-        try:
-            out.append((name.strip(), json.dumps(json.loads(arguments.strip()), ensure_ascii=False)))
-        except ValueError:
-            return text
-    return out or text
-
-
-def python_json(value) -> str:
-    """JSON with the spacing of Python's encoder; a text stays as it is."""
-    return value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)
+    return [p for name, arguments in calls for p in filled(t.function, name=name, arguments=arguments, content=content)]
 
 
 @dataclass

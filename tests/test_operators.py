@@ -5,7 +5,7 @@ from bisect import bisect
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.operators import blending, evaluation, handlers, knapsack, ordinals, templates
+from corpusloom.operators import blending, evaluation, handlers, knapsack, markup_template, ordinals, templates, tool_formats
 from corpusloom.operators import conversations as C
 
 
@@ -289,6 +289,8 @@ def test_handlers():
     assert len(handlers.every_prefix({"chat": moss["chat"][:1] * 3}, o)) == 3
     assert b"None" in bytes(handlers.alpaca_pretrain({"instruction": "i", "output": "o"}, o)[0]["input_ids"])
     assert handlers.sharegpt_pretrain({"messages": [{"value": "a"}, {"content": "b"}]}, o)[0]["input_ids"] == [97, 98]
+    marked = handlers.instruction(row, handlers.Options(template="deepseek4"))[0]
+    assert bytes(x for x in marked["labels"] if x != -100).decode() == "a<｜end▁of▁sentence｜></think>b<｜end▁of▁sentence｜>"
     assert handlers.handler("no such name") is handlers.general_pretrain
     assert bytes(handlers.code_instruction({"code_with_problem": "sum ```py", "code_only": "c", "explanation_only": "e"}, o)[0]["input_ids"]).endswith(b"c\ne\n")
     assert b"x" in bytes(handlers.marked_turns({"instruction": "Human: x Assistant: ", "output": "y"}, o)[0]["input_ids"])
@@ -311,14 +313,43 @@ def test_templates():
     assert bytes(x for x in thinking[0][1] if x < 256).startswith(b"<think>")
     call = json.dumps({"name": "f", "arguments": {"x": 1}})
     assert "Action: f" in templates.rendered(templates.template("default"), [("user", "q"), ("function", call)])
-    assert templates.parse_tool_calls(f"<tool_call>\n{call}\n</tool_call>") == [("f", '{"x": 1}')]
-    assert templates.parse_tool_calls('Action: g\nAction Input: {"y": 2}') == [("g", '{"y": 2}')]
-    assert templates.parse_tool_calls("<tool_call>{</tool_call>") == "<tool_call>{</tool_call>"
-    assert templates.tool_text("no json") == ""
+    assert tool_formats.extracted(f"<tool_call>\n{call}\n</tool_call>") == [("f", '{"x": 1}')]
+    assert tool_formats.extracted('Action: g\nAction Input: {"y": 2}') == [("g", '{"y": 2}')]
+    assert tool_formats.extracted("<tool_call>{</tool_call>") == "<tool_call>{</tool_call>"
+    assert tool_formats.described("no json") == ""
+    tools = json.dumps([{"name": "f", "description": "d", "parameters": {"properties": {"x": {"type": "int", "enum": [1, 2]}}, "required": ["x"]}}])
+    assert "  - x (int, required): , should be one of [1, 2]\n" in tool_formats.described(tools)
+    assert '{"type": "function", "function": {"name": "f"' in tool_formats.described(tools, "tagged")
+    assert tool_formats.extracted(tool_formats.written(f"<think>t</think>[{call}, {call}]")[len("<think>t</think>") :]) == [("f", '{"x": 1}')] * 2
+    assert "<tool_call>" in templates.rendered(templates.template("qwen3"), [("user", "q"), ("function", call)])
     with pytest.raises(KeyError):
         templates.template("none")
 
 
+def test_markup_template():
+    call = lambda i, n: {"id": i, "type": "function", "function": {"name": n, "arguments": '{"x": "a", "y": 2}'}}
+    said = [{"role": "user", "content": "q"}, {"role": "assistant", "content": "<think> t </think> a"}, {"role": "user", "content": "r"}, {"role": "assistant", "content": "b", "reasoning_content": "u"}]
+    turns = markup_template.turns_of(said, "S", None)
+    assert markup_template.rendered(turns) == ["S", "<｜User｜>q<｜Assistant｜></think>", "a<｜end▁of▁sentence｜>", "<｜User｜>r<｜Assistant｜><think>", "u</think>b<｜end▁of▁sentence｜>"]
+    assert markup_template.rendered(turns, drop=False)[2] == "t</think>a<｜end▁of▁sentence｜>"
+    assert markup_template.rendered(turns, thinking=False)[3] == "<｜User｜>r<｜Assistant｜></think>"
+    assert markup_template.rendered(turns, effort="max")[0].startswith("Reasoning Effort")
+    tools = json.dumps([{"type": "function", "function": {"name": "f"}}])
+    used = [{"role": "user", "content": "q"}, {"role": "assistant", "content": None, "tool_calls": [call("1", "f"), call("2", "g")]}, {"role": "tool", "tool_call_id": "2", "content": "second"}, {"role": "tool", "tool_call_id": "1", "content": "first"}, {"role": "assistant", "content": "done"}]
+    texts = markup_template.rendered(markup_template.turns_of(used, None, tools))
+    assert "### Available Tool Schemas" in texts[0]
+    assert '<｜DSML｜parameter name="y" string="false">2</｜DSML｜parameter>' in texts[2]
+    assert texts[3].startswith("<｜User｜><tool_result>first</tool_result>\n\n<tool_result>second</tool_result>")
+    pairs = markup_template.encoded_pairs(said, "S", None, handlers.ByteTokenizer())
+    assert bytes(pairs[0][0]).decode().startswith("<｜begin▁of▁sentence｜>S<｜User｜>q")
+    assert len(pairs) == 2
+    with pytest.raises(ValueError, match="function tool"):
+        markup_template.turns_of(said, None, '[{"name": "f"}]')
+    with pytest.raises(ValueError, match="role"):
+        markup_template.turns_of([{"role": "who", "content": ""}], None, None)
+    assert markup_template.rendered(markup_template.turns_of([{"role": "user", "content": "q", "task": "title"}], None, None)) == ["<｜User｜>q<｜title｜>"]
+
+
 def test_scores(spark):
     d = spark.createDataFrame([("a", True), ("a", False), ("b", None)], "g string, ok boolean")
     assert {x["g"]: (x["question_n"], x["acc"]) for x in evaluation.accuracy(d, "g", F.col("ok")).collect()} == {"a": (2, 0.5), "b": (1, 0.0), "total": (3, pytest.approx(1 / 3))}
