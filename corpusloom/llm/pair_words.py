@@ -7,10 +7,10 @@ All phrases are given as the words that ``words`` makes of them: lower case, wit
 from __future__ import annotations
 
 STOPWORDS = {
-    "en": "the of and to in that is for with was on are as by it this be from at which or an have has not what how why does should we you your were when if than more but most will would could they their there its our been before after since because although however while given whether",
-    "de": "der die das und ist nicht ein eine einen einem zu den von mit sich auf fur im dem des wird werden wurde wurden dass wir auch nach bei aus sind oder wie warum wenn weil aber zur zum zwischen ohne sollten ich kann hat als an noch nur seit durch uber was welche sodass solange bitte",
-    "fr": "le la les des et est pas un une du que qui dans pour par sur au aux ce cette il elle nous vous sont ont a ete plus ne se avec mais ou en de comment pourquoi si alors entre apres parce sans selon tant on cela depuis doit encore quand plupart l d s y",
-    "es": "el la los las de y en que es un una por con para no se del al lo su como mas pero si o entre cuando sin sobre porque esta este entonces segun despues desde debe son fue muy tambien donde hay ya nos significa que todos cada sus por deberian conviene ocurre",
+    "en": "the of and to in that is for with was on are as by it this be from at which or an have has not what how why does should we you your were when if than more but most will would could they their there its our been before after since because although however while given whether please describe explain write summarise tell me",
+    "de": "der die das und ist nicht ein eine einen einem zu den von mit sich auf fur im dem des wird werden wurde wurden dass wir auch nach bei aus sind oder wie warum wenn weil aber zur zum zwischen ohne sollten ich kann hat als an noch nur seit durch uber was welche sodass solange bitte vergleiche nenne beschreibe erklare schreibe",
+    "fr": "le la les des et est pas un une du que qui dans pour par sur au aux ce cette il elle nous vous sont ont a ete plus ne se avec mais ou en de comment pourquoi si alors entre apres parce sans selon tant on cela depuis doit encore quand plupart l d s y quelques decris explique ecris",
+    "es": "el la los las de y en que es un una por con para no se del al lo su como mas pero si o entre cuando sin sobre porque esta este entonces segun despues desde debe son fue muy tambien donde hay ya nos significa que todos cada sus por deberian conviene ocurre pocas compara describe explica escribe",
     "it": "il lo la i gli le di e che non un una per con del della dei delle nel nella al alla si sono piu ma come da su questo questa sia perche anche dopo ancora resta se tra",
     "pt": "o a os as de e que nao um uma em para com do da dos das no na se por mais mas como foi sao ao pela pelo entre sem depois ainda isso esta quando tambem porque",
     "nl": "de het een en van is niet dat in op te voor met zijn aan er door om bij naar ook als maar worden wordt deze dit wij hebben heeft nog uit over tussen omdat wanneer zonder",

@@ -189,9 +189,14 @@ def is_other_language(prompt_text: str, prompt: list[str], answer: str) -> bool:
         return False
     own = votes(prompt_text, prompt)
     home = max(own, key=lambda k: own[k]) if own else None
-    if home is None or lang == home or own[home] < 1:
+    if lang == home or got[lang] < 2:
         return False
-    return got[lang] >= 2 and got[lang] >= 1.6 * got.get(home, 0) + 0.5
+    if lang not in W.STOPWORDS and (home is None or home in W.STOPWORDS):
+        # another script than the prompt's: few letters of it are names or signs
+        return bool(prompt) and got[lang] >= 1.6 * got.get(home, 0) + 0.5
+    if home is None or own[home] < own.get(lang, 0) + 0.3:
+        return False
+    return got[lang] >= 1.6 * got.get(home, 0) + 0.5
 
 
 def is_truncated(answer: str) -> bool:
