@@ -44,6 +44,11 @@ NONE_WORDS = ("none", "null", "nothing", "keine", "keiner", "aucun", "aucune", "
 #: Answers that stand for no answer.
 PLACEHOLDERS = ("n a", "na", "no answer", "answer", "assistant", "response", "reponse", "antwort", "respuesta", "none", "null", "nil", "nan", "undefined", "empty", "todo", "tbd", "placeholder", "no response", "user", "output", "keine antwort", "sans reponse", "sin respuesta", "end", "the end", "ok ok")
 
+#: Single words of courtesy, and of the first person and of negation, which together make a sentence that says nothing of the matter.
+COURTESY = frozenset("please bitte veuillez favor merci gracias thank thanks danke verstandnis comprehension understanding regrets regret sorry".split())
+FIRST_PERSON = frozenset("i my me ich mir mein meine je j mon mes moi me yo mi mis tengo puedo".split())
+NEGATION = frozenset("no not nothing none cannot t unable kein keine keinen nicht nichts ne n pas aucun aucune rien sin ningun ninguna nada".split())
+
 REFUSALS = (
     "i can t help", "i cannot help", "can not help with", "i can t assist", "i cannot assist", "unable to assist", "unable to help", "unable to fulfil", "unable to fulfill",
     "i am unable to", "i m unable to", "not able to answer", "not able to help", "not able to assist", "not able to respond", "not able to discuss", "not able to provide",
@@ -52,7 +57,7 @@ REFUSALS = (
     "respectfully refuse", "respectfully decline", "i decline", "i refuse", "guidelines prevent", "policies i work under", "against the policies", "against my policies", "against my guidelines",
     "don t feel comfortable", "do not feel comfortable", "not comfortable answering", "i will pass on", "outside what i am allowed", "not allowed to", "beyond what i am permitted", "not permitted to",
     "d prefer to stay away", "would prefer to stay away", "prefer not to", "d rather not", "would rather not", "no answer about", "no answer can be given", "question unanswered", "request unanswered",
-    "sorry no", "can t comply", "cannot comply", "can t do that", "cannot do that", "must leave this", "not going to answer", "can t respond", "cannot respond", "refrain from", "rather not go into", "can t say more", "no comment", "against my rules", "rules prevent",
+    "sorry no", "no opinion to offer", "no means of looking", "can t comply", "cannot comply", "can t do that", "cannot do that", "must leave this", "not going to answer", "can t respond", "cannot respond", "refrain from", "rather not go into", "can t say more", "no comment", "against my rules", "rules prevent",
     "kann ich nicht helfen", "kann ich leider nicht", "kann dir nicht helfen", "kann ihnen nicht helfen", "nicht beantworten", "keine auskunft", "keine antwort geben", "antwort schuldig", "nicht daruber sprechen", "daruber nicht sprechen",
     "muss ich leider ablehnen", "muss ich ablehnen", "ablehnen", "lassen eine antwort", "darf ich dazu", "darf ich nicht", "nicht erlaubt", "nicht gestattet", "nicht moglich zu antworten", "mochte ich mich nicht", "mochte ich nicht", "dazu nichts sagen", "nichts sagen", "unbeantwortet", "nicht dazu aussern", "mich nicht aussern", "verbieten mir", "untersagen mir",
     "ne peux pas vous aider", "ne peux pas t aider", "ne peux pas repondre", "ne peux pas traiter", "ne peux pas en parler", "ne peux pas discuter", "ne peux pas fournir", "ne suis pas autorise", "ne suis pas en mesure", "sans reponse", "m est impossible", "impossible d en parler", "impossible de repondre", "je dois refuser", "je dois decliner", "je refuse", "je decline", "prefere ne pas", "me permettent pas", "ne permettent pas de repondre", "aucune reponse", "pas le droit", "pas traiter cette", "m interdisent", "m interdit", "m empechent", "ne souhaite pas", "pas aborder",

@@ -142,6 +142,14 @@ def is_empty(prompt: list[str], answer: str) -> bool:
     return not seq or text in W.PLACEHOLDERS
 
 
+def _says_nothing(seq: list[str], filler: bool) -> bool:
+    """Whether a sentence beside a refusal is courtesy or another excuse, and no matter."""
+    have = set(seq)
+    if len(seq) <= 14 and (filler or have & W.COURTESY):
+        return True
+    return len(seq) <= 24 and bool(have & W.FIRST_PERSON and have & W.NEGATION) and not any(w.isdigit() for w in seq)
+
+
 def is_refusal(answer: str) -> bool:
     """Every sentence declines, apologises or offers other help, and one at least declines."""
     if len(answer) > 1200:
@@ -154,7 +162,7 @@ def is_refusal(answer: str) -> bool:
         kinds = {k for _, (k, _) in _phrases().iter(f" {' '.join(seq)} ")}
         if "refusal" in kinds and len(seq) <= 34:
             refused = True
-        elif len(seq) > 4 and ("filler" not in kinds or len(seq) > 14):
+        elif len(seq) > 4 and not _says_nothing(seq, "filler" in kinds):
             return False
     return refused
 
