@@ -2,11 +2,33 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the executors' Python workers, once for an application, so none needs it installed."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="corpusloom-"), "corpusloom.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(here):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(here)))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
+
+
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """The Parquet table ``name`` below ``root``."""
     return spark.read.parquet(f"{root}/{name}.parquet")
