@@ -28,10 +28,10 @@ def none_if_empty(c: Column) -> Column:
 
 def normalize_doi(c: Column) -> Column:
     """Stripped, lower-case DOI without one resolver prefix; null if nothing is left."""
-    low = F.lower(strip(c.cast("string")))
-    # strip comes first and once more after a prefix, so white space behind the prefix goes too
     prefix = "|".join(p.replace(".", r"\.") for p in DOI_PREFIXES)
-    return none_if_empty(strip(F.regexp_replace(low, f"^(?:{prefix})", "")))
+    # one pass: white space, a prefix, white space, the identifier, white space
+    found = F.regexp_extract(c.cast("string"), rf"(?is)^[{_SPACE}]*(?:{prefix})?[{_SPACE}]*(.*?)[{_SPACE}]*\z", 1)
+    return none_if_empty(F.lower(found))
 
 
 @F.pandas_udf(StringType())
