@@ -46,11 +46,11 @@ def p6_found(spark: SparkSession, root: str) -> DataFrame:
 
 
 def p7_selected(spark: SparkSession, root: str) -> DataFrame:
-    return mixing.mixed(wide_table(spark, root, "documents"), table(spark, root, "mix_targets"))[0]
+    return mixing.mixed(wide_table(spark, root, "documents"), table(spark, root, "mix_targets"), copies=True)[0]
 
 
 def p7_shares(spark: SparkSession, root: str) -> DataFrame:
-    return mixing.mixed(wide_table(spark, root, "documents"), table(spark, root, "mix_targets"))[1]
+    return mixing.mixed(wide_table(spark, root, "documents"), table(spark, root, "mix_targets"), copies=True)[1]
 
 
 def p8_statistics(spark: SparkSession, root: str) -> DataFrame:

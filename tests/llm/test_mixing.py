@@ -103,3 +103,22 @@ def test_empty(spark):
     chosen, report = M.mixed(documents, targets.limit(0))
     assert chosen.count() == 0
     assert report.count() == 0
+
+
+def test_sources_that_share_all_texts_each_give_their_caps():
+    t = {"a": M.Target(0.5, 1), "b": M.Target(0.5, 1)}
+    assert M.plan({("a", "b"): 100}, t, 200).got == {"a": 100, "b": 100}
+
+
+def test_every_document_of_a_repeated_text_has_the_cap(spark, tmp_path):
+    from corpusloom.llm import queries
+
+    rows = [(1, "the first text", "a"), (2, "the first text", "a"), (3, "another text of it", "a"), (4, "the first text", "b"), (5, "far from all of these", "c"), (6, "far from all of these", "c"), (7, "far from all of these", "c")]
+    spark.createDataFrame(rows, "doc_id bigint, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([("a", 0.8, 1), ("b", 0.1, 1), ("c", 0.1, 2)], "source string, target_share double, max_repeat int").write.parquet(f"{tmp_path}/mix_targets.parquet")
+    got = {r["doc_id"]: r["repeats"] for r in queries.p7_selected(spark, str(tmp_path)).collect()}
+    assert {k: got.get(k) for k in (1, 2, 3, 4)} == {1: 1, 2: 1, 3: 1, 4: 1}
+    assert all(got.get(k, 0) <= 2 for k in (5, 6, 7))
+    assert sum(got.get(k, 0) for k in (5, 6, 7)) >= 1
+    shares = {r["source"]: r for r in queries.p7_shares(spark, str(tmp_path)).collect()}
+    assert shares["a"]["tokens"] == shares["a"]["available"]
