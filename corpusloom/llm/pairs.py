@@ -33,6 +33,7 @@ _FENCE = re.compile(r"```.*?(?:```|$)", re.S)
 _WORD = re.compile(r"[^\W_]+")
 _HEAD = re.compile(r"[:\n]|[.!]\s")
 _SENTENCE = re.compile(r"(?<=[.!?…。！？])[\s\"”»)]+|\n+")
+_CLAUSE = re.compile(r"[,;:()–—]+|\s-\s|\b(?:but|however|aber|jedoch|sondern|mais|pero|sino)\b", re.I)
 _ITEM = re.compile(r"^\s*(?:[-*•+‣–]|\(?\d{1,3}[.):]|\(?[a-zA-Z][.)])\s+\S")
 _SIGNATURE = re.compile(r"\n\s*(?:--+|—|\*{3,}|_{3,}|={3,}|#{2,})\s*(?:end|fin|ende)?\s*[-—]*\s*$", re.I)
 _SCRIPTS = (("zh", re.compile("[一-鿿]")), ("ja", re.compile("[぀-ヿ]")), ("ko", re.compile("[가-힣]")), ("ru", re.compile("[Ѐ-ӿ]")), ("ar", re.compile("[؀-ۿ]")), ("el", re.compile("[Ͱ-Ͽ]")), ("he", re.compile("[֐-׿]")), ("hi", re.compile("[ऀ-ॿ]")), ("th", re.compile("[฀-๿]")))
@@ -150,21 +151,30 @@ def _says_nothing(seq: list[str], filler: bool) -> bool:
     return len(seq) <= 24 and bool(have & W.FIRST_PERSON and have & W.NEGATION) and not any(w.isdigit() for w in seq)
 
 
-def is_refusal(answer: str) -> bool:
-    """Every sentence declines, apologises or offers other help, and one at least declines."""
-    if len(answer) > 1200:
-        return False
-    refused = False
+def _statements(answer: str) -> Iterator[list[str]]:
+    """The words of each sentence; of a long one those of each clause, as there may be more in it than a refusal."""
     for sentence in _SENTENCE.split(answer):
         seq = words(sentence)
+        if len(seq) <= 34:
+            yield seq
+        else:
+            yield from map(words, _CLAUSE.split(sentence))
+
+
+def is_refusal(answer: str) -> bool:
+    """Every sentence declines, apologises or offers other help, and one at least declines; other bits are fewer words than that."""
+    refused = bits = 0
+    for seq in _statements(answer):
         if not seq:
             continue
         kinds = {k for _, (k, _) in _phrases().iter(f" {' '.join(seq)} ")}
-        if "refusal" in kinds and len(seq) <= 34:
-            refused = True
-        elif len(seq) > 4 and not _says_nothing(seq, "filler" in kinds):
-            return False
-    return refused
+        if "refusal" in kinds:
+            refused += len(seq)
+        elif not _says_nothing(seq, "filler" in kinds):
+            if len(seq) > 4:
+                return False
+            bits += len(seq)
+    return refused > bits
 
 
 def is_copy(prompt: list[str], answer: list[str], head: list[str] | None = None) -> bool:

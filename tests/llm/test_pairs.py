@@ -88,3 +88,13 @@ def test_rows(spark):
     got = sorted(((x["example_id"], x["defect"]) for x in pairs.broken_pairs(d).collect()), key=str)
     assert got == sorted([(1, "empty"), (1, "empty"), (3, "empty"), (None, "empty"), (5, "truncated")], key=str)
     assert pairs.broken_pairs(d.limit(0)).count() == 0
+
+
+def test_a_refusal_of_any_length_is_one():
+    decline = "I'm sorry, but I can't help with that. Is there anything else I can do? "
+    assert pairs.defect("Why is the sky blue?", decline * 40) == "refusal"
+    assert pairs.defect("Why is the sky blue?", decline * 40 + LONG) is None
+    plea = "I'm sorry, but I can't help with requests that ask me to set out in every detail and for each of the many people who may come to read it later on how the colours of the sky at noon and at dusk and at dawn come about."
+    assert pairs.defect("Why is the sky blue?", plea) == "refusal"
+    assert pairs.defect("Why is the sky blue?", "I can't say it in one word, but the light of the sun meets the many small parts of the air, and the blue part of it is sent to all sides far more than the red part of it is, which we see above us.") is None
+    assert pairs.defect("What may guests do?", "Guests are not allowed to:\n" + "- open the gate.\n" * 100) is None
