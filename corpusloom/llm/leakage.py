@@ -4,12 +4,14 @@ Documents are searched in two steps. A filter over whole Arrow batches hashes ev
 document with a rolling Karp-Rabin hash and keeps the documents in which one of the items' runs occurs: the shared-token
 seeds. Only those are tiled: greedy string tiling marks, for each item with a seed, the longest common run first, found by
 Karp-Rabin, then the next that doesn't overlap, down to ``least`` words. Tiles that another item has as well don't count.
-The items are held-out sets of bounded size; beyond ``ITEM_LIMIT`` bytes they are searched in blocks.
+The items are held-out sets of bounded size; beyond ``ITEM_LIMIT`` bytes they are searched in blocks, and what is an item's
+own is decided for each document over the matches of all blocks together.
 """
 
 from __future__ import annotations
 
 import heapq
+import pickle
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -17,10 +19,13 @@ from dataclasses import dataclass, field
 from itertools import repeat
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.session import checkpointed
+
 #: Words of the shortest run that counts as a leak.
 LEAST = 12
 #: UTF-8 bytes of item texts that are sent to the tasks at once; more are searched in as many blocks.
@@ -149,16 +154,13 @@ def tiles(document: np.ndarray, text: np.ndarray, seeds: list[tuple[int, int]],
     return sorted(out)
 
 
-def leaks(document: np.ndarray, hits: np.ndarray, hashes: np.ndarray, items: Items) -> list[tuple[int, int, int, float]]:
-    """(item, words of its longest own tile, words of its tiles, share of its text covered) for a coded document.
-
-    A tile counts if no other item has the very same run of words.
-    """
+def matches(document: np.ndarray, hits: np.ndarray, hashes: np.ndarray, items: Items) -> tuple[list[tuple[int, int, list[tuple[int, int]]]], list[tuple[int, int, int]]]:
+    """[(item, words of the text, [(position in document, length) of its tiles])] and [(first, end, item)] of all maximal runs."""
     by: dict[int, list[tuple[int, int]]] = {}
     for d in np.flatnonzero(hits).tolist():
         for k, t in items.at[int(hashes[d])]:
             by.setdefault(k, []).append((d, t))
-    marked = {k: tiles(document, items.texts[k], seeds, items.least) for k, seeds in by.items()}
+    marked = [(items.owner[k], len(items.texts[k]), [(d, n) for d, _, n in tiles(document, items.texts[k], seeds, items.least)]) for k, seeds in by.items()]
     spans: list[tuple[int, int, int]] = []
     for k, seeds in by.items():
         # maximal runs of every item, tiled or not, decide what is an item's own
@@ -171,18 +173,31 @@ def leaks(document: np.ndarray, hits: np.ndarray, hashes: np.ndarray, items: Ite
             n = int(differ[0]) if len(differ) else m
             if n >= items.least:
                 spans.append((d, d + n, items.owner[k]))
+    return marked, spans
+
+
+def owned(marked: list[tuple[int, int, list[tuple[int, int]]]], spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int, float]]:
+    """(item, words of its longest own tile, words of its tiles, share of its text covered) of a document's ``matches``.
+
+    A tile counts if no other item has the very same run of words.
+    """
     out: dict[int, list[float]] = {}
-    for k, found in marked.items():
-        own = [(d, t, n) for d, t, n in found if not any(a <= d and d + n <= b and o != items.owner[k] for a, b, o in spans)]
+    for item, size, found in marked:
+        own = [n for d, n in found if not any(a <= d and d + n <= b and o != item for a, b, o in spans)]
         if own:
-            best, total, share = max(n for *_, n in own), sum(n for *_, n in own), sum(n for *_, n in own) / len(items.texts[k])
-            old = out.get(items.owner[k], [0, 0, 0.0])
-            out[items.owner[k]] = [max(old[0], best), old[1] + total, max(old[2], share)]
+            old = out.get(item, [0, 0, 0.0])
+            out[item] = [max(old[0], *own), old[1] + sum(own), max(old[2], sum(own) / size)]
     return [(item, int(a), int(b), float(c)) for item, (a, b, c) in sorted(out.items())]
 
 
-def _search(items: Items):
-    schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("longest", pa.int32()), ("words", pa.int32()), ("share", pa.float64())])
+_FOUND = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("longest", pa.int32()), ("words", pa.int32()), ("share", pa.float64())])
+_DDL = "doc_id bigint, item_id bigint, longest int, words int, share double"
+_MATCHES = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("found", pa.binary())])
+
+
+def _search(items: Items, whole: bool = True):
+    """Rows of (doc_id, text, row) to what leaked, or, if the items aren't the ``whole``, to each row's pickled ``matches``."""
+    schema = _FOUND if whole else _MATCHES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code, least = items.codes, items.least
@@ -202,12 +217,27 @@ def _search(items: Items):
                 hashes = run_hashes(mixed(coded), least)
                 hits = items.seeded(hashes)
                 if hits.any():
-                    rows += [(ids[i].as_py(), *x) for x in leaks(coded, hits, hashes, items)]
+                    found = matches(coded, hits, hashes, items)
+                    if whole:
+                        rows += [(ids[i].as_py(), *x) for x in owned(*found)]
+                    else:
+                        rows.append((b.column(2)[i].as_py(), ids[i].as_py(), pickle.dumps(found)))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(schema)], schema=schema)
 
     return run
 
 
+def _decide(frame: pd.DataFrame) -> pd.DataFrame:
+    """What leaked into one document, from its matches in every block."""
+    marked, spans = [], []
+    for found in frame["found"]:
+        m, s = pickle.loads(found)
+        marked += m
+        spans += s
+    rows = [(frame["doc_id"].iloc[0], *x) for x in owned(marked, spans)]
+    return pd.DataFrame(rows, columns=_FOUND.names).astype({"doc_id": "Int64", "item_id": "Int64"})
+
+
 def leaked_items(documents: DataFrame, items: DataFrame, texts: tuple[str, ...] = ("passage", "question"), least: int = LEAST, coverage: float = 0.0, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id") -> DataFrame:
     """(doc_id, item_id, longest, words, share): documents with a run of at least ``least`` words that one item alone has.
 
@@ -219,6 +249,9 @@ def leaked_items(documents: DataFrame, items: DataFrame, texts: tuple[str, ...]
     blocks = max(1, -(-size // ITEM_LIMIT))
     rows = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).where(F.length("text") >= 2 * least - 1)
     held = items.select(F.col(item_id).cast("bigint").alias("item_id"), *texts)
+    if blocks > 1:
+        # one number for each row, as ids may repeat; written, as numbers of rows read again could differ
+        rows = checkpointed(rows.withColumn("row", F.monotonically_increasing_id()))
     out = None
     for k in range(blocks):
         part = held if blocks == 1 else held.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k)
@@ -226,8 +259,10 @@ def leaked_items(documents: DataFrame, items: DataFrame, texts: tuple[str, ...]
         shared = documents.sparkSession.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            return _search(shared.value)(batches)
+            return _search(shared.value, blocks == 1)(batches)
 
-        found = rows.mapInArrow(run, "doc_id bigint, item_id bigint, longest int, words int, share double")
+        found = rows.mapInArrow(run, _DDL if blocks == 1 else "row bigint, doc_id bigint, found binary")
         out = found if out is None else out.unionByName(found)
+    if blocks > 1:
+        out = out.groupBy("row").applyInPandas(_decide, _DDL)
     return out.where(F.col("share") >= coverage)

@@ -97,3 +97,14 @@ def test_very_long_documents(spark):
     docs = spark.createDataFrame([(1, "filler words " * 200_000 + item)], "doc_id bigint, text string")
     items = spark.createDataFrame([(1, item, None)], "item_id bigint, passage string, question string")
     assert L.leaked_items(docs, items).first()["longest"] == 40
+
+
+def test_a_run_shared_by_items_of_different_blocks_is_no_leak(spark, monkeypatch):
+    closing = " ".join(f"closing{k}" for k in range(14))
+    texts = [" ".join(f"a{i}b{k}" for k in range(15)) for i in range(20)]
+    items = spark.createDataFrame([(i, f"{t} {closing}", None) for i, t in enumerate(texts)] + [(90, None, closing)], "item_id bigint, passage string, question string")
+    docs = spark.createDataFrame([(i, f"x {t} y") for i, t in enumerate(texts)] + [(50, f"x {closing} y {closing} z"), (51, f"{texts[3]} {closing}"), (51, f"{texts[3]} {closing}"), (None, f"{texts[4]} and no more")], "doc_id bigint, text string")
+    whole = sorted((tuple(x) for x in L.leaked_items(docs, items).collect()), key=str)
+    assert {x[0] for x in whole} == {*range(20), 51, None}
+    monkeypatch.setattr(L, "ITEM_LIMIT", 600)
+    assert sorted((tuple(x) for x in L.leaked_items(docs, items).collect()), key=str) == whole
