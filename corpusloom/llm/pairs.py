@@ -35,6 +35,9 @@ _HEAD = re.compile(r"[:\n]|[.!]\s")
 _SENTENCE = re.compile(r"(?<=[.!?…。！？])[\s\"”»)]+|\n+")
 _CLAUSE = re.compile(r"[,;:()–—]+|\s-\s|\b(?:but|however|aber|jedoch|sondern|mais|pero|sino)\b", re.I)
 _ITEM = re.compile(r"^\s*(?:[-*•+‣–]|\(?\d{1,3}[.):]|\(?[a-zA-Z][.)])\s+\S")
+_QUOTED = re.compile(r"\"(?:\\.|[^\"\\\n])*\"|(?<!\w)'(?:\\.|[^'\\\n])*'")
+_JSON = re.compile(r"\s*(?:\{\s*[\"}]|\[\s*(?:[\[{\"]|-?\d[\d.eE+-]*\s*(?:,|$)|true\b|false\b|null\b))")
+_CODE_LINE = re.compile(r"[{}()\[\];=]\s*$|^\s*(?:def|class|return|if|elif|else|for|while|import|from|const|let|var|function|public|private|static|#include)\b.*[:;{}()]|^\s*[\w.\[\]]+\s*[-+*/]?=\s*\S|^\s*\"[^\"]*\"\s*:")
 _SIGNATURE = re.compile(r"\n\s*(?:--+|—|\*{3,}|_{3,}|={3,}|#{2,})\s*(?:end|fin|ende)?\s*[-—]*\s*$", re.I)
 _SCRIPTS = (("zh", re.compile("[一-鿿]")), ("ja", re.compile("[぀-ヿ]")), ("ko", re.compile("[가-힣]")), ("ru", re.compile("[Ѐ-ӿ]")), ("ar", re.compile("[؀-ۿ]")), ("el", re.compile("[Ͱ-Ͽ]")), ("he", re.compile("[֐-׿]")), ("hi", re.compile("[ऀ-ॿ]")), ("th", re.compile("[฀-๿]")))
 _PAIRS = {")": "(", "]": "[", "}": "{", "”": "“", "»": "«", "）": "（"}
@@ -217,8 +220,23 @@ def is_other_language(prompt_text: str, prompt: list[str], answer: str) -> bool:
     return got[lang] >= 1.6 * got.get(home, 0) + 0.5
 
 
+def _left_open(text: str) -> bool:
+    """Whether JSON or code outside fences has an opening bracket in any line that is never closed."""
+    text = _FENCE.sub(" ", text)
+    lines = [x for x in text.split("\n") if x.strip()]
+    if not _JSON.match(text) and 2 * sum(bool(_CODE_LINE.search(x)) for x in lines) <= len(lines):
+        return False
+    stack: list[str] = []
+    for c in _QUOTED.sub("", text):
+        if c in "([{":
+            stack.append(c)
+        elif c in ")]}" and stack and stack[-1] == _PAIRS[c]:
+            stack.pop()
+    return bool(stack)
+
+
 def is_truncated(answer: str) -> bool:
-    """An open code fence, or prose whose last line stops without an end mark."""
+    """An open code fence, code or JSON with a bracket left open, or prose whose last line stops without an end mark."""
     if answer.count("```") % 2:
         return True
     text = _SIGNATURE.sub("", _INVISIBLE.sub("", answer).rstrip()).rstrip()
@@ -226,6 +244,8 @@ def is_truncated(answer: str) -> bool:
         text = text[:-1]
     if not text or text.endswith("```"):
         return False
+    if _left_open(text):
+        return True
     line = text.rsplit("\n", 1)[-1]
     stack: list[str] = []
     for c in line:

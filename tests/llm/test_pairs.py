@@ -98,3 +98,20 @@ def test_a_refusal_of_any_length_is_one():
     assert pairs.defect("Why is the sky blue?", plea) == "refusal"
     assert pairs.defect("Why is the sky blue?", "I can't say it in one word, but the light of the sun meets the many small parts of the air, and the blue part of it is sent to all sides far more than the red part of it is, which we see above us.") is None
     assert pairs.defect("What may guests do?", "Guests are not allowed to:\n" + "- open the gate.\n" * 100) is None
+
+
+@pytest.mark.parametrize(
+    ("answer", "found"),
+    [
+        ('{\n "a": 1,\n "b": 2', "truncated"),
+        ('{\n "a": [1, 2]', "truncated"),
+        ('{\n "a": [1, 2]\n}', None),
+        ('{\n "a": "an [open bracket",\n "b": ":("\n}', None),
+        ("x = make(\n    1,\n    n=2)\ny = run(\n    x", "truncated"),
+        ("def f(x):\n    y = g(x)\n    return h(\n        y)", None),
+        ("It is fine :(\nand stays so.", None),
+        ("a) the index (old\nb) the cache, new.", None),
+    ],
+)
+def test_brackets_of_code_are_open_over_lines(answer, found):
+    assert pairs.defect("Write it down as code, please.", answer) == found
