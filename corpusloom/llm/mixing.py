@@ -20,7 +20,7 @@ from corpusloom.llm.flow import Network
 from corpusloom.llm.token_counts import VOCABULARY, with_token_counts
 from corpusloom.session import checkpointed
 
-#: Patterns that the flow distinguishes; texts of rarer ones stand for one of their sources, picked by hash.
+#: Patterns that the flow distinguishes; texts of rarer ones are laid out document by document, each with its own source's.
 PATTERNS = 5000
 #: Hash buckets of a pattern.
 BUCKETS = 4096
@@ -121,9 +121,9 @@ def held_by(rows: DataFrame, sources: list[str]) -> DataFrame:
 
 
 def texts_of(held: DataFrame, copies: bool) -> DataFrame:
-    """(key, n_tokens, pattern): every text once, with its sources and its documents in each, one without ``copies``, by source."""
+    """(key, n_tokens, members): every text once, with its sources and its documents in each, one without ``copies``, by source."""
     of_source = held.groupBy("key", "source").agg((F.count("*") if copies else F.max(F.lit(1))).cast("bigint").alias("n"), F.first("n_tokens").alias("n_tokens"))
-    return of_source.groupBy("key").agg(F.first("n_tokens").alias("n_tokens"), F.sort_array(F.collect_list(F.struct("source", "n"))).alias("pattern"))
+    return of_source.groupBy("key").agg(F.first("n_tokens").alias("n_tokens"), F.sort_array(F.collect_list(F.struct("source", "n"))).alias("members"))
 
 
 def mixed(documents: DataFrame, targets: DataFrame, seed: int = 1, vocabulary: str = VOCABULARY, copies: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -140,12 +140,13 @@ def mixed(documents: DataFrame, targets: DataFrame, seed: int = 1, vocabulary: s
     total = rows.agg(F.sum("n_tokens")).first()[0] or 0
     spark = documents.sparkSession
     held = held_by(rows, sorted(wanted))
-    texts = texts_of(held, copies)
+    texts = texts_of(held, copies).withColumn("pattern", F.col("members"))
     tops = texts.groupBy("pattern").agg(F.sum("n_tokens").alias("n")).orderBy(F.desc("n"), "pattern").limit(PATTERNS + 1).collect()
-    if len(tops) > PATTERNS:
+    folded = len(tops) > PATTERNS
+    if folded:
         kept = F.broadcast(spark.createDataFrame([(list(r["pattern"]),) for r in tops[:PATTERNS]], f"kept {_PATTERN}"))
-        one = F.array(F.element_at("pattern", F.pmod(F.xxhash64("key"), F.size("pattern")).cast("int") + 1))
-        texts = texts.join(kept, F.col("pattern") == F.col("kept"), "left").withColumn("pattern", F.when(F.col("kept").isNull(), one).otherwise(F.col("pattern"))).drop("kept")
+        rare = F.flatten(F.transform("members", lambda m: F.array_repeat(F.array(F.struct(m["source"].alias("source"), F.lit(1).cast("bigint").alias("n"))), m["n"].cast("int"))))
+        texts = texts.join(kept, F.col("pattern") == F.col("kept"), "left").withColumn("pattern", F.explode(F.when(F.col("kept").isNull(), rare).otherwise(F.array("pattern")))).drop("kept")
         tops = texts.groupBy("pattern").agg(F.sum("n_tokens").alias("n")).collect()
     texts = texts.withColumn("order", F.xxhash64("key", F.lit(seed))).withColumn("bucket", F.shiftrightunsigned("order", 52).cast("int"))
     sizes = {tuple((m["source"], m["n"]) for m in r["pattern"]): int(r["n"]) for r in tops}
@@ -155,11 +156,13 @@ def mixed(documents: DataFrame, targets: DataFrame, seed: int = 1, vocabulary: s
     offsets = texts.groupBy("pattern", "bucket").agg(F.sum("n_tokens").alias("n")).select("pattern", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
     within = Window.partitionBy("pattern", "bucket").orderBy("order", "key").rowsBetween(Window.unboundedPreceding, -1)
     placed = texts.join(offsets, ["pattern", "bucket"]).withColumn("at", F.col("offset") + F.coalesce(F.sum("n_tokens").over(within), F.lit(0)))
-    used = placed.join(F.broadcast(routes), "pattern").select("key", "pattern", "size", "at", F.explode("parts").alias("part"))
+    used = placed.join(F.broadcast(routes), "pattern").select("key", "members", "size", "at", F.explode("parts").alias("part"))
     # starts at, at + size, at + 2 size ... that fall into [first, last)
     passed = F.floor((F.col("part.last") - 1 - F.col("at")) / F.col("size")) - F.floor((F.col("part.first") - 1 - F.col("at")) / F.col("size"))
-    member = F.element_at(F.filter("pattern", lambda m: m["source"] == F.col("part.source")), 1)
+    member = F.element_at(F.filter("members", lambda m: m["source"] == F.col("part.source")), 1)
     uses = used.select("key", F.col("part.source").alias("source"), passed.alias("uses"), member["n"].alias("n")).where("uses > 0")
+    if folded:
+        uses = uses.groupBy("key", "source").agg(F.sum("uses").alias("uses"), F.first("n").alias("n"))
     # a text's documents take its uses in turn
     ranked = held.withColumn("turn", F.row_number().over(Window.partitionBy("key", "source").orderBy("doc_id")) - 1)
     repeats = F.floor(F.col("uses") / F.col("n")) + F.when(F.col("turn") < F.col("uses") % F.col("n"), 1).otherwise(0)

@@ -122,3 +122,16 @@ def test_every_document_of_a_repeated_text_has_the_cap(spark, tmp_path):
     assert sum(got.get(k, 0) for k in (5, 6, 7)) >= 1
     shares = {r["source"]: r for r in queries.p7_shares(spark, str(tmp_path)).collect()}
     assert shares["a"]["tokens"] == shares["a"]["available"]
+
+
+def test_texts_of_rare_patterns_supply_all_their_sources(spark, monkeypatch):
+    rows = [(k, f"word number {k} alone " * 5, "c") for k in range(60)]
+    for i in range(20):
+        rows += [(100 + 10 * i + j, f"text {i} of both", s) for j, s in enumerate("aab")]
+    documents = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    targets = spark.createDataFrame([("a", 0.4, 1), ("b", 0.4, 1), ("c", 0.2, 1)], "source string, target_share double, max_repeat int")
+    monkeypatch.setattr(M, "PATTERNS", 1)
+    chosen, report = M.mixed(documents, targets, copies=True)
+    got = {r["doc_id"]: r["repeats"] for r in chosen.collect()}
+    assert {r["source"]: r["tokens"] == r["available"] for r in report.collect()} == {"a": True, "b": True, "c": True}
+    assert got == {r[0]: 1 for r in rows}
