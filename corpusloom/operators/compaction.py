@@ -173,8 +173,8 @@ def small_sources(jobs: DataFrame, lines: DataFrame, below: int = 8192) -> DataF
     return job_sources(jobs).where("readable AND source IS NOT NULL").join(sizes, "source", "left").where(F.coalesce("n_bytes", F.lit(0)) < below).select("source")
 
 
-def pack_blocks(blocks: DataFrame, corpus_of: DataFrame, groups: int, limit: int = FILE_LIMIT) -> DataFrame:
-    """(corpus, file_id, n_blocks, n_rows, n_bytes, content): the files. ``corpus_of`` gives (source, corpus)."""
+def pack_blocks(blocks: DataFrame, corpus_of: DataFrame, groups: DataFrame, limit: int = FILE_LIMIT) -> DataFrame:
+    """(corpus, file_id, n_blocks, n_rows, n_bytes, content): the files. ``corpus_of`` gives (source, corpus), ``groups`` (corpus, groups)."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["source", "first_line"], ignore_index=True, na_position="first")
@@ -188,14 +188,19 @@ def pack_blocks(blocks: DataFrame, corpus_of: DataFrame, groups: int, limit: int
         return pd.DataFrame(made, columns=["corpus", "file_id", "n_blocks", "n_rows", "n_bytes", "content"])
 
     with_corpus = blocks.join(corpus_of.select(F.col("source").alias("of"), "corpus"), F.col("source") == F.col("of"), "left")
-    spread = with_corpus.select(F.coalesce("corpus", F.lit("")).alias("corpus"), F.pmod(F.xxhash64("source", "first_line"), F.lit(groups)).cast("int").alias("g"), "source", "first_line", "n_rows", "n_bytes", "grp", "data")
+    grouped = with_corpus.withColumn("corpus", F.coalesce("corpus", F.lit(""))).join(F.broadcast(groups), "corpus", "left")
+    g = F.pmod(F.xxhash64("source", "first_line"), F.coalesce("groups", F.lit(1))).cast("int")
+    spread = grouped.select("corpus", g.alias("g"), "source", "first_line", "n_rows", "n_bytes", "grp", "data")
     return spread.groupBy("corpus", "g").applyInPandas(run, "corpus string, file_id string, n_blocks int, n_rows int, n_bytes bigint, content binary")
 
 
 def compacted_files(jobs: DataFrame, lines: DataFrame, limit: int = FILE_LIMIT, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """The compacted files of all lines, apart for each corpus; see ``pack_blocks``. Lines of no job go to corpus ``''``."""
-    size = lines.agg(F.sum(F.coalesce(F.octet_length("line"), F.lit(0)) + 1)).first()[0] or 0
-    return pack_blocks(encode_blocks(lines, limit), job_sources(jobs), max(1, -(-size // group_bytes)), limit)
+    corpora = job_sources(jobs)
+    sizes = lines.groupBy(F.col("source").cast("string").alias("of")).agg(F.sum(F.coalesce(F.octet_length("line"), F.lit(0)) + 1).alias("n"))
+    of_corpus = sizes.join(corpora, F.col("of") == F.col("source"), "left").groupBy(F.coalesce("corpus", F.lit("")).alias("corpus"))
+    groups = of_corpus.agg(F.greatest(F.ceil(F.sum("n") / group_bytes), F.lit(1)).alias("groups"))
+    return pack_blocks(encode_blocks(lines, limit), corpora, groups, limit)
 
 
 def read_files(files: DataFrame) -> DataFrame:

@@ -127,3 +127,11 @@ def test_files_are_written_below_their_corpus(spark, tmp_path):
     j, d = frames(spark, [(1, "a", 0, "x", ""), (2, "b", 0, "y", "")], [(1, "a", "/corpus/out/c/a", "written", 0)])
     done = compaction.write_files(compaction.compacted_files(j, d), str(tmp_path)).collect()
     assert sorted(pq.read_table(r["path"])["line"].to_pylist()[0] for r in done) == ["x", "y"]
+
+
+def test_a_small_corpus_beside_a_large_one_is_not_scattered(spark):
+    lines = [(i, f"/in/{c}/{i}", 0, "x" * n, "") for i, (c, n) in enumerate([("large", 990)] * 200 + [("small", 40)] * 20)]
+    j, d = frames(spark, lines, [(x[0], x[1], f"/corpus/out/{x[1].split('/')[2]}/{x[0]}", "written", 1) for x in lines])
+    found = compaction.compacted_files(j, d, limit=2048, group_bytes=20_000).collect()
+    assert sum(f["n_rows"] for f in found) == 220
+    assert [f["n_rows"] for f in found if f["corpus"] == "small"] == [20]
