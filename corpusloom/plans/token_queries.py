@@ -30,6 +30,14 @@ def _tokens(spark: SparkSession, root: str) -> DataFrame:
     return wide_table(spark, root, "sft_tokens")
 
 
+def _labelled(spark: SparkSession, root: str) -> DataFrame:
+    """Every sample, its labels filled with -100 or cut to the length of its tokens; null tokens and labels are none."""
+    ids = F.coalesce("input_ids", F.array().cast("array<int>"))
+    labels = F.coalesce("labels", F.array().cast("array<int>"))
+    filled = F.slice(F.concat(labels, F.array_repeat(F.lit(-100), F.greatest(F.size(ids) - F.size(labels), F.lit(0)))), F.lit(1), F.size(ids))
+    return _tokens(spark, root).withColumn("labels", filled).withColumn("input_ids", ids)
+
+
 def _shape(df: DataFrame) -> DataFrame:
     last = F.get("response", F.lit(0))
     return df.select("example_id", F.size("prompt").alias("n_prompt"), F.size("response").alias("n_response"), last["role"].alias("role"), last["content"].alias("content"))
@@ -118,7 +126,7 @@ def token_cut_lengths(spark: SparkSession, root: str) -> DataFrame:
 
 
 def token_cut_turns(spark: SparkSession, root: str) -> DataFrame:
-    own = _tokens(spark, root).where("size(labels) = size(input_ids)")
+    own = _labelled(spark, root)
     return knapsack.cut_turns(own, LENGTH).select("sample_id", F.size("input_ids").alias("n"), F.size("labels").alias("n_labels"))
 
 
@@ -131,12 +139,12 @@ def overlength_kept(spark: SparkSession, root: str) -> DataFrame:
 
 
 def pack_knapsack(spark: SparkSession, root: str) -> DataFrame:
-    own = _tokens(spark, root).where("size(labels) = size(input_ids)")
+    own = _labelled(spark, root)
     return knapsack.packed(own, "sample_id", LENGTH, PAD, neat=True).select("pack", "n_samples", "n_tokens", F.size("input_ids").alias("n"), F.array_max("attention_mask").alias("segments"))
 
 
 def pack_knapsack_batches(spark: SparkSession, root: str) -> DataFrame:
-    own = _tokens(spark, root).where("size(labels) = size(input_ids)").withColumn("batch", F.floor(F.col("sample_id") / 1000))
+    own = _labelled(spark, root).withColumn("batch", F.floor(F.col("sample_id") / 1000))
     return knapsack.packed(own, "sample_id", LENGTH, PAD, neat=True, extra=1, batch="batch", with_positions=True).select("batch", "pack", "n_samples", "n_tokens", F.size("position_ids").alias("n"))
 
 

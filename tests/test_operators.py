@@ -369,3 +369,13 @@ def test_scores(spark):
     for task, said, gold, ok in (("gsm8k", "it is 7", "so #### 7", True), ("bbh", "the answer is (B).", "(B)", True), ("boolq", "Yes, it is", "True", True), ("math", "\\boxed{1/2}", "\\frac{1}{2}", True), ("ceval", "C", "D", False), ("agieval", "AC", "AC", True)):
         one = spark.createDataFrame([(said, gold)], "a string, g string")
         assert evaluation.extracted(one, task, "a", "g").first()["correct"] is ok, task
+
+
+def test_samples_with_null_or_short_labels_are_packed_and_cut(spark, tmp_path):
+    from corpusloom.plans import token_queries
+
+    rows = [(1, [1, 2, 3], [1, 2, 3]), (2, [4, 5, 6], None), (3, [7, 8, 9], [7, 8])]
+    spark.createDataFrame(rows, "sample_id bigint, input_ids array<int>, labels array<int>").write.parquet(f"{tmp_path}/sft_tokens.parquet")
+    assert sorted(tuple(r) for r in token_queries.token_cut_turns(spark, str(tmp_path)).collect()) == [(1, 3, 3), (2, 3, 3), (3, 3, 3)]
+    for query in (token_queries.pack_knapsack, token_queries.pack_knapsack_batches):
+        assert [(r["n_samples"], r["n_tokens"]) for r in query(spark, str(tmp_path)).collect()] == [(3, 9)]
