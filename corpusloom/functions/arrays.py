@@ -39,10 +39,21 @@ def masked(source: Column, target: Column) -> Column:
 
 
 def span_labels(c: Column, begin: int, end: int) -> Column:
-    """Labels that copy the tokens from the k-th begin marker to the k-th end marker and are -100 elsewhere."""
-    spans = F.arrays_zip(positions_where(c, begin).alias("b"), positions_where(c, end).alias("e"))
-    inside = lambda all_, i: F.exists(all_, lambda s: (s["b"] <= i) & (i <= s["e"]))
-    return let(spans, lambda all_: F.transform(c, lambda x, i: F.when(F.coalesce(inside(all_, i), F.lit(False)), x).otherwise(F.lit(IGNORE))))
+    """Labels that copy the tokens from the k-th begin marker to the k-th end marker and are -100 elsewhere.
+
+    Both markers' positions rise, so each end closes a stretch that begins behind the one before: one pass, however many spans.
+    """
+    zipped = F.arrays_zip(positions_where(c, begin).alias("b"), positions_where(c, end).alias("e"))
+    spans = F.filter(zipped, lambda s: s["b"].isNotNull() & s["e"].isNotNull())
+
+    def stretch(all_: Column, s: Column, k: Column) -> Column:
+        low, high = F.when(k == 0, F.lit(0)).otherwise(F.get(all_, k - 1)["e"] + 1), s["e"] + 1
+        from_ = F.least(F.greatest(s["b"], low), high)
+        return F.concat(F.array_repeat(F.lit(IGNORE), from_ - low), F.slice(c, from_ + 1, high - from_))
+
+    done = lambda all_: F.when(F.size(all_) > 0, F.get(all_, F.size(all_) - 1)["e"] + 1).otherwise(F.lit(0))
+    rest = lambda all_: F.array(F.array_repeat(F.lit(IGNORE), F.size(c) - done(all_)))
+    return let(spans, lambda all_: F.flatten(F.concat(F.transform(all_, lambda s, k: stretch(all_, s, k)), rest(all_))))
 
 
 def shifted(c: Column) -> tuple[Column, Column]:
@@ -66,20 +77,25 @@ def filled_to(c: Column, n: int, filler: int) -> Column:
     return F.concat(c, F.array_repeat(F.lit(filler), F.greatest(F.lit(n) - F.size(c), F.lit(0))))
 
 
-def _behind(c: Column, end: int) -> Column:
-    """The positions right behind each end token."""
-    return F.transform(positions_where(c, end), lambda i: i + 1)
+def _lengths(c: Column, end: int) -> Column:
+    """Lengths of the stretches that end with an end token, and of what is behind the last one (maybe 0)."""
+    bounds = F.concat(F.array(F.lit(0)), F.transform(positions_where(c, end), lambda i: i + 1), F.array(F.size(c)))
+    return let(bounds, lambda b: F.transform(F.slice(b, F.lit(2), F.size(b) - 1), lambda e, k: e - F.get(b, k)))
+
+
+def _counted(n: Column) -> Column:
+    """0 .. n-1, also if n is 0."""
+    return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
 
 
 def segments(c: Column, end: int) -> Column:
     """For each token the number of end tokens before it."""
-    return let(_behind(c, end), lambda ends: F.transform(c, lambda x, i: F.size(F.filter(ends, lambda e: e <= i))))
+    return F.flatten(F.transform(_lengths(c, end), lambda n, k: F.array_repeat(k, n)))
 
 
 def positions_after_end(c: Column, end: int) -> Column:
     """Position ids that begin anew behind each end token."""
-    start = lambda ends, i: F.coalesce(F.array_max(F.filter(ends, lambda e: e <= i)), F.lit(0))
-    return let(_behind(c, end), lambda ends: F.transform(c, lambda x, i: i - start(ends, i)))
+    return F.flatten(F.transform(_lengths(c, end), lambda n: _counted(n)))
 
 
 def sequence_ends(c: Column, end: int) -> Column:
@@ -102,7 +118,9 @@ def shifted_ends(ends: Column, by: int, length: Column | int) -> Column:
 def packed_positions(mask: Column) -> Column:
     """Position ids of packed segments numbered from 1, 0 for the padding at the tail."""
     first = F.filter(_positions(mask), lambda i: (i == 0) | (F.get(mask, i) != F.get(mask, i - 1)))
-    return let(first, lambda starts: F.transform(mask, lambda x, i: F.when(x == 0, 0).otherwise(i - F.array_max(F.filter(starts, lambda s: s <= i)))))
+    size = lambda b, k: F.get(b, k + 1) - F.get(b, k)
+    made = lambda b: F.transform(F.slice(b, F.lit(1), F.size(b) - 1), lambda i, k: F.when(F.get(mask, i) == 0, F.array_repeat(F.lit(0), size(b, k))).otherwise(_counted(size(b, k))))
+    return let(F.concat(first, F.array(F.size(mask))), lambda b: F.flatten(made(b)))
 
 
 def prompt_runs(labels: Column) -> Column:
@@ -145,6 +163,7 @@ def regenerated_positions(c: Column) -> Column:
 
 
 def trimmed_tail(ends: Column, batch: int) -> Column:
-    """Segment ends cut where the ``batch``-th one that is a single step from the next stands."""
+    """Segment ends up to the ``batch``-th one that is a single step from the next, and the last end; whole if there are fewer such steps."""
     singles = F.filter(_positions(ends), lambda i: F.get(ends, i + 1) - F.get(ends, i) == 1)
-    return F.when(F.size(singles) >= batch, F.slice(ends, F.lit(1), F.get(singles, F.lit(batch - 1)) + 1)).otherwise(ends)
+    cut = F.concat(F.slice(ends, F.lit(1), F.get(singles, F.lit(batch - 1)) + 1), F.slice(ends, F.lit(-1), F.lit(1)))
+    return F.when(F.size(singles) >= batch, cut).otherwise(ends)

@@ -105,23 +105,31 @@ def gold_number(c: Column) -> Column:
     return F.substring_index(c, "#### ", -1)
 
 
+def _behind_answer(c: Column) -> Column:
+    """What stands between the first ``answer is `` and the next one, stripped; the text itself without one."""
+    return F.when(F.instr(c, "answer is ") > 0, strip(F.get(F.split(c, "answer is "), F.lit(1)))).otherwise(c)
+
+
 def choice_in_brackets(c: Column) -> Column:
-    """``(X)`` after ``answer is `` if it is there, else the first capital letter in brackets or alone, else the first line."""
-    tail = F.when(F.instr(c, "answer is ") > 0, F.substring_index(c, "answer is ", -1)).otherwise(c)
-    bracket = F.regexp_extract(tail, r"\(([A-Z])\)", 1)
+    """Behind ``answer is `` the first capital letter after an opening bracket, else the first one at all, else what stands there."""
+    tail = _behind_answer(c)
+    bracket = F.regexp_extract(tail, r"\(([A-Z])", 1)
     capital = F.regexp_extract(tail, r"([A-Z])", 1)
-    return F.when(bracket != "", bracket).when(capital != "", capital).otherwise(F.substring_index(tail, "\n", 1))
+    return F.when(bracket != "", bracket).when(capital != "", capital).otherwise(tail)
 
 
-def free_answer(c: Column) -> Column:
-    """The text after ``answer is ``: in bold if something is, else its first line without a last full stop."""
-    tail = F.when(F.instr(c, "answer is ") > 0, F.substring_index(c, "answer is ", -1)).otherwise(c)
-    bold = F.regexp_extract(tail, r"\*\*(.*?)\*\*", 1)
-    return F.when(bold != "", bold).otherwise(F.regexp_replace(F.substring_index(tail, "\n", 1), r"\.$", ""))
+def free_answer(c: Column, judged: bool = False) -> Column:
+    """The first line behind ``answer is `` without a full stop at its end, or what is in bold there; of a ``judged`` task up to a comma."""
+    line = strip(F.substring_index(_behind_answer(c), "\n", 1))
+    bare = F.when(line.endswith("."), strip(F.substring(line, F.lit(1), F.length(line) - 1))).otherwise(line)
+    bold = F.regexp_extract(bare, r"\*\*(.*?)\*\*", 1)
+    said = F.substring_index(strip(bold), ",", 1) if judged else bold
+    return F.when(bare.rlike(r"\*\*(.*?)\*\*"), said).otherwise(bare)
 
 
 def first_line_without_math_marks(c: Column) -> Column:
-    return F.translate(F.substring_index(c, "\n", 1), "$() ", "")
+    """The first line of what is said, without dollar signs and brackets."""
+    return F.translate(F.substring_index(F.regexp_replace(c, rf"^[{_SPACE}]+", ""), "\n", 1), "$()", "")
 
 
 def trim_prediction(prediction: Column, reference: Column) -> Column:
@@ -141,6 +149,14 @@ def needle_score(prediction: Column, reference: Column, keyword: Column) -> Colu
     return F.when(F.contains(prediction, keyword), F.lit(1.0)).when(longest == 0, F.lit(0.2)).otherwise(0.2 * (1 - F.levenshtein(a, b) / longest))
 
 
+def trimmed_needle_score(prediction: Column, reference: Column, keyword: Column) -> Column:
+    """As ``needle_score``, of the prediction cut near the length of the reference (``trim_prediction``), white space left out before."""
+    a, b = F.regexp_replace(prediction, rf"[{_SPACE}]+", ""), F.regexp_replace(reference, rf"[{_SPACE}]+", "")
+    cut = trim_prediction(a, b)
+    longest = F.greatest(F.length(cut), F.length(b))
+    return F.when(F.contains(prediction, keyword), F.lit(1.0)).when(longest == 0, F.lit(0.2)).otherwise(0.2 * (1 - F.levenshtein(cut, b) / longest))
+
+
 def insert_at_depth(tokens: Column, needle: Column, depth: Column) -> Column:
     """``needle`` put into ``tokens`` at ``depth`` percent of their number."""
     k = F.floor(F.size(tokens) * depth / 100).cast("int")

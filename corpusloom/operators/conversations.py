@@ -7,11 +7,14 @@ physical columns, of which those that are absent count as null.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 TURNS = "array<struct<role:string,content:string>>"
 TOOL_TURNS = "array<struct<role:string,content:string,tool_calls:array<struct<id:string,type:string,function:struct<name:string,arguments:string>>>,tool_call_id:string,reasoning_content:string>>"
@@ -71,10 +74,19 @@ def _none() -> Column:
     return F.array().cast(TURNS)
 
 
+def _with_opposite(df: DataFrame, m: Mapping, response: Column) -> Column:
+    """An answer with a tag of approval stands before an empty one if it was approved, else behind it; without a tag alone."""
+    if not (m.kto_tag and m.kto_tag in df.columns):
+        return response
+    tag, empty = F.col(m.kto_tag).cast("boolean"), F.array(turn(ASSISTANT, F.lit("")))
+    return F.when(tag, F.concat(response, empty)).when(~tag, F.concat(empty, response)).otherwise(response)
+
+
 def _finish(df: DataFrame, m: Mapping, prompt: Column, response: Column, system: Column, good: Column) -> DataFrame:
     extra = [c for c in m.extra if c != "labels" and c in df.columns]
     tools = F.coalesce(_col(df, m.tools), F.lit(""))
-    return df.select(F.when(good, prompt).otherwise(_none()).alias("prompt"), F.when(good, response).otherwise(_none()).alias("response"), system.alias("system"), tools.alias("tools"), *([F.col(m.kto_tag).alias("kto_tag")] if m.kto_tag else []), *extra)
+    response = _with_opposite(df, m, response)
+    return df.select(F.when(good, prompt).otherwise(_none()).alias("prompt"), F.when(good, response).otherwise(_none()).alias("response"), system.alias("system"), tools.alias("tools"), *extra)
 
 
 def from_alpaca(df: DataFrame, m: Mapping = Mapping()) -> DataFrame:  # noqa: B008
@@ -117,40 +129,63 @@ def _peeled(df: DataFrame, m: Mapping) -> tuple[Column, Column]:
     return F.when(leads, F.slice(said, F.lit(2), F.greatest(F.size(said) - 1, F.lit(0)))).otherwise(F.coalesce(said, F.array().cast(dict(df.dtypes)[m.messages]))), system
 
 
-def alternates(messages: Column, m: Mapping, period: int = 2) -> Column:
-    """Whether roles take their turns: the user's side at even positions, the assistant's at odd ones.
-
-    With a period of three the observation's turn comes between.
-    """
-    first, second = (m.user, m.observation), (m.assistant, m.function)
-    if period == 3:
-        fits = lambda x, i: F.when(i % 3 == 0, x[m.role] == m.user).when(i % 3 == 1, x[m.role].isin(*second)).otherwise(x[m.role] == m.observation)
-    else:
-        fits = lambda x, i: F.when(i % 2 == 0, x[m.role].isin(*first)).otherwise(x[m.role].isin(*second))
+def alternates(messages: Column, m: Mapping) -> Column:
+    """Whether roles take their turns: the user's side at even positions, the assistant's at odd ones."""
+    fits = lambda x, i: F.when(i % 2 == 0, x[m.role].isin(m.user, m.observation)).otherwise(x[m.role].isin(m.assistant, m.function))
     return F.forall(F.transform(messages, lambda x, i: F.coalesce(fits(x, i), F.lit(False))), lambda ok: ok)
 
 
-def from_sharegpt(df: DataFrame, m: Mapping = Mapping(), period: int = 2) -> DataFrame:  # noqa: B008
+def _chosen_pair(df: DataFrame, m: Mapping) -> tuple[Column, Column]:
+    """The chosen and the rejected answer as turns, and whether both are the assistant's side's."""
+    pair = F.array(*[turn(F.coalesce(_mapped(F.col(c)[m.role], m), F.lit(ASSISTANT)), F.col(c)[m.content]) for c in (m.chosen, m.rejected)])
+    return pair, F.col(m.chosen)[m.role].isin(m.assistant, m.function) & F.col(m.rejected)[m.role].isin(m.assistant, m.function)
+
+
+def from_sharegpt(df: DataFrame, m: Mapping = Mapping(), keep_null: bool = False) -> DataFrame:  # noqa: B008
     """Lists of tagged messages: an optional system message, then roles in turn; the last message answers.
 
-    Messages without content are left out after the roles are tested. An odd number of messages (even for ranked records,
-    whose answers are chosen and rejected) breaks the record.
+    Messages without content are left out after the roles are tested, unless ``keep_null``. An odd number of messages (even for ranked
+    records, whose answers are chosen and rejected) breaks the record.
     """
     m.check(df, "messages")
     said, system = _peeled(df, m)
-    kept = F.transform(F.filter(said, lambda x: x[m.content].isNotNull()), lambda x: turn(_mapped(x[m.role], m, F.lit("unknown")), x[m.content]))
+    kept = F.transform(said if keep_null else F.filter(said, lambda x: x[m.content].isNotNull()), lambda x: turn(_mapped(x[m.role], m, F.lit("unknown")), x[m.content]))
     n = F.size(kept)
-    good = alternates(said, m, period) & (F.size(said) > 0)
+    good = alternates(said, m) & (F.size(said) > 0)
     if m.ranking:
-        pair = F.array(*[turn(F.coalesce(_mapped(F.col(c)[m.role], m), F.lit(ASSISTANT)), F.col(c)[m.content]) for c in (m.chosen, m.rejected)])
-        ok = F.col(m.chosen)[m.role].isin(m.assistant, m.function) & F.col(m.rejected)[m.role].isin(m.assistant, m.function)
+        pair, ok = _chosen_pair(df, m)
         return _finish(df, m, kept, pair, system, F.coalesce(good & (n % 2 == 1) & ok, F.lit(False)))
     return _finish(df, m, F.slice(kept, F.lit(1), F.greatest(n - 1, F.lit(0))), F.slice(kept, F.greatest(n, F.lit(1)), F.lit(1)), system, F.coalesce(good & (n % 2 == 0) & (n > 0), F.lit(False)))
 
 
+def from_tagged(df: DataFrame, m: Mapping = Mapping()) -> DataFrame:  # noqa: B008
+    """As ``from_sharegpt`` in the second pipeline, which keeps messages without content and knows approval tags."""
+    return from_sharegpt(df, m, keep_null=True)
+
+
 def from_periodic(df: DataFrame, m: Mapping = Mapping()) -> DataFrame:  # noqa: B008
-    """Messages whose roles recur every three turns."""
-    return from_sharegpt(df, m, period=3)
+    """Messages whose roles recur every three turns: a system message, the user's side, the assistant's side.
+
+    The first of three passes if its role is a part of the system tag's text. Messages without content are left out after that; their
+    number must be a multiple of three, and must not be for ranked records. System messages stay in the prompt; the record's system text
+    is empty. Null and empty lists, and roles that are null, break the record.
+    """
+    m.check(df, "messages")
+    said = F.coalesce(F.col(m.messages), F.array().cast(dict(df.dtypes)[m.messages]))
+    fits = lambda x, i: F.when(i % 3 == 0, F.contains(F.lit(m.system_tag or ""), x[m.role])).when(i % 3 == 1, x[m.role].isin(m.user, m.observation)).otherwise(x[m.role].isin(m.assistant, m.function))
+    in_turn = F.forall(F.transform(said, lambda x, i: F.coalesce(fits(x, i), F.lit(False))), lambda ok: ok)
+    kept = F.transform(F.filter(said, lambda x: x[m.content].isNotNull()), lambda x: turn(_mapped(x[m.role], m, F.lit("unknown")), x[m.content]))
+    n = F.size(kept)
+    good = in_turn & (F.size(said) > 0)
+    prompt, response = F.slice(kept, F.lit(1), F.greatest(n - 1, F.lit(0))), F.slice(kept, F.greatest(n, F.lit(1)), F.lit(1))
+    if m.ranking:
+        pair, ok = _chosen_pair(df, m)
+        both = F.col(m.chosen).isNotNull() & F.col(m.rejected).isNotNull()
+        prompt, response = F.when(both, kept).otherwise(prompt), F.when(both, pair).otherwise(response)
+        good = good & (n % 3 != 0) & (~both | ok)
+    else:
+        good = good & (n % 3 == 0) & (n > 0)
+    return _finish(df, m, prompt, response, F.lit(""), F.coalesce(good, F.lit(False)))
 
 
 def from_openai(df: DataFrame, m: Mapping = OPENAI) -> DataFrame:
@@ -178,16 +213,76 @@ def from_openai(df: DataFrame, m: Mapping = OPENAI) -> DataFrame:
     )
 
 
+#: What stands between the results of calls that come as one turn, and the note in system texts without tools (fixed values).
+RESULTS_BETWEEN = "\n</tool_response>\n<tool_response>\n"
+NO_THINKING = "detailed thinking off"
+_THINKING = ("detailed thinking on", "detailed thinking off")
+
+
+@F.arrow_udf(ArrayType(StringType()))
+def calls_texts(calls: pa.Array) -> pa.Array:
+    """For each message of an array its calls (name and arguments) as JSON text, null without calls."""
+    one = lambda c: json.dumps(c, ensure_ascii=False) if c else None
+    return pa.array([None if all_ is None else [one(c) for c in all_] for all_ in calls.to_pylist()], pa.list_(pa.string()))
+
+
 def merged_tool_results(messages: Column) -> Column:
-    """Consecutive observations joined into one, their contents as a JSON-like list between line feeds."""
-    start = F.array().cast(TURNS)
-    last = lambda s: F.get(s, F.size(s) - 1)
-    join = lambda s, x: F.concat(F.slice(s, F.lit(1), F.size(s) - 1), F.array(turn(OBSERVATION, F.concat(last(s)["content"], F.lit("\n"), x["content"]))))
-    step = lambda s, x: F.when((F.size(s) > 0) & (last(s)["role"] == OBSERVATION) & (x["role"] == OBSERVATION), join(s, x)).otherwise(F.concat(s, F.array(turn(x["role"], x["content"]))))
-    return F.aggregate(messages, start, step)
+    """Consecutive observations joined into one turn; observations that nothing follows are left out."""
+    none = F.array().cast(TURNS)
+    held = F.array().cast("array<string>")
+
+    def step(s: Column, x: Column) -> Column:
+        observed = x["role"] == OBSERVATION
+        before = F.when(F.size(s["held"]) > 0, F.array(turn(OBSERVATION, F.array_join(s["held"], RESULTS_BETWEEN)))).otherwise(none)
+        more = F.struct(F.concat(s["out"], before, F.array(turn(x["role"], x["content"]))).alias("out"), held.alias("held"))
+        return F.when(observed, F.struct(s["out"].alias("out"), F.concat(s["held"], F.array(F.coalesce(x["content"], F.lit("")))).alias("held"))).otherwise(more)
+
+    return F.aggregate(messages, F.struct(none.alias("out"), held.alias("held")), step, lambda s: s["out"])
+
+
+def system_with_note(system: Column, tools: Column) -> Column:
+    """The system text with the note that switches thinking off where no tools are given and it says nothing of it; a line feed where tools follow."""
+    system, tools = F.coalesce(system, F.lit("")), F.coalesce(tools, F.lit(""))
+    says = F.contains(system, F.lit(_THINKING[0])) | F.contains(system, F.lit(_THINKING[1]))
+    return (
+        F.when((system == "") & (tools == ""), NO_THINKING)
+        .when(system == "", system)
+        .when(tools != "", F.concat(system, F.lit("\n")))
+        .when(says, system)
+        .otherwise(F.concat(system, F.lit("\n" + NO_THINKING)))
+    )
+
+
+def from_chat(df: DataFrame, m: Mapping = OPENAI) -> DataFrame:
+    """Messages with roles as such in the second pipeline: calls become a function turn, results of calls one turn, roles take turns.
+
+    A message of the assistant's side with calls has their JSON for content and the function role. Unknown roles, a wrong
+    order and an odd number of turns (even for ranked records) break the record. A null list is an empty one, which breaks it too.
+    """
+    m.check(df, "messages")
+    said, system = _peeled(df, m)
+    fields = [f.name for f in df.schema[m.messages].dataType.elementType.fields]
+    role = lambda x: F.coalesce(_mapped(x[m.role], m), F.lit("unknown"))
+    own = lambda x: turn(role(x), x[m.content])
+    if "tool_calls" not in fields:
+        rows = df.withColumns({"__said": F.transform(said, own), "__system": system})
+    else:
+        rows = df.withColumns({"__said": said, "__system": system}).withColumn("__calls", calls_texts(F.transform("__said", lambda x: F.transform(x["tool_calls"], lambda c: c["function"]))))
+        called = lambda x, i: role(x).isin(ASSISTANT, FUNCTION) & F.get("__calls", i).isNotNull()
+        rows = rows.withColumn("__said", F.transform("__said", lambda x, i: F.when(called(x, i), turn(FUNCTION, F.get("__calls", i))).otherwise(own(x)))).drop("__calls")
+    known = F.forall("__said", lambda x: x["role"] != "unknown")
+    rows = rows.withColumn("__good", known).withColumn("__said", merged_tool_results(F.col("__said")))
+    n = F.size("__said")
+    fits = lambda x, i: F.when(i % 2 == 0, x["role"].isin(USER, OBSERVATION)).otherwise(x["role"].isin(ASSISTANT, FUNCTION))
+    good = F.col("__good") & F.forall(F.transform("__said", fits), lambda ok: ok) & (n % 2 == (1 if m.ranking else 0)) & (n > 0)
+    prompt, response = F.slice("__said", F.lit(1), F.greatest(n - 1, F.lit(0))), F.slice("__said", F.greatest(n, F.lit(1)), F.lit(1))
+    if m.ranking:
+        response, ok = _chosen_pair(df, m)
+        prompt, good = F.col("__said"), good & ok
+    return _finish(rows, m, prompt, response, system_with_note(F.col("__system"), _col(df, m.tools)), F.coalesce(good, F.lit(False)))
 
 
-CONVERTERS: dict[str, Callable[..., DataFrame]] = {"alpaca": from_alpaca, "sharegpt": from_sharegpt, "periodic": from_periodic, "openai": from_openai}
+CONVERTERS: dict[str, Callable[..., DataFrame]] = {"alpaca": from_alpaca, "sharegpt": from_sharegpt, "tagged": from_tagged, "periodic": from_periodic, "openai": from_openai, "chat": from_chat}
 
 
 def register_converter(name: str, converter: Callable[..., DataFrame]) -> None:

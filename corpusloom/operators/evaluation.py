@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -36,7 +38,8 @@ def pass_at_k(results: DataFrame, task: str, passed: str, ks: list[int]) -> Data
     per = results.groupBy(task).agg(F.count("*").alias("n"), F.count_if(F.coalesce(F.col(passed), F.lit(False))).alias("c"))
     wrong = F.col("n") - F.col("c")
     every = per.select(F.explode(F.array(*[F.lit(k) for k in ks])).alias("k"), "n", "c")
-    missed = F.aggregate(F.sequence(wrong + 1, F.col("n")), F.lit(1.0), lambda a, i: a * (1 - F.col("k") / i))
+    # the same product with as many factors as k: those of c right answers cancel but for k of them
+    missed = F.aggregate(F.sequence(F.lit(0), F.col("k") - 1), F.lit(1.0), lambda a, i: a * (wrong - i) / (F.col("n") - i))
     estimate = F.when(wrong < F.col("k"), 1.0).otherwise(F.when(F.col("c") == 0, 0.0).otherwise(1 - missed))
     scored = every.withColumn("e", estimate).groupBy("k").agg(F.avg("e").alias("pass_at_k"), F.min("n").alias("least"))
     return scored.where(F.col("least") >= F.col("k")).drop("least")
@@ -49,9 +52,20 @@ def preference(df: DataFrame, chosen: str, rejected: str) -> DataFrame:
 
 
 def distribution(df: DataFrame, value: str, at: tuple[float, ...] = (0.5, 0.9, 0.99, 0.999)) -> DataFrame:
-    """Count, zeros, mean, greatest value and percentiles, which are members of the sorted values, zeros among them."""
-    shares = [F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY {value})").alias(f"p{str(p)[2:]}") for p in at]
-    return df.agg(F.count(value).alias("n"), F.count_if(F.col(value) == 0).alias("zeros"), F.avg(value).alias("mean"), F.max(value).alias("most"), *shares)
+    """One row: count, zeros, mean, greatest value and percentiles, which are members of the sorted values, zeros among them.
+
+    Percentiles come from ranks: values with their counts are range-sorted and summed partition by partition, so no task sees all of
+    them, whatever their number. Null values don't count; without any, all but the counts is null.
+    """
+    from corpusloom.operators.ordinals import with_prefix
+
+    counts = df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("_v")).agg(F.count("*").alias("_c"))
+    placed = with_prefix(counts, ["_v"], F.col("_c"), "_b")
+    n = placed.agg(F.sum("_c")).first()[0] or 0
+    v, c = F.col("_v"), F.col("_c")
+    pick = lambda p: F.max(F.when((F.col("_b") < max(math.ceil(n * p), 1)) & (F.col("_b") + c >= max(math.ceil(n * p), 1)), v))
+    total = [F.coalesce(F.sum(c), F.lit(0)).alias("n"), F.coalesce(F.sum(F.when(v == 0, c)), F.lit(0)).alias("zeros"), (F.sum(v * c) / F.sum(c)).alias("mean"), F.max(v).alias("most")]
+    return placed.agg(*total, *[pick(p).alias(f"p{str(p)[2:]}") for p in at])
 
 
 def warm_mean(df: DataFrame, step: str, value: str, warm_up: int, drop_most: bool = False) -> DataFrame:
@@ -68,32 +82,48 @@ def within_margin(expected: DataFrame, actual: DataFrame, step: str, value: str,
     return e.join(a, step, "full_outer").withColumn("ok", F.coalesce(F.abs(F.col("actual") - F.col("expected")) <= margin * F.abs("expected"), F.lit(False)))
 
 
-def extracted(df: DataFrame, task: str, answer: str, gold: str) -> DataFrame:
+def extracted(df: DataFrame, task: str, answer: str, gold: str, question: str | None = None, options: str | None = None) -> DataFrame:
     """``df`` with ``extracted`` and ``correct`` by the rules of a task.
 
-    ``mmlu`` and ``hellaswag`` name an option anywhere; ``ceval`` and ``boolq`` begin with a capital; ``agieval`` names options or a formula;
-    ``gsm8k`` ends with a number; ``bbh`` has its letter in brackets or its free answer behind ``answer is``.
+    ``mmlu`` and ``hellaswag`` name an option anywhere, and ``cmmlu`` by its own patterns; ``ceval`` and ``boolq`` begin with a capital, which for ``boolq`` stands for an
+    alias; ``agieval`` names options, one by its patterns (``agieval_single``, of the letters in ``options``), several (``agieval_multiple``) or has a formula (``agieval_cloze``), and by default its first line;
+    ``gsm8k`` ends with a number, ``gsm8k_default`` has it behind ``The answer is``; ``bbh`` has its letter in brackets or its free answer behind ``answer is``,
+    ``bbh_default`` and ``bbh_judged`` what the first line settles on, by the options of the ``question``. Nothing found, and a null answer or gold, is wrong.
     """
     a, g = F.col(answer), F.col(gold)
-    if task in ("mmlu", "hellaswag", "cmmlu"):
-        found, ok = extraction.option_udf(a, g), None
+    asked = F.col(question) if question else F.lit(None).cast("string")
+    ok = None
+    if task in ("mmlu", "hellaswag"):
+        found = extraction.option_udf(a, g)
+    elif task == "cmmlu":
+        found = extraction.subject_option_udf(a)
     elif task == "ceval":
-        found, ok = text.first_capital(a), None
+        found = text.first_capital(a)
     elif task == "boolq":
-        found = text.answer_alias(F.coalesce(F.nullif(F.regexp_extract(a, r"(?i)\b(true|false|yes|no)\b", 1), F.lit("")), text.first_capital(a)))
-        found = text.answer_alias(F.initcap(found))
+        first = text.first_capital(a)
+        found = F.when(first.isin(*"ABCD"), first).otherwise(text.answer_alias(first))
         ok = found == text.answer_alias(g)
     elif task == "agieval":
-        found, ok = text.first_options(a), None
-    elif task == "math":
+        found = text.first_line_without_math_marks(a)
+    elif task == "agieval_single":
+        found = extraction.exam_option_udf(a, F.col(options) if options else F.lit("ABCD"))
+    elif task == "agieval_multiple":
+        found = F.coalesce(text.first_options(a), F.lit(""))
+    elif task in ("agieval_cloze", "math"):
         found = extraction.math_answer_udf(a)
-        ok = extraction.same_formula_udf(found, g)
+        ok = (found == g) if task == "agieval_cloze" else extraction.same_formula_udf(found, g)
     elif task == "gsm8k":
         found = text.last_number(a)
         ok = found == text.gold_number(g)
+    elif task == "gsm8k_default":
+        found = extraction.default_number_udf(a)
+        ok = found == text.gold_number(g)
     elif task == "bbh":
-        found = F.when(g.rlike(r"^\([A-Z]\)$"), F.concat(F.lit("("), text.choice_in_brackets(a), F.lit(")"))).otherwise(text.free_answer(a))
-        ok = None
+        lettered = g.rlike(r"^\([A-Z]\)$")
+        found = F.when(lettered, F.concat(F.lit("("), text.choice_in_brackets(a), F.lit(")"))).otherwise(text.free_answer(a))
+    elif task in ("bbh_default", "bbh_judged"):
+        found = extraction.task_answer_udf(a, asked, F.lit(task == "bbh_judged"))
+        ok = found == F.regexp_replace(g, r"^\(([A-Z])\)$", "$1")
     else:
         raise KeyError(f"unknown task {task!r}")
     out = df.withColumn("extracted", found)
@@ -137,8 +167,6 @@ def in_order(df: DataFrame, by: Column, tie: str) -> DataFrame:
 
 def logistic_depths(n: int, steepness: float = 0.1) -> list[float]:
     """``n`` depths in percent that lie closer at both ends, to three digits."""
-    import math
-
     if n == 1:
         return [0.0]
     out = []

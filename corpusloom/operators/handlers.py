@@ -111,8 +111,8 @@ def sharegpt_pretrain(row: Row, o: Options) -> list[Tokens]:
 
 
 def forum_pretrain(row: Row, o: Options) -> list[Tokens]:
-    """Title, question and answer of a forum thread."""
-    return _plain(f"In the forum, a question titled '{row.get('title')}' was asked: {row.get('question_body')}\nThe answer: {row.get('answer_body')}", o)
+    """Title, question and answer of a forum thread, under the fixed headings."""
+    return _plain(f"In python, {row.get('title')}\n### Question:\n{row.get('question_body')}\n### Response:\n{row.get('answer_body')}\n", o)
 
 
 def instruction(row: Row, o: Options) -> list[Tokens]:

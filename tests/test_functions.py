@@ -124,7 +124,7 @@ def test_options_and_formulas():
     assert extraction.math_answer("cost is $3 = 4$") == "4"
     assert extraction.math_answer(None) is None
     assert extraction.same_formula("1/2", "\\dfrac{1}{2}")
-    assert extraction.task_answer("yes. because", "Yes") == "Yes"
+    assert extraction.task_answer("Yes. because", judged=True) == "Yes"
 
 
 def test_tokenizers():

@@ -233,8 +233,8 @@ def test_alpaca_and_openai(spark):
     assert len(good) == 1
     assert good[0]["system"] == "s"
     assert [(t["role"], t["content"], t["tool_call_id"]) for t in good[0]["prompt"]][1] == ("assistant", "", "c1")
-    merged = C.aligned(o, "openai").select(C.merged_tool_results(F.col("prompt")).alias("m")).first()["m"]
-    assert [t["content"] for t in merged] == ["q", "", "r\nr2"]
+    merged = C.aligned(o, "openai").select(C.merged_tool_results(F.transform(F.concat("prompt", "response"), lambda x: C.turn(x["role"], x["content"]))).alias("m")).first()["m"]
+    assert [t["content"] for t in merged][:3] == ["q", "", "r" + C.RESULTS_BETWEEN + "r2"]
 
 
 def test_mappings_and_registries(spark):
