@@ -156,10 +156,10 @@ def context_chunk(c: Column, rank: int, ranks: int) -> Column:
     return F.slice(c, n * rank + 1, n)
 
 
-def regenerated_positions(c: Column) -> Column:
-    """Positions before the first zero become 0 .. k-1; a row without zero begins at 0."""
+def regenerated_positions(c: Column, offset: Column | int = 0) -> Column:
+    """Positions before the first zero become 0 .. k-1; a row without zero is less by ``offset``."""
     first = F.array_position(c, 0).cast("int")
-    return let(first, lambda f: F.transform(c, lambda x, i: F.when((f > 1) & (i < f - 1), i).when(f == 0, x - F.get(c, F.lit(0))).otherwise(x)))
+    return let(first, lambda f: F.transform(c, lambda x, i: F.when((f > 1) & (i < f - 1), i).when(f == 0, x - offset).otherwise(x)))
 
 
 def trimmed_tail(ends: Column, batch: int) -> Column:

@@ -67,6 +67,12 @@ def split_bounds(shares: list[float]) -> list[tuple[float, float] | None]:
     return out
 
 
+def common_bounds(a: list[tuple[float, float] | None], b: list[tuple[float, float] | None]) -> list[tuple[float, float] | None]:
+    """What two lists of bounds have in common, split by split; none where they don't overlap."""
+    both = [None if x is None or y is None else (max(x[0], y[0]), min(x[1], y[1])) for x, y in zip(a, b, strict=True)]
+    return [v if v is not None and v[0] < v[1] else None for v in both]
+
+
 def split_ranges(shares: list[float], n: int) -> list[tuple[int, int]]:
     """Ordinals [first, last) of each split of ``n`` rows; bounds are rounded half to even."""
     at, out = 0.0, []
@@ -142,14 +148,15 @@ def separate_final_epoch(samples: int, per_epoch: int, threshold: float = 0.8) -
 
 
 def resampled(df: DataFrame, row_id: str, n: int, seed: int) -> DataFrame:
-    """``n`` rows: a seeded permutation's head, or all rows and seeded draws with replacement; column ``draw`` numbers them."""
+    """``n`` rows: a seeded permutation's head, or all rows and draws with replacement by a seeded MD5; column ``draw`` numbers them."""
     total = df.count()
     if not total:
         return df.withColumn("draw", F.lit(0).cast("bigint"))
     placed = with_prefix(df.withColumn("_k", seeded(seed, row_id)), ["_k", row_id], name="draw").drop("_k")
     if n <= total:
         return placed.where(F.col("draw") < n)
-    extra = df.sparkSession.range(total, n).select(F.col("id").alias("_d"), F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(total)).alias("_t"))
+    drawn_at = F.conv(F.substring(F.md5(F.concat_ws("-", F.lit(str(seed)), F.lit("draw"), F.col("id").cast("string"))), 1, 12), 16, 10).cast("bigint")
+    extra = df.sparkSession.range(total, n).select(F.col("id").alias("_d"), (drawn_at % total).alias("_t"))
     drawn = placed.join(extra, F.col("draw") == F.col("_t")).withColumn("draw", F.col("_d")).drop("_d", "_t")
     return placed.unionByName(drawn)
 
@@ -208,6 +215,69 @@ def chunks(documents: DataFrame, order: list[str], size: Column, length: int) ->
     return held.select(*order, "start", "n_tokens", F.explode(parts).alias("chunk")).where(F.col("chunk") < whole).select("chunk", *order, (begin - F.col("start")).alias("from"), (end - begin).alias("n"))
 
 
+def sample_documents(documents: DataFrame, order: list[str], size: Column, length: int, extra: int = 1, filler: int = -100) -> DataFrame:
+    """(sample, document_ids, idx): the documents of which each sample of ``length + extra`` tokens has some, in order.
+
+    Both arrays are filled up to the sample's tokens. ``order`` must be one column. A document explodes to the samples it reaches into;
+    a sample gathers at most as many documents as it has tokens. Tokens that don't fill a sample are dropped.
+    """
+    (doc,) = order
+    held = with_prefix(documents.withColumn("n_tokens", size).where("n_tokens > 0"), order, F.col("n_tokens"), "start")
+    total = held.agg(F.max(F.col("start") + F.col("n_tokens"))).first()[0] or 0
+    count = samples_in(total, length, extra)
+    low = F.greatest(F.floor((F.col("start") - length - extra) / length) + 1, F.lit(0))
+    high = F.least(F.floor((F.col("start") + F.col("n_tokens") - 1) / length), F.lit(count - 1))
+    each = held.where(high >= low).select(F.col(doc).alias("_d"), F.explode(F.sequence(low, high)).alias("sample"))
+    fill = lambda c: F.concat(c, F.array_repeat(F.lit(filler).cast("bigint"), F.lit(length + extra) - F.size(c)))
+    gathered = each.groupBy("sample").agg(F.sort_array(F.collect_list(F.col("_d").cast("bigint"))).alias("_ids"))
+    return gathered.select("sample", fill(F.col("_ids")).alias("document_ids"), fill(F.array(F.col("sample").cast("bigint"))).alias("idx"))
+
+
+def shuffled(df: DataFrame, row_id: str, seed: int) -> DataFrame:
+    """``df`` with its position ``pos`` in a seeded order of all rows, whatever the size of a buffer would be."""
+    return with_prefix(df.withColumn("_k", seeded(seed, row_id)), ["_k", row_id], name="pos").drop("_k")
+
+
+def train_validation(df: DataFrame, row_id: str, size: float, seed: int) -> tuple[DataFrame, DataFrame]:
+    """(train, validation): seeded; ``size`` over 1 counts rows, below it is a share, rounded up. The two are disjoint and make up ``df``."""
+    placed = shuffled(df, row_id, seed)
+    n = placed.count()
+    held = min(n, int(size) if size > 1 else math.ceil(n * size))
+    return placed.where(F.col("pos") >= held).drop("pos"), placed.where(F.col("pos") < held).drop("pos")
+
+
+def data_module(splits: dict[str, DataFrame]) -> dict[str, DataFrame | dict[str, DataFrame]]:
+    """``train_dataset`` and ``eval_dataset`` of named splits: ``validation``, or else every ``validation_<name>`` by name."""
+    out: dict = {"train_dataset": splits["train"]} if "train" in splits else {}
+    named = {k.removeprefix("validation_"): v for k, v in splits.items() if k.startswith("validation_")}
+    held = splits.get("validation", named or None)
+    return out if held is None else out | {"eval_dataset": held}
+
+
+def head_of_groups(df: DataFrame, group: str, order: str, n: int) -> DataFrame:
+    """The first ``n`` rows of each group in an order, with their rank; every task cuts its own part of a group first."""
+    ranked = lambda d, *by: d.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(order))).where(F.col("rank") <= n)
+    salted = df.withColumn("_s", F.pmod(F.xxhash64(order), F.lit(64)))
+    return ranked(ranked(salted, group, "_s").drop("rank"), group).drop("_s")
+
+
+def seeded_choices(df: DataFrame, row_id: str, counters: int) -> DataFrame:
+    """(counter, row_id): for each counter from 0 one row, drawn by the counter as seed; a small number of counters, no sort."""
+    picks = [F.min(F.struct(seeded(c, row_id).alias("k"), F.col(row_id).alias("v"))).alias(f"c{c}") for c in range(counters)]
+    best = df.agg(*picks).select(F.array(*[F.struct(F.lit(c).alias("counter"), F.col(f"c{c}.v").alias(row_id)) for c in range(counters)]).alias("x"))
+    return best.select(F.explode("x").alias("x")).select("x.*").where(F.col(row_id).isNotNull())
+
+
+def padded_parts(df: DataFrame, ordinal: str, n: int, parts: int) -> DataFrame:
+    """``df`` with its ``part`` and ``padding``: parts that are one row short get the row of ordinal 0 once more, marked."""
+    own = df.withColumns({"part": even_part(F.col(ordinal), n, parts), "padding": F.lit(False)})
+    short = list(range(n % parts, parts)) if n % parts else []
+    if not short:
+        return own
+    more = df.where(F.col(ordinal) == 0).withColumns({"part": F.explode(F.array(*[F.lit(p) for p in short])), "padding": F.lit(True)})
+    return own.unionByName(more)
+
+
 def owner_of(starts: list[int], position: int) -> int:
     """Index of the range that holds a position, of ranges that begin at ``starts``."""
     return bisect_right(starts, position) - 1
@@ -219,6 +289,35 @@ def batch_and_rank(position: Column, micro: int, ranks: int) -> tuple[Column, Co
     return F.floor(position / size), F.floor((position % size) / micro)
 
 
+def loader_order(df: DataFrame, row_id: str, kind: str, micro: int, ranks: int, consumed: int = 0, seed: int = 0) -> DataFrame:
+    """(row_id, pos, rank) of what is left to read: ``single`` in order, batch by batch; ``cyclic`` in a bucket of each rank's own, shuffled."""
+    if kind == "single":
+        placed = with_prefix(df.select(row_id), [row_id], name="pos")
+        return placed.where(F.col("pos") >= consumed).withColumn("rank", batch_and_rank(F.col("pos"), micro, ranks)[1].cast("int"))
+    if kind == "cyclic":
+        return bucket_order(df, row_id, consumed, micro, ranks, seed).select(row_id, "pos", "rank")
+    raise ValueError(f"unknown kind of loader {kind!r}")
+
+
+def collated(df: DataFrame, batch: str, ids: str, labels: str, multiple: int, pad: int, left: bool = False) -> DataFrame:
+    """``df`` with ids, labels and ``attention_mask`` of each batch filled to its longest row, rounded up to a multiple.
+
+    Batches are of a bounded number of rows. Null ids are none; labels null or too short are filled with -100.
+    """
+    x = F.coalesce(ids, F.array().cast("array<int>"))
+    longest = F.max(F.size(x)).over(Window.partitionBy(batch))
+    d = df.withColumns({"_x": x, "_y": F.coalesce(labels, F.array().cast("array<int>"))}).withColumn("_n", (F.ceil(longest / multiple) * multiple).cast("int"))
+
+    def fill(c: str, filler: int) -> Column:
+        own = F.slice(F.concat(F.col(c), F.array_repeat(F.lit(filler), F.greatest(F.size("_x") - F.size(c), F.lit(0)))), F.lit(1), F.size("_x"))
+        more = F.array_repeat(F.lit(filler), F.col("_n") - F.size("_x"))
+        return F.concat(more, own) if left else F.concat(own, more)
+
+    mask = [F.array_repeat(F.lit(1), F.size("_x")), F.array_repeat(F.lit(0), F.col("_n") - F.size("_x"))]
+    made = {ids: fill("_x", pad), labels: fill("_y", -100), "attention_mask": F.concat(*(mask[::-1] if left else mask))}
+    return d.withColumns(made).drop("_x", "_y", "_n")
+
+
 def rank_of(position: Column, ranks: int) -> Column:
     """Rank of a position dealt out in turn."""
     return position % ranks
