@@ -11,8 +11,6 @@ from __future__ import annotations
 
 import bisect
 import io
-import os
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,6 +23,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.operators import columnar_copy as cc
 from corpusloom.session import shuffle_width
+from corpusloom.sources import remote
 
 #: Largest decompressed size of an output file.
 FILE_LIMIT = 256 * 1024
@@ -225,30 +224,21 @@ def write_files(files: DataFrame, folder: str) -> DataFrame:
         for frame in batches:
             paths = [f"{folder.rstrip('/')}/{c or 'unknown'}/part-{i}.parquet" for c, i in zip(frame["corpus"], frame["file_id"], strict=True)]
             for p, content in zip(paths, frame["content"], strict=True):
-                _put_file(p, content)
+                remote.put(p, content)
             yield pd.DataFrame({"path": paths, "n_rows": frame["n_rows"], "n_bytes": frame["n_bytes"]})
 
     return files.mapInPandas(run, "path string, n_rows int, n_bytes bigint")
 
 
-def _filesystem(path: str):
-    from pyarrow import fs
+#: Bytes at the end of a file in which its footer is looked for first.
+FOOTER_GUESS = 64 << 10
 
-    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
 
-
-def _put_file(path: str, content: bytes) -> None:
-    files, name = _filesystem(path)
-    files.create_dir(os.path.dirname(name), recursive=True)
-    part = f"{os.path.dirname(name)}/.{os.path.basename(name)}.{uuid.uuid4().hex}"
-    with files.open_output_stream(part) as out:
-        out.write(content)
-    files.move(part, name)
-
-
-def compact_directory(spark: SparkSession, source: str, destination: str, limit: int = 128 << 20, group_files: int = 20_000) -> DataFrame:
+def compact_directory(spark: SparkSession, source: str, destination: str, limit: int = 128 << 20, group_files: int = 20_000, group_bytes: int = 4 << 30) -> DataFrame:
     """(path, n_files, n_rows, n_bytes): the Parquet files below ``source`` joined into files of at most ``limit`` bytes.
 
+    Footers are read first, from the files' ends. A task joins files of one schema, at most about ``group_files`` and ``group_bytes``.
+
     Only files of equal schema come together; a file above the limit is copied alone. The result is lazy: files are
     written when it is read, each under a name of its own that a second run replaces. An empty folder gives no rows.
     """
@@ -260,7 +250,11 @@ def compact_directory(spark: SparkSession, source: str, destination: str, limit:
         for frame in batches:
             found = []
             for path in frame["path"]:
-                f = cc.footer(_get_file(path))
+                end, size = remote.tail(path, FOOTER_GUESS)
+                need = int.from_bytes(end[-8:-4], "little") + 8
+                if need > len(end) and need <= size:
+                    end, size = remote.tail(path, need)
+                f = cc.footer(cc.MAGIC + end)
                 raw = bytearray()
                 cc.write_struct(raw, {cc.FILE_SCHEMA: f[cc.FILE_SCHEMA]})
                 found.append(hashlib.md5(bytes(raw)).hexdigest())
@@ -270,18 +264,13 @@ def compact_directory(spark: SparkSession, source: str, destination: str, limit:
         frame = frame.sort_values("path", ignore_index=True)
         made = []
         for k, part in frame.groupby(best_fit_decreasing(frame["n"].to_numpy(), limit), sort=True):
-            content = cc.join_files([_get_file(p) for p in part["path"]])
+            content = cc.join_files([remote.whole(p) for p in part["path"]])
             path = f"{destination.rstrip('/')}/part-{part['shape'].iloc[0][:8]}-{part['g'].iloc[0]:05d}-{k:06d}.parquet"
-            _put_file(path, content)
+            remote.put(path, content)
             made.append((path, len(part), cc.footer(content)[cc.FILE_ROWS][1], len(content)))
         return pd.DataFrame(made, columns=["path", "n_files", "n_rows", "n_bytes"])
 
-    groups = max(1, -(-listed.count() // group_files))
+    n_files, n_bytes = listed.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    groups = max(1, -(-n_files // group_files), -(-n_bytes // group_bytes))
     shaped = listed.repartition(shuffle_width(spark)).mapInPandas(shapes, "path string, n bigint, shape string")
     return shaped.withColumn("g", F.pmod(F.xxhash64("path"), F.lit(groups)).cast("int")).groupBy("shape", "g").applyInPandas(run, "path string, n_files int, n_rows bigint, n_bytes bigint")
-
-
-def _get_file(path: str) -> bytes:
-    files, name = _filesystem(path.replace("file:///", "/").replace("file:/", "/"))
-    with files.open_input_stream(name) as f:
-        return f.read()

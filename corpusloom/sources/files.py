@@ -6,9 +6,11 @@ import gzip
 import io
 import json
 import os
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 from pathlib import Path
 
 import pandas as pd
@@ -16,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.sources import remote
+
 #: Reader of each file extension (fixed values).
 FORMATS = {"parquet": "parquet", "arrow": "arrow", "csv": "csv", "json": "json", "jsonl": "json", "txt": "text"}
 GZIP_MAGIC = b"\x1f\x8b"
@@ -110,6 +114,7 @@ class Entry:
     columns: tuple[tuple[str, str], ...] = ()
     ranking: bool = False
     max_samples: int | None = None
+    num_samples: int | None = None
 
 
 #: Where a registry entry may point, in order of precedence (fixed values).
@@ -133,12 +138,23 @@ def entries(names: str, info: dict[str, dict], folder: str = "") -> list[Entry]:
         if place is None:
             raise ValueError(f"data set {name!r} points nowhere")
         where = os.path.join(folder, spec[place]) if place == "file_name" else spec[place]
-        out.append(Entry(name, place, where, spec.get("formatting", "alpaca"), tuple(sorted((spec.get("columns") or {}).items())), bool(spec.get("ranking")), spec.get("max_samples")))
+        out.append(Entry(name, place, where, spec.get("formatting", "alpaca"), tuple(sorted((spec.get("columns") or {}).items())), bool(spec.get("ranking")), spec.get("max_samples"), spec.get("num_samples")))
     return out
 
 
-def read_entry(spark: SparkSession, e: Entry) -> DataFrame:
-    """The files of an entry, of one type; at most its ``max_samples`` first rows, in the order of files and rows."""
+def head(df: DataFrame, n: int, order: list[str] | None = None) -> DataFrame:
+    """The first ``n`` rows: in ``order``, or else in that of file names, places in a file and rows; of files that Spark reads only."""
+    if order:
+        return df.orderBy(*order).limit(n)
+    placed = df.withColumns({"_f": F.col("_metadata.file_path"), "_b": F.col("_metadata.file_block_start"), "_r": F.monotonically_increasing_id()})
+    return placed.orderBy("_f", "_b", "_r").limit(n).drop("_f", "_b", "_r")
+
+
+def read_entry(spark: SparkSession, e: Entry, seed: int = 0) -> DataFrame:
+    """The files of an entry, of one type; ``num_samples`` of it drawn by a seed (again, if it has fewer); at most its ``max_samples`` first rows.
+
+    Without ``num_samples`` first is meant in the order of files and rows, with it in that of the draws.
+    """
     if e.kind not in ("file_name", "cloud_file_name"):
         raise NotImplementedError(f"{e.kind} needs a registered data source")
     p = Path(e.path)
@@ -146,13 +162,46 @@ def read_entry(spark: SparkSession, e: Entry) -> DataFrame:
     if len({FORMATS.get(extension(n)) for n in names}) != 1:
         raise ValueError("files of a data set must be of one type")
     df = read_format(spark, names, FORMATS[extension(names[0])])
-    return df.limit(e.max_samples) if e.max_samples is not None else df
+    if e.num_samples is not None:
+        from corpusloom.operators.ordinals import resampled
+
+        placed = df.withColumn("_row", F.concat_ws(":", "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id()))
+        drawn = resampled(placed, "_row", e.num_samples, seed)
+        return (drawn if e.max_samples is None else drawn.where(F.col("draw") < e.max_samples)).drop("_row", "draw")
+    return head(df, e.max_samples) if e.max_samples is not None else df
+
+
+def check_stage(entry: Entry, stage: str) -> None:
+    """An error if ranked records are used anywhere but for rewards (``rm``), or others there."""
+    if entry.ranking != (stage == "rm"):
+        raise ValueError(f"data set {entry.name!r} doesn't fit the stage {stage!r}")
+
+
+def peek(df: DataFrame, n: int = 2) -> DataFrame:
+    """A few rows of what is read lazily."""
+    return df.limit(n)
+
+
+def read_json_lines(spark: SparkSession, paths: list[str] | str, schema: str | None = None, glob: str | None = None) -> DataFrame:
+    """JSON lines, plain or gzip by their suffix, blank lines skipped; of a folder only the files that ``glob`` names, such as ``*dev*``."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return (reader.option("pathGlobFilter", glob) if glob else reader).json(paths)
 
 
 def read_cloud_json(spark: SparkSession, path: str) -> DataFrame:
-    """JSON or JSON lines of an object store through Hadoop's file systems; blank lines are skipped."""
+    """JSON or JSON lines of an object store through Hadoop's file systems; blank lines are skipped.
+
+    Buckets are tried without credentials first, then with those that are configured.
+    """
     url = path.replace("gcs://", "gs://").replace("s3://", "s3a://")
-    return spark.read.option("pathGlobFilter", "*.json*").option("multiLine", str(url.endswith(".json"))).json(url)
+    reader = lambda: spark.read.option("pathGlobFilter", "*.json*").option("multiLine", str(url.endswith(".json")))
+    if not url.startswith("s3a://"):
+        return reader().json(url)
+    try:
+        bucket = url.removeprefix("s3a://").split("/")[0]
+        return reader().option(f"fs.s3a.bucket.{bucket}.aws.credentials.provider", "org.apache.hadoop.fs.s3a.AnonymousAWSCredentialsProvider").json(url)
+    except Exception:  # noqa: BLE001 - whatever the store refuses with
+        return reader().json(url)
 
 
 def sniffed_text(content: bytes) -> str:
@@ -162,21 +211,33 @@ def sniffed_text(content: bytes) -> str:
     return content.decode("utf-8", "replace")
 
 
+def _lines_of(path: str) -> Iterator[str]:
+    """Lines of a file, plain or gzip by its first bytes, read as a stream; a line end at the very end begins no line."""
+    files, name = remote.opened(path)
+    with files.open_input_stream(name, compression=None) as probe:
+        packed = probe.read(2) == GZIP_MAGIC
+    with files.open_input_stream(name, compression=None) as raw:
+        stream = gzip.GzipFile(fileobj=raw) if packed else raw
+        yield from io.TextIOWrapper(io.BufferedReader(stream), "utf-8", "replace", newline="\n")
+
+
+def _listed(spark: SparkSession, folder: str, glob: str) -> DataFrame:
+    """(path) of the files below a folder; their contents aren't read."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(folder).select("path")
+
+
 def read_sniffed_lines(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
-    """(path, line_no, line) of all files below a folder, plain or gzip by magic; line ends are stripped."""
+    """(path, line_no, line) of all files below a folder, plain or gzip by magic; line ends are stripped. Files are read as streams."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
-            for path, content in zip(frame["path"], frame["content"], strict=True):
-                stream = io.BytesIO(content)
-                raw = gzip.GzipFile(fileobj=stream) if content[:2] == GZIP_MAGIC else stream
-                reader, at = io.TextIOWrapper(raw, "utf-8", "replace", newline="\n"), 0
-                while rows := [x.rstrip("\n").rstrip("\r") for _, x in zip(range(50_000), reader, strict=False)]:
+            for path in frame["path"]:
+                lines, at = _lines_of(path), 0
+                while rows := [x.rstrip("\n").rstrip("\r") for x in islice(lines, 50_000)]:
                     yield pd.DataFrame({"path": path, "line_no": range(at, at + len(rows)), "line": rows})
                     at += len(rows)
 
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(folder)
-    return files.select("path", "content").mapInPandas(run, "path string, line_no bigint, line string")
+    return _listed(spark, folder, glob).mapInPandas(run, "path string, line_no bigint, line string")
 
 
 def read_choices(spark: SparkSession, paths: list[str], header: bool = False, skip_first: bool = False) -> DataFrame:
@@ -192,11 +253,23 @@ def read_examples(spark: SparkSession, paths: list[str]) -> DataFrame:
     return df.select(F.explode(checked).alias("e"), F.col("_metadata.file_path").alias("file")).select("e.*", "file")
 
 
-def count_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """(path, lines) of every file below a folder and, under ``TOTAL``, of all."""
-    lines = spark.read.option("recursiveFileLookup", "true").text(folder).select(F.col("_metadata.file_path").alias("path"))
-    counted = lines.rollup("path").agg(F.count("*").alias("lines"), F.grouping_id().alias("_gid"))
-    return counted.withColumn("path", F.when(F.col("_gid") == 1, "TOTAL").otherwise(F.col("path"))).drop("_gid")
+def count_lines(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
+    """(path, lines, error) of every file below a folder and, under ``TOTAL``, of all that could be read; a file that couldn't has an error."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in batches:
+            found = []
+            for path in frame["path"]:
+                try:
+                    found.append((path, sum(1 for _ in _lines_of(path)), None))
+                except (OSError, EOFError, zlib.error) as e:
+                    found.append((path, None, type(e).__name__))
+            out = pd.DataFrame(found, columns=["path", "lines", "error"])
+            yield out.assign(lines=out["lines"].astype("Int64"))
+
+    each = _listed(spark, folder, glob).mapInPandas(run, "path string, lines bigint, error string")
+    counted = each.rollup("path").agg(F.sum("lines").alias("lines"), F.max("error").alias("error"), F.grouping_id().alias("_gid"))
+    return counted.select(F.when(F.col("_gid") == 1, "TOTAL").otherwise(F.col("path")).alias("path"), F.coalesce("lines", F.lit(0)).alias("lines"), F.when(F.col("_gid") == 0, F.col("error")).alias("error"))
 
 
 def cached(spark: SparkSession, path: str | None) -> DataFrame | None:

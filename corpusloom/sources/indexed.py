@@ -1,8 +1,9 @@
 """The binary token store: a file of tokens behind one another and an index of lengths, pointers and document ends.
 
 The index begins with a magic, a version, a code of the token type and two counts; then lengths (int32), byte pointers (int64),
-document ends (int64) and, if there are any, modes (int8). Stores are read in ranges of sequences by tasks and written in parts
-that are merged in order.
+document ends (int64) and, if there are any, modes (int8). Stores are read by tasks in ranges of sequences, of which each maps
+its own part of the index, and written by tasks: every part knows its offsets in the tokens and in the index from the sizes of
+those before it and copies itself there, so no bytes go through the driver.
 """
 
 from __future__ import annotations
@@ -111,88 +112,168 @@ class Builder:
         return index
 
 
-def get(prefix: str, sequence: int, offset: int = 0, length: int | None = None) -> np.ndarray:
-    """Tokens of a sequence, or of a part of it."""
-    index = Index.read(f"{prefix}.idx")
+_HEAD = len(MAGIC) + 25
+
+
+def header(path: str) -> tuple[np.dtype, int, int]:
+    """Token type, sequences and documents (with the empty one at the beginning) of an index."""
+    with open(path, "rb") as f:
+        if f.read(len(MAGIC)) != MAGIC:
+            raise ValueError(f"{path} is no index")
+        version, code, sequences, documents = struct.unpack("<QBQQ", f.read(25))
+    if version != VERSION:
+        raise ValueError(f"version {version}")
+    return np.dtype(TYPES[code]), sequences, documents
+
+
+class Mapped:
+    """An index mapped from its file: only what is looked at is read."""
+
+    def __init__(self, prefix: str) -> None:
+        path = f"{prefix}.idx"
+        self.dtype, n, d = header(path)
+        part = lambda kind, at, size: np.memmap(path, kind, "r", at, (size,)) if size else np.zeros(0, kind)
+        self.lengths, self.starts, self.ends = part("<i4", _HEAD, n), part("<i8", _HEAD + 4 * n, n), part("<i8", _HEAD + 12 * n, d)
+
+
+def get(prefix: str, sequence: int, offset: int = 0, length: int | None = None, mapped: bool = False) -> np.ndarray:
+    """Tokens of a sequence, or of a part of it; read from the file, or mapped."""
+    index = Mapped(prefix)
     n = int(index.lengths[sequence]) - offset if length is None else length
-    return np.fromfile(f"{prefix}.bin", index.dtype, n, offset=int(index.starts[sequence]) + offset * index.dtype.itemsize)
+    at = int(index.starts[sequence]) + offset * index.dtype.itemsize
+    return np.memmap(f"{prefix}.bin", index.dtype, "r", at, (n,)) if mapped and n else np.fromfile(f"{prefix}.bin", index.dtype, n, offset=at)
 
 
 def read_store(spark: SparkSession, prefix: str, tokens_per_task: int = 4 << 20) -> DataFrame:
-    """(doc_id, seq_id, tokens): a store, cut into ranges of sequences of about equal tokens, one for each task."""
-    index = Index.read(f"{prefix}.idx")
-    total = np.concatenate([[0], np.cumsum(index.lengths.astype(np.int64))])
-    parts = max(1, int(-(-total[-1] // tokens_per_task)))
-    cuts = np.searchsorted(total, np.linspace(0, total[-1], parts + 1)[1:-1])
-    bounds = np.unique(np.concatenate([[0], cuts, [len(index.lengths)]]))
+    """(doc_id, seq_id, tokens): a store, cut into ranges of sequences of about equal tokens, one for each task.
+
+    The driver looks up the ranges' bounds in the mapped index, a task maps the part of its range.
+    """
+    index = Mapped(prefix)
+    n = len(index.lengths)
+    size = (int(index.starts[-1]) // index.dtype.itemsize + int(index.lengths[-1])) if n else 0
+    parts = max(1, -(-size // tokens_per_task))
+    cuts = np.searchsorted(index.starts, [k * tokens_per_task * index.dtype.itemsize for k in range(1, parts)]) if n else []
+    bounds = np.unique(np.concatenate([[0], cuts, [n]])).astype(int)
     ranges = [(int(a), int(b)) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = Index.read(f"{prefix}.idx")
+        own = Mapped(prefix)
         width = own.dtype.itemsize
         for frame in batches:
             for a, b in zip(frame["a"], frame["b"], strict=True):
                 for lo in range(a, b, 4096):
                     hi = min(lo + 4096, b)
-                    data = np.fromfile(f"{prefix}.bin", own.dtype, int(own.lengths[lo:hi].sum()), offset=int(own.starts[lo]))
-                    at = ((own.starts[lo:hi] - own.starts[lo]) // width).astype(int)
-                    rows = [data[s : s + n].astype(np.int32) for s, n in zip(at, own.lengths[lo:hi], strict=True)]
+                    lengths, starts = own.lengths[lo:hi].astype(np.int64), own.starts[lo:hi]
+                    data = np.fromfile(f"{prefix}.bin", own.dtype, int(lengths.sum()), offset=int(starts[0]))
+                    at = ((starts - starts[0]) // width).astype(int)
+                    rows = [data[s : s + n].astype(np.int32) for s, n in zip(at, lengths, strict=True)]
                     seq = np.arange(lo, hi)
-                    yield pd.DataFrame({"doc_id": np.searchsorted(own.ends, seq, side="right") - 1, "seq_id": seq, "tokens": rows})
+                    first, last = np.searchsorted(own.ends, [lo, hi], side="right")
+                    yield pd.DataFrame({"doc_id": first - 1 + np.searchsorted(np.asarray(own.ends[first:last]), seq, side="right"), "seq_id": seq, "tokens": rows})
 
     listed = spark.createDataFrame(ranges or [(0, 0)], "a bigint, b bigint").repartition(max(1, len(ranges)), "a")
     return listed.mapInPandas(run, "doc_id bigint, seq_id bigint, tokens array<int>")
 
 
-def write_store(df: DataFrame, prefix: str, order: list[str], document: str, tokens: str, dtype=np.int32) -> Index:
-    """Writes rows in ``order``, one document for each run of ``document``: parts by range, side by side, then one store.
+def _copied(spark: SparkSession, parts: list[tuple[str, bool]], target: str, dtype) -> tuple[int, int, int]:
+    """(sequences, documents, bytes) of ``target``, the stores of ``parts`` behind one another, copied by tasks to their offsets.
 
-    Documents must not be split by the order. The folder of ``prefix`` must be one that all tasks and the driver see.
+    A part whose flag is set ends within a document that the next one goes on with.
+    """
+    width, at, jobs = np.dtype(dtype).itemsize, [0, 0, 0], []
+    for name, open_end in parts:
+        kind, n, d = header(f"{name}.idx")
+        if kind != np.dtype(dtype):
+            raise ValueError("the stores have different token types")
+        size = os.path.getsize(f"{name}.bin")
+        jobs.append((name, *at, bool(open_end)))
+        at = [at[0] + n, at[1] + d - 1 - open_end, at[2] + size]
+    sequences, documents, size = at
+    code = next(k for k, t in TYPES.items() if np.dtype(t) == np.dtype(dtype))
+    modes = any(os.path.getsize(f"{n}.idx") > _HEAD + 12 * header(f"{n}.idx")[1] + 8 * header(f"{n}.idx")[2] for n, _ in parts)
+    with open(f"{target}.bin", "wb") as f:
+        f.truncate(size)
+    with open(f"{target}.idx", "wb") as f:
+        f.write(MAGIC + struct.pack("<QBQQ", VERSION, code, sequences, documents + 1))
+        f.truncate(_HEAD + 12 * sequences + 8 * (documents + 1) + (sequences if modes else 0))
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for name, s, d, b, open_end in frame[["name", "s", "d", "b", "open_end"]].itertuples(index=False):
+                own = Mapped(name)
+                n, ends = len(own.lengths), np.asarray(own.ends[1:])
+                with open(f"{target}.idx", "r+b") as f:
+                    spans = [(_HEAD + 4 * s, own.lengths), (_HEAD + 4 * sequences + 8 * s, own.starts + b), (_HEAD + 12 * sequences + 8 * (d + 1), (ends[:-1] if open_end else ends) + s)]
+                    if modes:
+                        rest = np.fromfile(f"{name}.idx", np.int8, offset=_HEAD + 12 * n + 8 * len(own.ends))
+                        spans.append((_HEAD + 12 * sequences + 8 * (documents + 1) + s, rest if len(rest) else np.zeros(n, np.int8)))
+                    for place, values in spans:
+                        f.seek(place)
+                        f.write(values.tobytes())
+                with open(f"{name}.bin", "rb") as source, open(f"{target}.bin", "r+b") as f:
+                    f.seek(b)
+                    while part := source.read(16 << 20):
+                        f.write(part)
+            yield pd.DataFrame({"name": frame["name"]})
+
+    if jobs:
+        listed = spark.createDataFrame(jobs, "name string, s bigint, d bigint, b bigint, open_end boolean").repartition(len(jobs), "name")
+        listed.mapInPandas(run, "name string").count()
+    return sequences, documents, size
+
+
+def write_store(df: DataFrame, prefix: str, order: list[str], document: str, tokens: str, dtype=np.int32) -> tuple[int, int, int]:
+    """Writes rows in ``order``, one document for each run of ``document``: (sequences, documents, bytes).
+
+    Parts are written by range, side by side; a document of any size spreads over them. Each then copies itself to its place in the one store.
+    The folder of ``prefix`` must be one that all tasks and the driver see.
     """
     folder = f"{prefix}_parts"
     os.makedirs(folder, exist_ok=True)
-    parted = df.repartitionByRange(df.sparkSession.sparkContext.defaultParallelism, document).sortWithinPartitions(*order)
+    kind = df.schema[document].dataType.simpleString()
+    parted = df.repartitionByRange(df.sparkSession.sparkContext.defaultParallelism, *order).sortWithinPartitions(*order)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        builder, last, n = Builder(f"{folder}/{part:06d}", dtype), None, 0
+        builder, first, last, n = Builder(f"{folder}/{part:06d}", dtype), None, None, 0
         for frame in batches:
             for d, t in zip(frame[document], frame[tokens], strict=True):
                 if n and d != last:
                     builder.end_document()
                 builder.add(t)
-                last, n = d, n + 1
+                first, last, n = (d if not n else first), d, n + 1
         if n:
             builder.end_document()
         builder.finish()
-        yield pd.DataFrame({"part": [part], "n": [n]})
+        yield pd.DataFrame({"part": [part], "n": [n], "first": [first], "last": [last]})
 
-    done = parted.select(document, tokens, *[o for o in order if o not in (document, tokens)]).mapInPandas(run, "part int, n bigint").collect()
-    whole = Builder(prefix, dtype)
-    for r in sorted(done, key=lambda r: r["part"]):
-        if r["n"]:
-            whole.add_store(f"{folder}/{r['part']:06d}")
+    done = parted.select(document, tokens, *[o for o in order if o not in (document, tokens)]).mapInPandas(run, f"part int, n bigint, first {kind}, last {kind}").collect()
+    held = sorted((r for r in done if r["n"]), key=lambda r: r["part"])
+    following = [*held[1:], None]
+    whole = _copied(df.sparkSession, [(f"{folder}/{r['part']:06d}", f is not None and f["first"] == r["last"]) for r, f in zip(held, following, strict=True)], prefix, dtype)
+    for r in done:
         for suffix in ("bin", "idx"):
             os.remove(f"{folder}/{r['part']:06d}.{suffix}")
     os.rmdir(folder)
-    return whole.finish()
+    return whole
+
 
+def merge_stores(folder: str, prefix: str, keys: list[str], spark: SparkSession | None = None) -> dict[str, tuple[int, int, int]]:
+    """For each key the stores of a folder whose names hold it, in order of their names, as one; half a store is an error.
 
-def merge_stores(folder: str, prefix: str, keys: list[str]) -> dict[str, Index]:
-    """For each key the stores of a folder whose names hold it, in order of their names, as one; half a store is an error."""
-    out = {}
+    Gives (sequences, documents, bytes) of each. Tasks copy the stores to their places.
+    """
+    spark, out = spark or SparkSession.builder.getOrCreate(), {}
     for key in keys:
         names = sorted({os.path.splitext(n)[0] for n in os.listdir(folder) if key in n and n.endswith((".bin", ".idx"))})
-        builder = None
         for n in names:
             if not all(os.path.exists(f"{folder}/{n}.{s}") for s in ("bin", "idx")):
                 raise FileNotFoundError(f"{n} is half a store")
-            builder = builder or Builder(f"{prefix}_{key}", Index.read(f"{folder}/{n}.idx").dtype)
-            builder.add_store(f"{folder}/{n}")
-        if builder:
-            out[key] = builder.finish()
+        if names:
+            out[key] = _copied(spark, [(f"{folder}/{n}", False) for n in names], f"{prefix}_{key}", header(f"{folder}/{names[0]}.idx")[0])
     return out
 
 
@@ -202,7 +283,7 @@ def packed_store(spark: SparkSession, prefix: str) -> DataFrame:
     head, tail = f"{base}_packed_", "_document.idx"
     fields = sorted(n[len(head) : -len(tail)] for n in os.listdir(folder or ".") if n.startswith(head) and n.endswith(tail))
     stores = {f: f"{prefix}_packed_{f}_document" for f in fields}
-    if len({len(Index.read(f"{s}.idx").lengths) for s in stores.values()}) != 1:
+    if len({header(f"{s}.idx")[1] for s in stores.values()}) != 1:
         raise ValueError("the stores of a packed set are not equally long")
     out = None
     for f, s in stores.items():

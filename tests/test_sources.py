@@ -94,8 +94,15 @@ def test_gunzip(spark, tmp_path):
 def test_token_store(spark, tmp_path):
     prefix = str(tmp_path / "s")
     d = spark.createDataFrame([(i // 3, i, list(range(i % 5 + 1))) for i in range(50)], "doc int, seq int, tokens array<int>")
-    index = indexed.write_store(d.repartition(4), prefix, ["doc", "seq"], "doc", "tokens")
-    assert len(index.lengths) == 50
+    assert indexed.write_store(d.repartition(4), prefix, ["doc", "seq"], "doc", "tokens") == (50, 17, 4 * 150)
+    index = indexed.Index.read(f"{prefix}.idx")
+    assert (len(index.lengths), index.ends.tolist()) == (50, [*range(0, 50, 3), 50])
+    # one document of any size spreads over tasks and stays one
+    one = spark.createDataFrame([(7, i, [i]) for i in range(90)], "doc int, seq int, tokens array<int>")
+    assert indexed.write_store(one, str(tmp_path / "one"), ["seq"], "doc", "tokens")[:2] == (90, 1)
+    assert [r["tokens"] for r in indexed.read_store(spark, str(tmp_path / "one"), 8).orderBy("seq_id").collect()] == [[i] for i in range(90)]
+    assert indexed.merge_stores(str(tmp_path), str(tmp_path / "all"), ["one"], spark) == {"one": (90, 1, 360)}
+    assert indexed.get(prefix, 4, 1, 2, mapped=True).tolist() == [1, 2]
     got = indexed.read_store(spark, prefix, tokens_per_task=20).orderBy("seq_id").collect()
     assert [(r["doc_id"], r["seq_id"], r["tokens"]) for r in got] == [(i // 3, i, list(range(i % 5 + 1))) for i in range(50)]
     assert indexed.get(prefix, 4, 1, 2).tolist() == [1, 2]
