@@ -331,6 +331,44 @@ def without_long(df: DataFrame, keys: list[str], length: int, inclusive: bool =
     return df.where(longest < length if inclusive else longest <= length)
 
 
+def pretrain_rows(df: DataFrame, row_id: str, text: str, cutoff: int, tokenizer: Tokenizer | None = None, add_bos: bool = False) -> DataFrame:
+    """(row_id, input_ids): every text with its end token, cut to ``cutoff`` tokens; with ``add_bos`` behind a begin token, which counts."""
+    t = tokenizer or ByteTokenizer()
+    kind = df.schema[row_id].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head = [t.bos] if add_bos and t.bos is not None else []
+        for b in batches:
+            ids = [(head + t.encode(x or "") + [t.eos])[:cutoff] for x in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.list_(pa.int32()))], names=[row_id, "input_ids"])
+
+    return df.select(row_id, text).mapInArrow(run, f"`{row_id}` {kind}, input_ids array<int>")
+
+
+def pretrain_blocks(df: DataFrame, row_id: str, text: str, cutoff: int, batch: int = 1000, tokenizer: Tokenizer | None = None, add_bos: bool = False) -> DataFrame:
+    """(batch, block, input_ids): the texts of every ``batch`` rows, in order of ``row_id``, with end tokens behind one another and cut into blocks.
+
+    What doesn't fill a block is dropped, batch by batch. With ``add_bos`` the begin token takes the place of each block's first one. A batch is of a
+    bounded number of rows and is put together in one task.
+    """
+    from corpusloom.operators.ordinals import with_prefix
+
+    t = tokenizer or ByteTokenizer()
+    rows = pretrain_rows(df, row_id, text, 1 << 31, tokenizer)
+    numbered = with_prefix(rows, [row_id], name="_o").withColumn("batch", F.floor(F.col("_o") / batch))
+
+    def run(group: pa.Table) -> pa.Table:
+        group = group.sort_by("_o")
+        flat = group.column("input_ids").combine_chunks().flatten().to_numpy()
+        n = len(flat) // cutoff
+        cut = flat[: n * cutoff].reshape(n, cutoff).copy()
+        if add_bos and n:
+            cut[:, 0] = t.bos
+        return pa.table({"batch": pa.array([group.column("batch")[0].as_py()] * n, pa.int64()), "block": pa.array(range(n), pa.int32()), "input_ids": pa.array(list(cut), pa.list_(pa.int32()))})
+
+    return numbered.select("batch", "_o", "input_ids").groupBy("batch").applyInArrow(run, "batch bigint, block int, input_ids array<int>")
+
+
 def skipped(df: DataFrame, keys: list[str], length: int) -> DataFrame:
     """(sequences, skipped): how many there are and how many ``without_long`` leaves out."""
     return df.agg(F.count("*").alias("sequences"), F.count_if(F.greatest(*[F.size(k) for k in keys], F.lit(0)) >= length).alias("skipped"))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 from pathlib import Path
 
@@ -194,6 +195,39 @@ def load_templates(path: str) -> list[str]:
     return names
 
 
+def _only_longer(short: str, long: str) -> str:
+    """The characters of ``long`` that are left when those of ``short`` are struck out in order, up to where either ends."""
+    out, at = [], 0
+    for c in long:
+        if at == len(short):
+            break
+        if c == short[at]:
+            at += 1
+        else:
+            out.append(c)
+    return "".join(out)
+
+
+def inferred(render: Callable[[list[tuple[str, str]], bool], str], prefix: str = "") -> Template:
+    """The template behind a chat format that can only be rendered: slots are what a few probes leave when the known parts are cut off.
+
+    ``render`` gives the text of messages (role, content), with what opens an answer if it is asked for; ``prefix`` is what every text begins with.
+    A default system text is what a lone question has more than one under an empty system text. Thoughts in the answer make it a reasoning one.
+    """
+    mark = "{{content}}"
+    system = render([("system", mark)], False)[len(prefix) :]
+    under_empty = render([("system", ""), (USER, mark)], True)[len(prefix) :]
+    user = render([(USER, mark)], True)[len(prefix) :]
+    answer = render([(USER, mark), (ASSISTANT, mark)], False)[len(prefix) + len(user) :]
+    thinks = "<think>" in answer
+    answer = answer.replace("<think>", "").replace("</think>", "").lstrip("\n")
+    default = ""
+    if len(user) > len(under_empty):
+        default = _only_longer(under_empty, user)
+        user = user[len(system.replace(mark, default, 1)) :]
+    return Template(user=(user,), assistant=(answer,), system=(system,), observation=(user,), function=(answer,), prefix=(prefix,) if prefix else (), default_system=default, reasoning=thinks)
+
+
 def end_fixed(t: Template, tokenizer: Tokenizer) -> tuple[Template, int]:
     """The template and the id that ends an answer: its first stop word's where it replaces the end token."""
     if t.replace_eos and t.stop_words:

@@ -7,13 +7,16 @@ import io
 import os
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.sources import remote
 from corpusloom.sources.files import GZIP_MAGIC, find_files
 
 _SUFFIXES = re.compile(r"(?:\.gz)+$", re.I)
@@ -65,23 +68,36 @@ def unwrapped(content: bytes, layers: int) -> tuple[bytes, int]:
     return content, done
 
 
+def unwrapped_stream(raw, layers: int) -> tuple[io.BufferedReader, int]:
+    """A stream without at most ``layers`` layers, as in ``unwrapped``, and how many came off."""
+    stream, done = io.BufferedReader(raw), 0
+    while done < layers and stream.peek(2)[:2] == GZIP_MAGIC:
+        stream = io.BufferedReader(gzip.GzipFile(fileobj=stream))
+        done += 1
+    return stream, done
+
+
 def _run(job: Job, overwrite: bool) -> tuple[str, int | None, str | None]:
-    if os.path.exists(job.destination) and not overwrite:
+    source, name = remote.opened(job.source)
+    target, to = remote.opened(job.destination)
+    if target.get_file_info(to).type != fs.FileType.NotFound and not overwrite:
         return "skipped", None, None
-    part = f"{job.destination}.{uuid.uuid4().hex}.part"
+    part, size = f"{to}.{uuid.uuid4().hex}.part", 0
     try:
-        with open(job.source, "rb") as f:
-            content, done = unwrapped(f.read(), job.suffix_layers)
-        if not done:
-            return "failed", None, "not a gzip file"
-        os.makedirs(os.path.dirname(job.destination) or ".", exist_ok=True)
-        with open(part, "wb") as f:
-            f.write(content)
-        os.replace(part, job.destination)
-        return "written", len(content), None
-    except (OSError, EOFError) as e:
-        if os.path.exists(part):
-            os.remove(part)
+        with source.open_input_stream(name, compression=None) as raw:
+            stream, done = unwrapped_stream(raw, job.suffix_layers)
+            if not done:
+                return "failed", None, "not a gzip file"
+            target.create_dir(os.path.dirname(to) or ".", recursive=True)
+            with target.open_output_stream(part, compression=None) as out:
+                while chunk := stream.read(4 << 20):
+                    out.write(chunk)
+                    size += len(chunk)
+        target.move(part, to)
+        return "written", size, None
+    except (OSError, EOFError, zlib.error) as e:
+        if target.get_file_info(part).type != fs.FileType.NotFound:
+            target.delete_file(part)
         return "failed", None, str(e)
 
 

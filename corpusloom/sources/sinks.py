@@ -9,13 +9,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Rows of a shard of texts.
+#: Rows of a shard of texts, and of a row group in it.
 ROWS_PER_SHARD = 500_000
+ROWS_PER_GROUP = 10_000
 
 
 def write_texts(df: DataFrame, folder: str, text: str = "text", rows: int = ROWS_PER_SHARD) -> None:
-    """One column of texts that aren't null: zstd, no dictionary, at most ``rows`` rows a file; a folder that exists is an error."""
-    df.select(text).where(df[text].isNotNull()).write.mode("errorifexists").option("compression", "zstd").option("parquet.enable.dictionary", "false").option("maxRecordsPerFile", rows).parquet(folder)
+    """One column of texts that aren't null: zstd, no dictionary, at most ``rows`` rows a file and ROWS_PER_GROUP a row group; a folder that exists is an error."""
+    out = df.select(text).where(df[text].isNotNull()).write.mode("errorifexists").option("compression", "zstd").option("parquet.compression.codec.zstd.level", 3)
+    out.option("parquet.enable.dictionary", "false").option("parquet.block.row.count.limit", ROWS_PER_GROUP).option("maxRecordsPerFile", rows).parquet(folder)
 
 
 def number_shards(spark: SparkSession, folder: str, stem: str = "train") -> list[str]:
