@@ -416,9 +416,12 @@ SQL = {
     "rows_last_answer": f"{_D} SELECT example_id, md5({_IDS}) AS input_ids, md5({_DOTS} || {_ALL('''list_transform(t, lambda x, i: CASE WHEN i < len(t) THEN repeat('.', strlen(x) + CASE WHEN i % 2 = 1 THEN 2 ELSE 1 END) ELSE hex(x) || '[257]' END)''')}) AS labels FROM d WHERE ok",
     "rows_prompt_only": f"{_D} SELECT example_id, md5({_HEADS} || {_ALL('''list_transform(list_filter(t, lambda x, i: i % 2 = 1), lambda x: '[260]' || hex(x) || '[261]')''')}) AS input_ids FROM d",
     "rows_before_last": f"""{_D} SELECT d.example_id, md5({_HEADS} || {_ALL('''list_transform(t[1:len(t) - 1], lambda x, i: CASE WHEN i % 2 = 1 THEN '[260]' || hex(x) || '[261]' ELSE hex(x) || '[257]' END)''')}) AS input_ids, md5(COALESCE(hex(e._response[-1].content), '')) AS labels FROM d JOIN sft_examples e USING (example_id)""",
-    "rows_marked": f"""WITH d AS (SELECT example_id, COALESCE(_system, '') AS s, list_transform({_SAID}, lambda x: {_TURN("x.role", "COALESCE(x.content, '')")}) AS t FROM sft_examples WHERE len({_SAID}) > 0)
+    "rows_marked": f"""WITH d AS (SELECT example_id, COALESCE(_system, '') AS s, list_transform({_SAID}, lambda x: {_TURN("x.role", "COALESCE(x.content, '')")}) AS t FROM sft_examples WHERE len({_SAID}) > 0),
+        k AS (SELECT *, list_filter(range(1, len(t) + 1), lambda i: t[i].role = 'user') AS u, list_filter(range(1, len(t) + 1), lambda i: t[i].role <> 'user') AS a FROM d),
+        z AS (SELECT *, list_filter(range(1, len(u) + 1), lambda k: k <= len(a)) AS ks FROM k)
         SELECT example_id, md5({_HEADS} || {_ALL('''list_transform(t, lambda x: CASE WHEN x.role = 'user' THEN '[260]' || hex(x.content) || '[261]' ELSE hex(x.content) || '[257]' END)''')}) AS input_ids,
-        md5({_DOTS} || {_ALL('''list_transform(t, lambda x, i: CASE WHEN x.role = 'user' THEN repeat('.', strlen(x.content) + 1) || CASE WHEN len(list_filter(t[1:i], lambda y: y.role = 'user')) <= len(list_filter(t, lambda y: y.role <> 'user')) THEN '[261]' ELSE '.' END WHEN len(list_filter(t[1:i], lambda y: y.role <> 'user')) <= len(list_filter(t, lambda y: y.role = 'user')) THEN hex(x.content) || '[257]' ELSE repeat('.', strlen(x.content) + 1) END)''')}) AS labels FROM d""",
+        md5({_DOTS} || {_ALL('''list_transform(t, lambda x, i: CASE WHEN x.role = 'user' THEN CASE WHEN len(list_filter(ks, lambda k: u[k] < i AND i < a[k])) > 0 THEN '[260]' || hex(x.content) ELSE repeat('.', strlen(x.content) + 1) END || CASE WHEN len(list_filter(ks, lambda k: u[k] <= i AND i < a[k])) > 0 THEN '[261]' ELSE '.' END
+            WHEN len(list_filter(ks, lambda k: u[k] < i AND i <= a[k])) > 0 THEN hex(x.content) || '[257]' ELSE repeat('.', strlen(x.content) + 1) END)''')}) AS labels FROM z""",
     "rows_pairwise": f"""{_D}, p AS (SELECT example_id, {_HEADS} || {_ALL('''list_transform(t[1:len(t) - 1], lambda x, i: CASE WHEN i % 2 = 1 THEN '[260]' || hex(x) || '[261]' ELSE hex(x) || '[257]' END)''')} AS b, repeat('.', CAST({_N} - strlen(t[-1]) - 1 AS BIGINT)) AS l, hex(t[-1]) || '[257]' AS c, hex(reverse(t[-1])) || '[257]' AS r FROM d WHERE ok)
         SELECT example_id, md5(b || c) AS chosen_input_ids, md5(l || c) AS chosen_labels, md5(b || r) AS rejected_input_ids, md5(l || r) AS rejected_labels FROM p""",
     "rows_text": "SELECT doc_id AS example_id, md5(hex(text) || '[259]') AS input_ids FROM documents WHERE strlen(text) > 0",
