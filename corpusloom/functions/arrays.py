@@ -20,7 +20,7 @@ def _positions(c: Column) -> Column:
 
 def positions_where(c: Column, value: int | Column) -> Column:
     """The positions, from 0, at which the array has ``value``."""
-    return F.filter(_positions(c), lambda i: F.get(c, i) == value)
+    return let(c, lambda v: F.filter(_positions(v), lambda i: F.get(v, i) == value))
 
 
 def pad_to_multiple(c: Column, multiple: int, filler: int, room_for_end: bool = False) -> Column:
@@ -106,8 +106,7 @@ def sequence_ends(c: Column, end: int) -> Column:
 
 def ends_from_positions(c: Column) -> Column:
     """From position ids: where they are 0 but for the first, and the length."""
-    zeros = positions_where(c, 0)
-    return F.concat(F.slice(zeros, F.lit(2), F.greatest(F.size(zeros) - 1, F.lit(0))), F.array(F.size(c)))
+    return let(c, lambda v: let(positions_where(v, 0), lambda z: F.concat(F.slice(z, F.lit(2), F.greatest(F.size(z) - 1, F.lit(0))), F.array(F.size(v)))))
 
 
 def shifted_ends(ends: Column, by: int, length: Column | int) -> Column:
@@ -117,18 +116,22 @@ def shifted_ends(ends: Column, by: int, length: Column | int) -> Column:
 
 def packed_positions(mask: Column) -> Column:
     """Position ids of packed segments numbered from 1, 0 for the padding at the tail."""
-    first = F.filter(_positions(mask), lambda i: (i == 0) | (F.get(mask, i) != F.get(mask, i - 1)))
     size = lambda b, k: F.get(b, k + 1) - F.get(b, k)
-    made = lambda b: F.transform(F.slice(b, F.lit(1), F.size(b) - 1), lambda i, k: F.when(F.get(mask, i) == 0, F.array_repeat(F.lit(0), size(b, k))).otherwise(_counted(size(b, k))))
-    return let(F.concat(first, F.array(F.size(mask))), lambda b: F.flatten(made(b)))
+    bounds = lambda m: F.concat(F.filter(_positions(m), lambda i: (i == 0) | (F.get(m, i) != F.get(m, i - 1))), F.array(F.size(m)))
+    made = lambda m, b: F.transform(F.slice(b, F.lit(1), F.size(b) - 1), lambda i, k: F.when(F.get(m, i) == 0, F.array_repeat(F.lit(0), size(b, k))).otherwise(_counted(size(b, k))))
+    return let(mask, lambda m: let(bounds(m), lambda b: F.flatten(made(m, b))))
 
 
 def prompt_runs(labels: Column) -> Column:
     """(begin, end) of every maximal run of -100; the end of a run at the tail is null."""
-    is_ = lambda i: F.get(labels, i) == IGNORE
-    begins = F.filter(_positions(labels), lambda i: is_(i) & ((i == 0) | (F.get(labels, i - 1) != IGNORE)))
-    ends = F.filter(_positions(labels), lambda i: (i > 0) & ~is_(i) & (F.get(labels, i - 1) == IGNORE))
-    return F.arrays_zip(begins.alias("begin"), ends.alias("end"))
+
+    def runs(y: Column) -> Column:
+        is_ = lambda i: F.get(y, i) == IGNORE
+        begins = F.filter(_positions(y), lambda i: is_(i) & ((i == 0) | (F.get(y, i - 1) != IGNORE)))
+        ends = F.filter(_positions(y), lambda i: (i > 0) & ~is_(i) & (F.get(y, i - 1) == IGNORE))
+        return F.arrays_zip(begins.alias("begin"), ends.alias("end"))
+
+    return let(labels, runs)
 
 
 def inferred_lengths(source: Column, target: Column, cutoff: Column | int) -> tuple[Column, Column]:
@@ -141,8 +144,8 @@ def inferred_lengths(source: Column, target: Column, cutoff: Column | int) -> tu
 
 def attention_load(ends: Column, length: int) -> Column:
     """Half the sum of squared segment lengths relative to the squared length."""
-    squares = F.aggregate(F.transform(ends, lambda e, i: e - F.when(i == 0, 0).otherwise(F.get(ends, i - 1))), F.lit(0).cast("bigint"), lambda a, x: a + x * x)
-    return 0.5 * squares / (length * length)
+    lengths = let(ends, lambda v: F.transform(v, lambda e, i: e - F.when(i == 0, 0).otherwise(F.get(v, i - 1))))
+    return 0.5 * F.aggregate(lengths, F.lit(0).cast("bigint"), lambda a, x: a + x * x) / (length * length)
 
 
 def may_attend(mask: Column, query: Column, key: Column) -> Column:
@@ -164,6 +167,10 @@ def regenerated_positions(c: Column, offset: Column | int = 0) -> Column:
 
 def trimmed_tail(ends: Column, batch: int) -> Column:
     """Segment ends up to the ``batch``-th one that is a single step from the next, and the last end; whole if there are fewer such steps."""
-    singles = F.filter(_positions(ends), lambda i: F.get(ends, i + 1) - F.get(ends, i) == 1)
-    cut = F.concat(F.slice(ends, F.lit(1), F.get(singles, F.lit(batch - 1)) + 1), F.slice(ends, F.lit(-1), F.lit(1)))
-    return F.when(F.size(singles) >= batch, cut).otherwise(ends)
+
+    def cut(v: Column) -> Column:
+        singles = F.filter(_positions(v), lambda i: F.get(v, i + 1) - F.get(v, i) == 1)
+        short = lambda z: F.concat(F.slice(v, F.lit(1), F.get(z, F.lit(batch - 1)) + 1), F.slice(v, F.lit(-1), F.lit(1)))
+        return let(singles, lambda z: F.when(F.size(z) >= batch, short(z)).otherwise(v))
+
+    return let(ends, cut)

@@ -176,7 +176,9 @@ def interleaved(spark: SparkSession, sizes: list[int], probabilities: list[float
     # blocks are counted until enough positions are known, twice as many each time
     needs = {k: sizes[k] for k in usable}
     reach = min if until == "first_exhausted" else max
-    n_blocks = max(1, math.ceil(reach(needs[k] / (p[k] / whole) for k in usable) * 1.05 / block))
+    expected = math.ceil(reach(needs[k] / (p[k] / whole) for k in usable) * 1.05)
+    block = max(1, min(block, max(expected, 1024)))
+    n_blocks = max(1, -(-expected // block))
     counts: dict[tuple[int, int], int] = {}
     done = 0
     while True:
