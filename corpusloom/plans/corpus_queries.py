@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import text
 from corpusloom.operators import corpus
+from corpusloom.plans import source_queries
 from corpusloom.session import table, wide_table
 from corpusloom.sources import gunzip
 
@@ -26,6 +27,7 @@ def _side(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def _merged(spark: SparkSession, root: str) -> DataFrame:
+    """Keys of the two corpora, told apart by the names of shards; rows without a shard belong to neither."""
     return corpus.merged_counts(_side(spark, root, "core"), _side(spark, root, "s2orc"))
 
 
@@ -115,7 +117,14 @@ QUERIES = {f.__name__: f for f in (key_normalize, key_counts, cmp_key_counts, cm
 _SIDES = f"WITH a AS (SELECT {_DOI} AS doi FROM doi_counts WHERE shard LIKE 'core%'), b AS (SELECT {_DOI} AS doi FROM doi_counts WHERE shard LIKE 's2orc%')"
 _MERGED = f"""{_SIDES}, m AS (SELECT doi, SUM(x) AS count_a, SUM(y) AS count_b FROM (SELECT doi, 1 AS x, 0 AS y FROM a UNION ALL SELECT doi, 0, 1 FROM b) WHERE doi IS NOT NULL GROUP BY doi)"""
 
+#: Class, identifier and body of each line, as ``record_fields`` has them in SQL.
+_FIELDS = f"WITH f AS ({source_queries.SQL['record_fields']}), l AS (SELECT f.*, j.source, CASE WHEN j.source LIKE '/corpus/in/%/%' THEN string_split(j.source, '/')[4] ELSE '' END AS corpus FROM f JOIN job_lines j USING (line_id))"
+_TEXTS = f"WITH t AS ({source_queries.SQL['record_texts']}), l AS (SELECT t.*, j.source FROM t JOIN job_lines j USING (line_id))"
+
 SQL = {
+    "record_statistics": f"""{_FIELDS} SELECT corpus, COUNT(*) AS lines, COUNT(*) FILTER (kind = 'empty') AS empty, COUNT(*) FILTER (kind = 'malformed') AS malformed, COUNT(*) FILTER (kind = 'other') AS not_object, COUNT(*) FILTER (kind = 'object') AS valid,
+        COUNT(*) FILTER (kind = 'object' AND doi IS NOT NULL) AS with_doi, COUNT(*) FILTER (kind = 'object' AND has_body) AS with_body, COUNT(*) FILTER (kind = 'object' AND doi IS NOT NULL AND has_body) AS with_both, COUNT(*) FILTER (kind = 'object' AND doi IS NULL AND NOT has_body) AS with_neither, COUNT(DISTINCT doi) AS distinct_dois FROM l GROUP BY corpus""",
+    "text_filter_statistics": f"""{_TEXTS} SELECT CASE WHEN GROUPING(source) = 1 THEN 'TOTAL' ELSE source END AS source, COUNT(*) AS lines, COUNT(*) FILTER (outcome = 'kept') AS kept, COUNT(*) FILTER (outcome IN ('empty', 'short')) AS empty_or_short, COUNT(*) FILTER (outcome = 'malformed') AS malformed, COUNT(*) FILTER (outcome = 'missing') AS missing FROM l GROUP BY ROLLUP (source)""",
     "key_normalize": f"SELECT row_id, {_DOI} AS key FROM doi_counts",
     "key_counts": f"SELECT key, COUNT(*) AS n FROM (SELECT {_DOI} AS key FROM doi_counts) WHERE key IS NOT NULL GROUP BY key",
     "cmp_key_counts": f"{_MERGED} SELECT doi, CAST(count_a AS BIGINT) AS count_a, CAST(count_b AS BIGINT) AS count_b FROM m",

@@ -62,28 +62,6 @@ def blend_exhaustive(spark: SparkSession, root: str) -> DataFrame:
     return blending.exhaustive_blend(spark, SIZES)
 
 
-def blended_documents(spark: SparkSession, root: str) -> DataFrame:
-    """Documents of three languages in turn by weight, as many as the smallest share allows."""
-    docs = table(spark, root, "documents").select("doc_id", "lang")
-    parts = [ordinals.with_prefix(docs.where(F.col("lang") == c).select("doc_id", "lang"), ["doc_id"]) for c in ("en", "de", "fr")]
-    size = min(int(p.count() / w) for p, w in zip(parts, WEIGHTS, strict=True))
-    return blending.blended_rows(blending.weighted_blend(spark, WEIGHTS, size - 3), parts)
-
-
-def interleaved_sources(spark: SparkSession, root: str) -> DataFrame:
-    sizes = [r["count"] for r in table(spark, root, "documents").where("lang IS NOT NULL").groupBy("lang").count().orderBy("lang").collect()]
-    return blending.interleaved(spark, sizes, [1.0] * len(sizes), seed=3, until="all_exhausted")
-
-
-def resampled_documents(spark: SparkSession, root: str) -> DataFrame:
-    docs = table(spark, root, "documents").select("doc_id")
-    return ordinals.resampled(docs, "doc_id", docs.count() + 100, 5)
-
-
-def bucket_order(spark: SparkSession, root: str) -> DataFrame:
-    return ordinals.bucket_order(table(spark, root, "documents").select("doc_id"), "doc_id", 0, 2, 4, 9)
-
-
 def concat_sources(spark: SparkSession, root: str) -> DataFrame:
     a = table(spark, root, "documents").select(F.lit(0).alias("part"), F.col("doc_id").alias("id"), "text")
     b = table(spark, root, "eval_items").select(F.lit(1).alias("part"), F.col("item_id").alias("id"), F.col("passage").alias("text"), "task")
@@ -100,12 +78,7 @@ def titled_blocks(spark: SparkSession, root: str) -> DataFrame:
     return blocks.titled_blocks(docs, "doc_id", "sizes", "title", 512)
 
 
-def repeated_order(spark: SparkSession, root: str) -> DataFrame:
-    docs = table(spark, root, "documents").select("doc_id")
-    return ordinals.repeated_order(docs, "doc_id", 2 * docs.count() + 1, 3, pad_to=64)
-
-
-QUERIES = {f.__name__: f for f in (sequence_pointers, split_ordinals, sample_index, chunk_concat, epoch_shuffle, support_sets, batch_ranks, even_parts, blend_weighted, blend_exhaustive, blended_documents, interleaved_sources, resampled_documents, bucket_order, concat_sources, sentence_blocks, titled_blocks, repeated_order)}
+QUERIES = {f.__name__: f for f in (sequence_pointers, split_ordinals, sample_index, chunk_concat, epoch_shuffle, support_sets, batch_ranks, even_parts, blend_weighted, blend_exhaustive, concat_sources, sentence_blocks, titled_blocks)}
 
 _STREAM = "WITH d AS (SELECT doc_id, strlen(text) AS n FROM documents WHERE strlen(text) > 0), s AS (SELECT doc_id, n, SUM(n) OVER (ORDER BY doc_id) - n AS start FROM d), t AS (SELECT SUM(n) AS total FROM d)"
 

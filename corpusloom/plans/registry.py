@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.plans import array_queries, compaction_queries, corpus_queries, exam_queries, layout_queries, order_queries, score_queries, token_queries
+from corpusloom.plans import array_queries, compaction_queries, corpus_queries, exam_queries, layout_queries, order_queries, score_queries, source_queries, token_queries
 
 Query = Callable[[SparkSession, str], DataFrame]
-_CORE = (compaction_queries, corpus_queries, layout_queries, array_queries, exam_queries, order_queries, token_queries, score_queries)
+_CORE = (compaction_queries, corpus_queries, layout_queries, array_queries, exam_queries, source_queries, order_queries, token_queries, score_queries)
 
 
 def queries() -> dict[str, Query]:

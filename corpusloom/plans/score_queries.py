@@ -20,11 +20,6 @@ def pass_at_k(spark: SparkSession, root: str) -> DataFrame:
     return evaluation.pass_at_k(table(spark, root, "orders").withColumn("passed", F.col("o_orderstatus") == "O"), "o_orderpriority", "passed", [1, 2, 10])
 
 
-def ppl_least_loss(spark: SparkSession, root: str) -> DataFrame:
-    rows = table(spark, root, "embeddings").select("vec_id", F.posexplode(F.slice("embedding", 1, 4)).alias("i", "loss"))
-    return evaluation.least_loss(rows.select("vec_id", F.element_at(F.array(*map(F.lit, "ABCD")), F.col("i") + 1).alias("option"), F.col("loss").cast("double").alias("loss")), "vec_id", "option", "loss")
-
-
 def needle_scores(spark: SparkSession, root: str) -> DataFrame:
     items = table(spark, root, "eval_items").where("passage IS NOT NULL AND a IS NOT NULL")
     return items.select("item_id", F.round(text.needle_score(F.col("question"), F.col("passage"), F.col("a")), 9).alias("score"))
@@ -66,14 +61,13 @@ def question_order(spark: SparkSession, root: str) -> DataFrame:
     return evaluation.in_order(table(spark, root, "eval_items").select("item_id", "question"), F.length("question"), "item_id").select("item_id", "rank")
 
 
-QUERIES = {f.__name__: f for f in (eval_rollup, pass_at_k, ppl_least_loss, needle_scores, answer_numbers, exam_scores, few_shot_prompts, preference_rates, value_distribution, warm_mean, event_windows, question_order)}
+QUERIES = {f.__name__: f for f in (eval_rollup, pass_at_k, needle_scores, answer_numbers, exam_scores, few_shot_prompts, preference_rates, value_distribution, warm_mean, event_windows, question_order)}
 
 SQL = {
     "eval_rollup": "SELECT CASE WHEN GROUPING(l) = 1 THEN 'total' ELSE l END AS lang, COUNT(*) AS question_n, AVG(CASE WHEN n_chars = length(text) THEN 1 ELSE 0 END) AS acc FROM (SELECT COALESCE(lang, '(none)') AS l, n_chars, text FROM documents) GROUP BY ROLLUP (l)",
     "pass_at_k": """WITH p AS (SELECT o_orderpriority AS t, COUNT(*) AS n, COUNT(*) FILTER (o_orderstatus = 'O') AS c FROM orders GROUP BY 1), k AS (SELECT CAST(unnest([1, 2, 10]) AS INT) AS k),
         e AS (SELECT k, n, CASE WHEN n - c < k THEN 1.0 WHEN c = 0 THEN 0.0 ELSE 1 - list_product(list_transform(range(n - c + 1, n + 1), lambda i: CAST(1 AS DOUBLE) - CAST(k AS DOUBLE) / i)) END AS e FROM p, k)
         SELECT k, AVG(e) AS pass_at_k FROM e GROUP BY k HAVING MIN(n) >= k""",
-    "ppl_least_loss": "SELECT vec_id, (['A', 'B', 'C', 'D'])[list_position(embedding[1:4], list_min(embedding[1:4]))] AS option FROM embeddings",
     "needle_scores": r"""WITH s AS (SELECT item_id, question, a, regexp_replace(question, '\s+', '', 'g') AS x, regexp_replace(passage, '\s+', '', 'g') AS y FROM eval_items WHERE passage IS NOT NULL AND a IS NOT NULL)
         SELECT item_id, round(CASE WHEN contains(question, a) THEN 1.0 ELSE CAST(0.2 AS DOUBLE) * (1 - CAST(levenshtein(x, y) AS DOUBLE) / GREATEST(length(x), length(y))) END, 9) AS score FROM s""",
     "answer_numbers": r"""SELECT item_id, CASE WHEN question IS NULL THEN NULL ELSE COALESCE(regexp_extract_all(string_split(question, 'Question:')[1], '-?\d+(?:\.\d+)?')[-1], 'NULL') END AS number,

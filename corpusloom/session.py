@@ -48,14 +48,27 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir`` as a plain path, for files that tasks and driver exchange.
+
+    Without one, a temporary folder where everything runs on this machine, and an error elsewhere.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines see")
+        named = tempfile.mkdtemp(prefix="corpusloom-")
+    return named.removeprefix("file://").removeprefix("file:") if named.startswith("file:") else named
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written to the shared checkpoint folder, its lineage cut.
 
     The folder is the one the cluster names in ``spark.checkpoint.dir``. Only where neither that nor
-    a folder of the context is set (tests in one process) is a temporary one used.
+    a folder of the context is set is a temporary one used, and only if everything runs on this machine; elsewhere that is an error.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="corpusloom-"))
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or shared_folder(spark))
     return df.checkpoint(eager=True)

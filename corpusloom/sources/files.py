@@ -63,7 +63,7 @@ def read_format(spark: SparkSession, paths: list[str], fmt: str, **options) -> D
     if fmt == "csv":
         options = {"header": "true", "multiLine": "true", "escape": '"'} | options
     reader = spark.read.options(**options)
-    return reader.text(paths) if fmt == "text" else getattr(reader, fmt)(paths)
+    return reader.format(fmt).load(paths)
 
 
 def read_arrow(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -279,7 +279,8 @@ def cached(spark: SparkSession, path: str | None) -> DataFrame | None:
 
 def mock_documents(spark: SparkSession, n: int, seed: int, most: int = 4096, end: int = 0) -> DataFrame:
     """(doc_id, tokens): documents of seeded lengths whose tokens count up from 1 and end with ``end``."""
-    size = (F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(most - 1)) + 1).cast("int")
+    drawn = F.conv(F.substring(F.md5(F.concat_ws("-", F.lit(str(seed)), F.col("id").cast("string"))), 1, 12), 16, 10).cast("bigint")
+    size = (drawn % (most - 1) + 1).cast("int")
     return spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.when(size > 1, F.sequence(F.lit(1), size - 1)).otherwise(F.array().cast("array<int>")), F.array(F.lit(end))).alias("tokens"))
 
 

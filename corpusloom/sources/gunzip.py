@@ -117,7 +117,7 @@ def decompress(spark: SparkSession, jobs: list[Job], overwrite: bool = False) ->
             yield pd.DataFrame({"source": frame["source"], "destination": frame["destination"], "status": [d[0] for d in done], "size_bytes": pd.array([d[1] for d in done], "Int64"), "error": [d[2] for d in done]})
 
     listed = spark.createDataFrame([(j.source, j.destination, j.suffix_layers) for j in jobs], "source string, destination string, suffix_layers int")
-    return listed.repartition(max(1, min(len(jobs), 512))).mapInPandas(run, "source string, destination string, status string, size_bytes bigint, error string")
+    return listed.repartition(max(1, min(len(jobs), max(4 * spark.sparkContext.defaultParallelism, len(jobs) // 1000)))).mapInPandas(run, "source string, destination string, status string, size_bytes bigint, error string")
 
 
 def status_counts(done: DataFrame) -> DataFrame:
