@@ -1,25 +1,33 @@
 """Samples of varying length packed into containers of fixed capacity by the sum-of-squares rule.
 
 Only (id, piece, length) rows are packed: they are spread by hash over groups of a bounded number of items, each
-packed by one task that keeps, for every residual gap, the number of open containers. Items go in by falling
-length, each to the gap after which the sum of the squared counts of open containers is smallest. The items of the
-containers that stay open are then packed again, over fewer groups, until one group holds them or nothing is gained,
-so what is lost at the borders of groups doesn't grow with their number. Tokens move once for the join to their
+packed by one task that keeps, for every residual gap, the number of open containers. Items go in, the large ones by falling
+length and the small ones behind them in seeded order, each to the gap after which the sum of the squared counts of open containers is smallest. The items of the
+containers that stay open are then packed again by the same rule, in the group and over ever fewer groups, until one group holds them or nothing is gained,
+so what is lost at the borders of groups doesn't grow with their number. Tokens move compressed, once for the join to their
 places and once for the containers.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.tokens import IGNORE, PAD, length_without_padding, token_rows
+from corpusloom.llm import payloads
+from corpusloom.llm.tokens import IGNORE, PAD, length_without_padding
 from corpusloom.session import checkpointed
 
-#: Items that one task packs at a time: about a minute and a few MB.
-ITEMS_PER_GROUP = 200_000
+#: Items that one task packs at a time: about a second and a few MB.
+ITEMS_PER_GROUP = 32_768
+#: Items of less than this share of the capacity fill gaps; they come last, in seeded order.
+SMALL = 8
+#: Times that a group's open containers are packed again.
+AGAIN = 4
 #: Rounds over the items of open containers.
 ROUNDS = 6
 
@@ -50,34 +58,24 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> np.ndarray:
     return out
 
 
-def best_fit(lengths: np.ndarray, capacity: int) -> np.ndarray:
-    """Container number of each item: the fullest open container it fits into, items as given."""
-    open_at: list[list[int]] = [[] for _ in range(capacity + 1)]
-    count = np.zeros(capacity + 1, bool)
-    out, n = np.zeros(len(lengths), np.int64), 0
-    for i, s in enumerate(lengths.tolist()):
-        k = int(count[s:].argmax()) + s
-        if count[k]:
-            b = open_at[k].pop()
-            count[k] = bool(open_at[k])
-        else:
-            b, k, n = n, capacity, n + 1
-        if k - s:
-            open_at[k - s].append(b)
-            count[k - s] = True
-        out[i] = b
-    return out
-
+def pack_group(lengths: np.ndarray, capacity: int, seed: int = 0) -> np.ndarray:
+    """Container number of each item. Small items come last, in seeded order, as they would leave equal gaps by falling length.
 
-def pack_group(lengths: np.ndarray, capacity: int) -> np.ndarray:
-    """Sum-of-squares by falling length; what lies in containers left open is packed again best-fit if that saves any."""
-    order = np.argsort(-lengths, kind="stable")
+    What lies in containers left open is packed again in another order, by the same rule, as often as that saves any.
+    """
+    draw = np.random.default_rng(seed)
+    falling = np.argsort(-lengths, kind="stable")
+    large = lengths[falling] >= capacity / SMALL
+    order = np.concatenate([falling[large], draw.permutation(falling[~large])])
     bins = np.empty(len(lengths), np.int64)
     bins[order] = sum_of_squares(lengths[order], capacity)
-    fill = np.bincount(bins, lengths).astype(np.int64)
-    loose = order[fill[bins[order]] < capacity]
-    again = best_fit(lengths[loose], capacity)
-    if len(loose) and again.max() + 1 < (fill < capacity).sum():
+    for k in range(AGAIN):
+        fill = np.bincount(bins, lengths).astype(np.int64)
+        loose = np.flatnonzero(fill[bins] < capacity)
+        loose = draw.permutation(loose) if k % 2 == 0 else loose[np.argsort(-lengths[loose], kind="stable")]
+        again = sum_of_squares(lengths[loose], capacity)
+        if not len(loose) or again.max() + 1 >= (fill < capacity).sum():
+            break
         bins[loose] = again + len(fill)
         bins = np.unique(bins, return_inverse=True)[1]
     return bins
@@ -142,23 +140,40 @@ def places(df: DataFrame, capacity: int = 2048, sample_id: str = "sample_id", id
 def packed_samples(df: DataFrame, capacity: int = 2048, sample_id: str = "sample_id", ids: str = "input_ids", labels: str = "labels", pad: int = PAD, items_per_group: int = ITEMS_PER_GROUP) -> DataFrame:
     """(pack_id, n_samples, n_tokens, n_free, sample_ids, lengths, input_ids, labels): the containers, filled up with padding.
 
-    ``labels`` that are null count as -100 throughout, ones too short are filled with -100; so is the padding.
-    ``lengths`` are those of the pieces, in order, from which positions and masks follow. An empty table gives no rows.
+    ``labels`` that are null count as -100 throughout, ones too short are filled with -100; so is the padding. Null tokens are -1.
+    ``lengths`` are those of the pieces, in order, from which positions and masks follow. An empty table gives no rows. Of ids that recur each
+    place takes a piece of its length, the first in the order of their bytes.
     """
-    where = places(df, capacity, sample_id, ids, pad, items_per_group).select("sample_id", "start", F.col("n").alias("take"), "pack_id", "slot")
-    rows = token_rows(df, sample_id, ids, labels, pad).where("n > 0").withColumn("sample_id", F.col("sample_id").cast("bigint"))
-    own = F.coalesce(F.col("labels"), F.array_repeat(F.lit(IGNORE), F.col("n")))
-    cut = rows.join(where.hint("shuffle_hash"), rows.sample_id.eqNullSafe(where.sample_id)).select("pack_id", "slot", "take", rows.sample_id, F.slice("input_ids", F.col("start") + 1, F.col("take")).alias("x"), F.slice(own, F.col("start") + 1, F.col("take")).alias("y"))
-    all_ = F.sort_array(F.collect_list(F.struct("slot", "sample_id", "take", "x", "y")))
-    packs = cut.groupBy("pack_id").agg(all_.alias("all"), F.sum("take").cast("int").alias("n_tokens"))
-    free = F.lit(capacity) - F.col("n_tokens")
-    return packs.select(
-        "pack_id",
-        F.size("all").alias("n_samples"),
-        "n_tokens",
-        free.alias("n_free"),
-        F.col("all.sample_id").alias("sample_ids"),
-        F.col("all.take").alias("lengths"),
-        F.concat(F.flatten("all.x"), F.array_repeat(F.lit(pad), free)).alias("input_ids"),
-        F.concat(F.flatten("all.y"), F.array_repeat(F.lit(IGNORE), free)).alias("labels"),
-    )
+    where = places(df, capacity, sample_id, ids, pad, items_per_group).select("sample_id", "piece", "n", "pack_id", "slot")
+    rows = payloads.pieces(df, capacity, sample_id, ids, labels, pad).withColumnRenamed("piece", "_piece").withColumnRenamed("sample_id", "_sample")
+    same = F.col("_sample").eqNullSafe(F.col("sample_id")) & (F.col("_piece") == F.col("piece"))
+    put = rows.join(where.hint("shuffle_hash"), same).select("pack_id", "slot", "sample_id", "n", "payload")
+    packs = put.groupBy("pack_id").agg(F.sort_array(F.collect_list(F.struct("slot", "sample_id", "n", "payload"))).alias("all"))
+    schema = pa.schema([("pack_id", pa.int64()), ("n_samples", pa.int32()), ("n_tokens", pa.int32()), ("n_free", pa.int32()), ("sample_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int32())), ("input_ids", pa.list_(pa.int32())), ("labels", pa.list_(pa.int32()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec("zstd")
+        for b in batches:
+            for at in range(0, b.num_rows, 256):
+                part = b.slice(at, 256)
+                counts, ids_of, lengths_of = [], [], []
+                x, y = np.full(part.num_rows * capacity, pad, np.int32), np.full(part.num_rows * capacity, IGNORE, np.int32)
+                for k, items in enumerate(part.column("all").to_pylist()):
+                    i, done = k * capacity, -1
+                    own: list[tuple] = []
+                    for item in items:
+                        # ids that recur meet each other's places: a place takes the first piece of its length
+                        if item["slot"] == done or payloads.length(item["payload"]) != item["n"]:
+                            continue
+                        t, lab = payloads.decoded(item["payload"], codec)
+                        x[i : i + len(t)], y[i : i + len(t)] = t, lab
+                        i, done = i + len(t), item["slot"]
+                        own.append((item["sample_id"], item["n"]))
+                    counts.append(i - k * capacity)
+                    ids_of.append([o[0] for o in own])
+                    lengths_of.append([o[1] for o in own])
+                offsets = pa.array(np.arange(0, (part.num_rows + 1) * capacity, capacity, dtype=np.int32))
+                rows = [part.column("pack_id"), pa.array(map(len, ids_of), pa.int32()), pa.array(counts, pa.int32()), pa.array([capacity - c for c in counts], pa.int32()), pa.array(ids_of, pa.list_(pa.int64())), pa.array(lengths_of, pa.list_(pa.int32()))]
+                yield pa.RecordBatch.from_arrays([*rows, pa.ListArray.from_arrays(offsets, pa.array(x)), pa.ListArray.from_arrays(offsets, pa.array(y))], schema=schema)
+
+    return packs.mapInArrow(run, "pack_id bigint, n_samples int, n_tokens int, n_free int, sample_ids array<bigint>, lengths array<int>, input_ids array<int>, labels array<int>")

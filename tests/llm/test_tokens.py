@@ -77,6 +77,8 @@ def test_packing_edges(spark):
     assert packing.packed_samples(frame(spark, [(1, None, None), (2, [258], None), (3, [], [])])).count() == 0
     same = packing.packed_samples(frame(spark, [(i, [1] * 1024, None) for i in range(20)])).collect()
     assert len(same) == 10
+    twice = packing.packed_samples(frame(spark, [(1, [1] * 1500, None), (1, [2] * 700, None), (1, [3] * 700, [3] * 700)])).collect()
+    assert sorted(n for p in twice for n in p["lengths"]) == [700, 700, 1500]
     null = packing.packed_samples(frame(spark, [(None, [1, 2], [1, 2])])).collect()
     assert null[0]["sample_ids"] == [None]
 
@@ -163,3 +165,20 @@ def test_cuts_are_natural_and_edits_stay_local():
 def test_hard_cuts_never_split_a_character():
     t = np.frombuffer("é".encode() * 4000, np.uint8).astype(np.int32)
     assert all(e % 2 == 0 for _, e in chunking.cut_points(t, chunking.Cuts())[:-1])
+
+
+def test_payloads_round_trip():
+    import numpy as np
+    import pyarrow as pa
+
+    from corpusloom.llm import payloads
+
+    codec, draw = pa.Codec("zstd"), np.random.default_rng(4)
+    for n in (0, 1, 2, 7, 500):
+        for top in (256, 70_000):
+            ids = draw.integers(0, top, n).astype(np.int32)
+            masked = np.where(draw.random(n) < 0.5, ids, -100).astype(np.int32)
+            for labels in (None, masked, ids, np.full(n, -100, np.int32), draw.integers(0, 9, n).astype(np.int32)):
+                got = payloads.decoded(payloads.encoded(ids, labels, codec), codec)
+                assert got[0].tolist() == ids.tolist()
+                assert got[1].tolist() == ([-100] * n if labels is None else labels.tolist())
