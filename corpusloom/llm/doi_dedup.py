@@ -1,6 +1,7 @@
 """Records that differ only in formatting: canonical keys, external sort, scan of adjacent runs.
 
-Plan: one projection computes the canonical key on Arrow batches; rows are range-partitioned by
+Plan: one projection computes the canonical key on Arrow batches and writes (key, id) to the checkpoint folder, as both the
+sample for the bounds and the shuffle read it; rows are range-partitioned by
 (key, id), so that a key holding any share of the rows spreads over as many partitions as it needs; each
 partition is sorted externally by Spark and written to the checkpoint folder; the scan then walks adjacent
 rows, comparing full keys. What crosses a partition border is settled from one summary per partition
@@ -9,6 +10,8 @@ rows, comparing full keys. What crosses a partition border is settled from one s
 
 from __future__ import annotations
 
+import ast
+import json
 import re
 from collections.abc import Iterator
 
@@ -21,6 +24,7 @@ from pyspark.sql.types import StringType
 
 from corpusloom.session import checkpointed, shuffle_width
 
+# Pairs of an object that neither JSON nor Python can read, such as ``{doi=10.1/x, id=3}``.
 _PAIR = re.compile(r"""["']?(\w+)["']?\s*[:=]\s*(.*?)(?=[,;]\s*["']?\w+["']?\s*[:=]|\}\s*$)""", re.S)
 # Escapes that stand for punctuation or invisible characters.
 _ESCAPES = r"%2[0-9A-Fa-f]|\\u[0-9a-fA-F]{4}|\\[nrt]"
@@ -39,18 +43,47 @@ def _from_doi(words: pa.Array) -> pa.Array:
     return pc.struct_field(pc.extract_regex(words, _DOI), "doi")
 
 
+def _leaves(value, path: tuple[str, ...] = ()) -> Iterator[tuple[tuple[str, ...], str]]:
+    """(path, text) of every value in an object; lists count their places."""
+    if isinstance(value, dict):
+        for name, inner in value.items():
+            yield from _leaves(inner, (*path, str(name)))
+    elif isinstance(value, (list, tuple)):
+        for k, inner in enumerate(value):
+            yield from _leaves(inner, (*path, str(k)))
+    else:
+        yield path, "null" if value is None else str(value)
+
+
+def _fields(text: str) -> list[tuple[tuple[str, ...], str]]:
+    """(path, text) of the values of an object as JSON, Python or a map writes it; nested ones with their whole path."""
+    text = text[text.index("{") :].strip()
+    for read in (json.loads, ast.literal_eval):
+        try:
+            found = read(text)
+        except (ValueError, SyntaxError, RecursionError, MemoryError, TypeError):
+            continue
+        if isinstance(found, dict):
+            return list(_leaves(found))
+    return [((name,), "null" if value.strip() == "None" else value) for name, value in _PAIR.findall(text)]
+
+
 def _object_keys(texts: pa.Array) -> list[str | None]:
-    """Keys of objects: their pairs, compared likewise, in the order of names; null if no value holds a DOI."""
-    pairs = [_PAIR.findall(t) for t in texts.to_pylist()]
-    flat = [x for p in pairs for x in p]
+    """Keys of objects: their fields, compared likewise, in the order of names; null if no value holds a DOI."""
+    fields = [_fields(t) for t in texts.to_pylist()]
+    flat = [x for f in fields for x in f]
     if not flat:
-        return [None] * len(pairs)
-    names = _letters(pa.array([n for n, _ in flat], pa.string())).to_pylist()
-    words = _letters(pa.array([v for _, v in flat], pa.string()))
+        return [None] * len(fields)
+    steps = _letters(pa.array([step for path, _ in flat for step in path], pa.string())).to_pylist()
+    names, at = [], 0
+    for path, _ in flat:
+        names.append(".".join(steps[at : at + len(path)]))
+        at += len(path)
+    words = _letters(pa.array([v.encode("utf-8", "replace").decode() for _, v in flat], pa.string()))
     dois = _from_doi(words)
     values, held, at, out = pc.coalesce(dois, words).to_pylist(), dois.is_valid().to_pylist(), 0, []
-    for p in pairs:
-        end = at + len(p)
+    for f in fields:
+        end = at + len(f)
         out.append("o:" + "|".join(sorted(f"{n}={v}" for n, v in zip(names[at:end], values[at:end], strict=True))) if any(held[at:end]) else None)
         at = end
     return out
@@ -92,7 +125,7 @@ def fields_key(*cols: str) -> Column:
 def sorted_keys(df: DataFrame, key: Column, row_id: str) -> DataFrame:
     """(key, row_id) of the rows with a key, range-partitioned and sorted, in the checkpoint folder."""
     n = shuffle_width(df.sparkSession)
-    rows = df.select(key.alias("key"), F.col(row_id).cast("bigint").alias("row_id")).where("key IS NOT NULL")
+    rows = checkpointed(df.select(key.alias("key"), F.col(row_id).cast("bigint").alias("row_id")).where("key IS NOT NULL"))
     return checkpointed(rows.repartitionByRange(n, "key", "row_id").sortWithinPartitions("key", "row_id"))
 
 

@@ -77,3 +77,18 @@ def test_other_keys(spark):
 def test_carry_over_partitions():
     ends = [{"part": 0, "first_key": "a", "last_key": "b", "head_id": 5}, {"part": 2, "first_key": "b", "last_key": "b", "head_id": 9}, {"part": 3, "first_key": "b", "last_key": "c", "head_id": 20}, {"part": 4, "first_key": "d", "last_key": "d", "head_id": 30}]
     assert D.carried(ends) == {2: 5, 3: 5}
+
+
+def test_objects_are_read_as_json_python_or_maps():
+    import pyarrow as pa
+
+    from corpusloom.llm.doi_dedup import doi_keys
+
+    same = ['{"DOI": "10.1234/AB-c", "CorpusId": 7, "PMID": null}', "{'PMID': None, 'doi': 'https://doi.org/10.1234/ab.C', 'corpusid': 7}", "{doi=10.1234/abc, corpusId=7, pmid=null}", 'ids: {"corpusId": "7", "pmid": null, "doi": "10.1234/abc"}']
+    assert len(set(doi_keys(pa.array(same)).to_pylist())) == 1
+    nested = ['{"ids": {"doi": "10.1234/abc", "n": 1}, "x": [1, 2]}', "{'x': [1, 2], 'ids': {'n': 1, 'doi': '10.1234/ABC'}}"]
+    assert len(set(doi_keys(pa.array(nested)).to_pylist())) == 1
+    others = ['{"ids": {"doi": "10.1234/abc"}}', '{"doi": "10.1234/abc"}', '{"doi": "10.1234/abc", "title": "a, name: b"}', '{"doi": "10.1234/abc", "title": "a", "name": "b"}', '{"ids": "none"}', "10.1234/abc"]
+    keys = doi_keys(pa.array(others)).to_pylist()
+    assert keys[4] is None
+    assert len(set(keys)) == 6
