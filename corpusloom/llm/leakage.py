@@ -15,7 +15,7 @@ import pickle
 import re
 import unicodedata
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
@@ -28,8 +28,8 @@ from corpusloom.session import checkpointed
 
 #: Words of the shortest run that counts as a leak.
 LEAST = 12
-#: UTF-8 bytes of item texts that are sent to the tasks at once; more are searched in as many blocks.
-ITEM_LIMIT = 8 << 20
+#: UTF-8 bytes of item texts that are sent to the tasks at once; more are searched in as many blocks. Their index takes about four times as many.
+ITEM_LIMIT = 16 << 20
 
 _INVISIBLE = dict.fromkeys([0xAD, *range(0x200B, 0x2010), 0x2060, 0xFEFF])
 _LETTERS = {ord("ß"): "ss", ord("æ"): "ae", ord("œ"): "oe", ord("ø"): "o", ord("đ"): "d", ord("ł"): "l", ord("ı"): "i", ord("ſ"): "s"}
@@ -82,30 +82,39 @@ def run_hashes(codes: np.ndarray, length: int) -> np.ndarray:
 
 @dataclass
 class Items:
-    """Texts of test items as word codes, with an index of the hashes of all runs of ``least`` words."""
+    """Texts of test items as word codes, with an index of the hashes of all runs of ``least`` words.
+
+    The texts lie behind one another in ``words_of``, text k from ``begins[k]`` on; ``seeds`` are the runs' hashes in order, ``at`` where
+    each run begins in ``words_of``, and ``text_of`` whose text it is. All are arrays, 20 bytes a word.
+    """
 
     least: int
-    owner: list[int] = field(default_factory=list)
-    texts: list[np.ndarray] = field(default_factory=list)
-    codes: dict[str, int] = field(default_factory=dict)
-    seeds: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
-    at: dict[int, list[tuple[int, int]]] = field(default_factory=dict)
+    owner: np.ndarray
+    codes: dict[str, int]
+    words_of: np.ndarray
+    begins: np.ndarray
+    seeds: np.ndarray
+    at: np.ndarray
+    text_of: np.ndarray
 
     @classmethod
     def of(cls, rows: list[tuple[int, str | None]], least: int) -> Items:
         """``rows``: (item id, text); texts shorter than ``least`` words can't leak."""
-        out = cls(least)
+        codes: dict[str, int] = {}
+        owner, texts = [], []
         for item, text in rows:
             seq = words(text)
-            if len(seq) < least:
-                continue
-            coded = np.array([out.codes.setdefault(w, len(out.codes) + 1) for w in seq], np.uint64)
-            for k, h in enumerate(run_hashes(mixed(coded), least).tolist()):
-                out.at.setdefault(h, []).append((len(out.texts), k))
-            out.owner.append(item)
-            out.texts.append(coded)
-        out.seeds = np.array(sorted(out.at), np.uint64)
-        return out
+            if len(seq) >= least:
+                owner.append(item)
+                texts.append(np.array([codes.setdefault(w, len(codes) + 1) for w in seq], np.uint32))
+        begins = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+        hashes = [run_hashes(mixed(t.astype(np.uint64)), least) for t in texts]
+        none = np.zeros(0, np.uint64)
+        seeds = np.concatenate([none, *hashes])
+        at = np.concatenate([none, *[np.arange(len(h)) + b for h, b in zip(hashes, begins, strict=False)]]).astype(np.int64)
+        text_of = np.repeat(np.arange(len(texts), dtype=np.int32), [len(h) for h in hashes])
+        order = np.argsort(seeds, kind="stable")
+        return cls(least, np.array(owner, object), codes, np.concatenate([np.zeros(0, np.uint32), *texts]), begins, seeds[order], at[order].astype(np.int32 if len(at) < 1 << 31 else np.int64), text_of[order])
 
     def seeded(self, hashes: np.ndarray) -> np.ndarray:
         """Which of the hashes are of a run of some item."""
@@ -114,6 +123,18 @@ class Items:
         i = np.searchsorted(self.seeds, hashes)
         return self.seeds[np.minimum(i, len(self.seeds) - 1)] == hashes
 
+    def text(self, k: int) -> np.ndarray:
+        return self.words_of[self.begins[k] : self.begins[k + 1]]
+
+    def meetings(self, document: np.ndarray, hashes: np.ndarray) -> dict[int, list[tuple[int, int]]]:
+        """text -> [(position in the document, in the text)] of the runs at ``document`` whose hashes are given."""
+        by: dict[int, list[tuple[int, int]]] = {}
+        low, high = np.searchsorted(self.seeds, hashes), np.searchsorted(self.seeds, hashes, side="right")
+        for d, a, b in zip(document.tolist(), low.tolist(), high.tolist(), strict=True):
+            for k, t in zip(self.text_of[a:b].tolist(), self.at[a:b].tolist(), strict=True):
+                by.setdefault(k, []).append((d, t - int(self.begins[k])))
+        return by
+
 
 def mixed(codes: np.ndarray) -> np.ndarray:
     """Codes spread over 64 bits."""
@@ -156,11 +177,9 @@ def tiles(document: np.ndarray, text: np.ndarray, seeds: list[tuple[int, int]],
 
 def matches(document: np.ndarray, hits: np.ndarray, hashes: np.ndarray, items: Items) -> tuple[list[tuple[int, int, list[tuple[int, int]]]], list[tuple[int, int, int]]]:
     """[(item, words of the text, [(position in document, length) of its tiles])] and [(first, end, item)] of all maximal runs."""
-    by: dict[int, list[tuple[int, int]]] = {}
-    for d in np.flatnonzero(hits).tolist():
-        for k, t in items.at[int(hashes[d])]:
-            by.setdefault(k, []).append((d, t))
-    marked = [(items.owner[k], len(items.texts[k]), [(d, n) for d, _, n in tiles(document, items.texts[k], seeds, items.least)]) for k, seeds in by.items()]
+    places = np.flatnonzero(hits)
+    by = items.meetings(places, hashes[places])
+    marked = [(items.owner[k], len(items.text(k)), [(d, n) for d, _, n in tiles(document, items.text(k), seeds, items.least)]) for k, seeds in by.items()]
     spans: list[tuple[int, int, int]] = []
     for k, seeds in by.items():
         # maximal runs of every item, tiled or not, decide what is an item's own
@@ -168,8 +187,9 @@ def matches(document: np.ndarray, hits: np.ndarray, hashes: np.ndarray, items: I
         for d, t in seeds:
             if (d - 1, t - 1) in at:
                 continue
-            m = min(len(document) - d, len(items.texts[k]) - t)
-            differ = np.flatnonzero(document[d : d + m] != items.texts[k][t : t + m])
+            own = items.text(k)
+            m = min(len(document) - d, len(own) - t)
+            differ = np.flatnonzero(document[d : d + m] != own[t : t + m])
             n = int(differ[0]) if len(differ) else m
             if n >= items.least:
                 spans.append((d, d + n, items.owner[k]))
