@@ -8,7 +8,7 @@ from __future__ import annotations
 
 STOPWORDS = {
     "en": "the of and to in that is for with was on are as by it this be from at which or an have has not what how why does should we you your were when if than more but most will would could they their there its our been before after since because although however while given whether please describe explain write summarise tell me",
-    "de": "der die das und ist nicht ein eine einen einem zu den von mit sich auf fur im dem des wird werden wurde wurden dass wir auch nach bei aus sind oder wie warum wenn weil aber zur zum zwischen ohne sollten ich kann hat als an noch nur seit durch uber was welche sodass solange bitte vergleiche nenne beschreibe erklare schreibe",
+    "de": "der die das und ist nicht ein eine einen einem zu den von mit sich auf fur im dem des wird werden wurde wurden dass wir auch nach bei aus sind oder wie warum wenn weil aber zur zum zwischen ohne sollten ich kann hat als an noch nur seit durch uber was welche sodass solange bitte vergleiche nenne beschreibe erklare schreibe wer wo wohin woher woraus wozu womit wofur worin wodurch woran wann ihr du er es man diese dieser dieses mein dein sein unser",
     "fr": "le la les des et est pas un une du que qui dans pour par sur au aux ce cette il elle nous vous sont ont a ete plus ne se avec mais ou en de comment pourquoi si alors entre apres parce sans selon tant on cela depuis doit encore quand plupart l d s y quelques decris explique ecris",
     "es": "el la los las de y en que es un una por con para no se del al lo su como mas pero si o entre cuando sin sobre porque esta este entonces segun despues desde debe son fue muy tambien donde hay ya nos significa que todos cada sus por deberian conviene ocurre pocas compara describe explica escribe",
     "it": "il lo la i gli le di e che non un una per con del della dei delle nel nella al alla si sono piu ma come da su questo questa sia perche anche dopo ancora resta se tra",
@@ -16,6 +16,9 @@ STOPWORDS = {
     "nl": "de het een en van is niet dat in op te voor met zijn aan er door om bij naar ook als maar worden wordt deze dit wij hebben heeft nog uit over tussen omdat wanneer zonder",
 }
 
+#: Letters and signs that of these languages only one has.
+LETTERS = {"de": "äöüßÄÖÜ", "fr": "çèêàùœîôÇÈÊÀ", "es": "ñ¿¡íóáúÑ"}
+
 #: Names of languages as prompts ask for them.
 LANGUAGE_NAMES = {
     "en": "english englisch englische anglais ingles inglese",
@@ -49,21 +52,63 @@ COURTESY = frozenset("please bitte veuillez favor merci gracias thank thanks dan
 FIRST_PERSON = frozenset("i my me ich mir mein meine je j mon mes moi me yo mi mis tengo puedo".split())
 NEGATION = frozenset("no not nothing none cannot t unable kein keine keinen nicht nichts ne n pas aucun aucune rien sin ningun ninguna nada".split())
 
+#: Phrases that decline to answer by themselves.
 REFUSALS = (
-    "i can t help", "i cannot help", "can not help with", "i can t assist", "i cannot assist", "unable to assist", "unable to help", "unable to fulfil", "unable to fulfill",
-    "i am unable to", "i m unable to", "not able to answer", "not able to help", "not able to assist", "not able to respond", "not able to discuss", "not able to provide",
-    "won t be able to", "will not be able to", "not in a position to", "i can t discuss", "i cannot discuss", "i can t answer", "i cannot answer", "can t provide that", "cannot provide that",
-    "i can t talk", "i cannot talk", "not a subject i can", "not a topic i can", "not something i can", "i have to decline", "i must decline", "have to refuse", "must refuse",
-    "respectfully refuse", "respectfully decline", "i decline", "i refuse", "guidelines prevent", "policies i work under", "against the policies", "against my policies", "against my guidelines",
-    "don t feel comfortable", "do not feel comfortable", "not comfortable answering", "i will pass on", "outside what i am allowed", "not allowed to", "beyond what i am permitted", "not permitted to",
-    "d prefer to stay away", "would prefer to stay away", "prefer not to", "d rather not", "would rather not", "no answer about", "no answer can be given", "question unanswered", "request unanswered",
-    "sorry no", "no opinion to offer", "no means of looking", "can t comply", "cannot comply", "can t do that", "cannot do that", "must leave this", "not going to answer", "can t respond", "cannot respond", "refrain from", "rather not go into", "can t say more", "no comment", "against my rules", "rules prevent",
-    "kann ich nicht helfen", "kann ich leider nicht", "kann dir nicht helfen", "kann ihnen nicht helfen", "nicht beantworten", "keine auskunft", "keine antwort geben", "antwort schuldig", "nicht daruber sprechen", "daruber nicht sprechen",
-    "muss ich leider ablehnen", "muss ich ablehnen", "ablehnen", "lassen eine antwort", "darf ich dazu", "darf ich nicht", "nicht erlaubt", "nicht gestattet", "nicht moglich zu antworten", "mochte ich mich nicht", "mochte ich nicht", "dazu nichts sagen", "nichts sagen", "unbeantwortet", "nicht dazu aussern", "mich nicht aussern", "verbieten mir", "untersagen mir",
-    "ne peux pas vous aider", "ne peux pas t aider", "ne peux pas repondre", "ne peux pas traiter", "ne peux pas en parler", "ne peux pas discuter", "ne peux pas fournir", "ne suis pas autorise", "ne suis pas en mesure", "sans reponse", "m est impossible", "impossible d en parler", "impossible de repondre", "je dois refuser", "je dois decliner", "je refuse", "je decline", "prefere ne pas", "me permettent pas", "ne permettent pas de repondre", "aucune reponse", "pas le droit", "pas traiter cette", "m interdisent", "m interdit", "m empechent", "ne souhaite pas", "pas aborder",
-    "no puedo ayudar", "no puedo responder", "no puedo tratar", "no puedo hablar", "no puedo contestar", "no puedo proporcionar", "no puedo discutir", "no puedo dar", "no tengo permitido", "no me esta permitido", "no estoy autorizado", "no estoy en condiciones", "es imposible hablar", "imposible responder", "debo rechazar", "tengo que rechazar", "debo declinar", "prefiero no", "sin respuesta", "no me permiten", "no permiten responder", "ninguna respuesta", "me niego", "me impiden", "me impide", "me prohiben", "no deseo", "no quiero hablar",
+    "respectfully refuse", "respectfully decline",
+    "i can t help", "i cannot help", "can not help with", "i can t assist", "i cannot assist",
+    "not able to provide",
+    "i can t discuss", "i cannot discuss", "i can t answer", "i cannot answer", "can t provide that", "cannot provide that",
+    "i can t talk", "i cannot talk", "not a subject i can", "not a topic i can", "not something i can", "i have to decline", "i must decline",
+    "guidelines prevent", "policies i work under", "against the policies", "against my policies", "against my guidelines",
+    "not comfortable answering", "i will pass on", "outside what i am allowed", "beyond what i am permitted",
+    "no answer about", "no answer can be given",
+    "sorry no", "no opinion to offer", "no means of looking", "not going to answer", "no comment", "against my rules", "rules prevent",
+    "kann ich nicht helfen", "kann ich leider nicht", "kann dir nicht helfen", "kann ihnen nicht helfen", "keine auskunft", "keine antwort geben",
+    "muss ich leider ablehnen", "muss ich ablehnen", "darf ich dazu", "nicht moglich zu antworten", "dazu nichts sagen", "nicht dazu aussern", "mich nicht aussern",
+    "ne peux pas vous aider", "ne peux pas t aider", "ne peux pas repondre", "ne peux pas traiter", "ne peux pas en parler", "ne peux pas discuter", "ne peux pas fournir", "impossible d en parler", "impossible de repondre", "je dois refuser", "je dois decliner", "ne permettent pas de repondre", "pas traiter cette",
+    "no puedo ayudar", "no puedo responder", "no puedo tratar", "no puedo hablar", "no puedo contestar", "no puedo proporcionar", "no puedo discutir", "no puedo dar", "es imposible hablar", "imposible responder", "no permiten responder", "no quiero hablar",
+)
+
+#: Phrases that decline only if it is the speaker who won't speak of the matter, or if they say it of what was asked.
+HALF_REFUSALS = (
+    "unable to assist", "unable to help", "unable to fulfil", "unable to fulfill", "i am unable to", "i m unable to", "not able to answer", "not able to help", "not able to assist", "not able to respond", "not able to discuss", "not able to provide",
+    "won t be able to", "will not be able to", "not in a position to", "have to refuse", "must refuse", "i decline", "i refuse", "don t feel comfortable", "do not feel comfortable", "not allowed to",
+    "not permitted to", "d prefer to stay away", "would prefer to stay away", "prefer not to", "d rather not", "would rather not", "question unanswered", "request unanswered", "can t comply", "cannot comply", "can t do that", "cannot do that",
+    "must leave this", "can t respond", "cannot respond", "refrain from", "rather not go into", "can t say more", "nicht beantworten", "antwort schuldig", "nicht daruber sprechen", "daruber nicht sprechen", "ablehnen", "lassen eine antwort",
+    "darf ich nicht", "nicht erlaubt", "nicht gestattet", "mochte ich mich nicht", "mochte ich nicht", "nichts sagen", "unbeantwortet", "verbieten mir", "untersagen mir", "sans reponse", "m est impossible", "je refuse",
+    "je decline", "prefere ne pas", "me permettent pas", "aucune reponse", "pas le droit", "m interdisent", "m interdit", "m empechent", "ne souhaite pas", "pas aborder", "ne suis pas autorise", "ne suis pas en mesure",
+    "no tengo permitido", "no me esta permitido", "no estoy autorizado", "no estoy en condiciones", "debo rechazar", "tengo que rechazar", "debo declinar", "prefiero no", "sin respuesta", "no me permiten", "ninguna respuesta", "me niego",
+    "me impiden", "me impide", "me prohiben", "no deseo",
 )
 
+#: Phrases that deny an ability or a wish, and with words of speaking and of the first person decline to answer.
+DENIALS = (
+    "can t", "cannot", "can not", "won t", "will not", "not able", "unable", "not allowed", "not permitted", "not comfortable", "must decline", "have to decline", "must refuse", "have to refuse", "prefer not", "rather not", "not going to", "not in a position", "must pass on",
+    "kann ich nicht", "kann ich dir nicht", "kann ich ihnen nicht", "kann ich leider nicht", "kann ich dir leider nicht", "ich kann nicht", "ich kann dir nicht", "ich kann ihnen nicht", "ich kann leider nicht", "bin nicht in der lage", "bin ich nicht in der lage", "bin nicht befugt", "mochte ich nicht", "mochte nicht", "will ich nicht", "darf ich nicht", "darf nicht", "kann ich keine", "ich kann keine", "darf ich keine",
+    "ne peux pas", "ne peux rien", "ne puis", "ne suis pas", "ne souhaite pas", "ne veux pas", "prefere ne pas", "dois refuser", "dois decliner", "ne saurais",
+    "no puedo", "no me es posible", "no tengo permiso", "no estoy", "debo rechazar", "debo declinar", "prefiero no", "me niego", "no deseo", "no quiero", "no voy a",
+)
+#: Words of the first person; Spanish verbs have it in them.
+SPEAKER = frozenset("i me my we our ich mir mich mein meine uns wir je j m me mes moi nous yo mi mis puedo tengo estoy debo prefiero deseo quiero niego voy".split())
+#: Words of speaking and of what is asked.
+SPEAKING = frozenset(
+    "answer answering answers help assist assisting discuss discussing talk talking say comment commenting respond responding provide share speak opinion advice information comply fulfil fulfill engage this "
+    "helfen weiterhelfen beantworten antworten antwort aussern auskunft sprechen sagen eingehen mitteilen stellung dazu daruber hierzu "
+    "repondre reponse aider parler discuter traiter aborder fournir commenter dire opinion cela ceci "
+    "responder respuesta ayudar ayudarte ayudarle hablar contestar opinar tratar discutir informacion comentar eso esto ello".split()
+)
+ASKED = frozenset("question request topic subject frage anfrage thema demande sujet pregunta solicitud tema asunto".split())
+
+#: How questions begin that a few words answer.
+FACTS = ("who", "when", "where", "which", "name", "list", "how many", "how much", "how old", "how long", "what year", "what time", "what is the name", "what is the capital", "print", "wer", "wann", "wo", "wie viele", "wie viel", "wie heisst", "nenne", "welche", "welcher", "welches", "qui", "quand", "combien", "quelle", "quel", "quels", "quelles", "nomme", "quien", "quienes", "cuando", "donde", "cuantos", "cuantas", "cual", "cuales", "nombra")
+#: Words after which a sentence goes on.
+LINKS = frozenset(
+    "the a an of and or to in on at by for with from that which who as than if because but when while how why is are was were be been has have had will would can could should must not into about "
+    "der die das ein eine einen einem einer und oder zu in im an am auf von vom mit fur bei aus nach dass wenn weil aber als wie ist sind war wird werden hat haben kann soll nicht "
+    "le la les un une des de du et ou a au aux en dans sur par pour avec que qui si car mais quand comme est sont etait a ont peut ne "
+    "el los las unos unas del y o al con por para sin que si pero cuando como es son era ha han puede no se su".split()
+)
+
 FILLERS = (
     "sorry", "i m sorry", "i am sorry", "apologies", "i apologise", "i apologize", "my apologies", "good question", "great question", "sure", "of course", "certainly", "in short", "thanks for asking", "thank you for asking", "thanks for your question", "i understand", "unfortunately", "regrettably", "to be frank",
     "is there anything else", "anything else i can", "can i help you with something else", "how else can i help", "let me know if", "please ask me something else", "feel free to ask", "happy to help with", "i hope you understand", "thanks for understanding", "thank you for understanding", "please ask", "try another", "perhaps another", "specialist", "an expert", "a professional", "something different", "something else", "another topic", "another question",

@@ -107,9 +107,12 @@ def _phrases():
     import ahocorasick
 
     a = ahocorasick.Automaton()
-    for kind, phrases in (("filler", W.FILLERS), ("refusal", W.REFUSALS)):
+    kinds: dict[str, set[str]] = {}
+    for kind, phrases in (("filler", W.FILLERS), ("refusal", W.REFUSALS), ("half", W.HALF_REFUSALS), ("denial", W.DENIALS)):
         for p in phrases:
-            a.add_word(f" {p} ", (kind, len(p.split())))
+            kinds.setdefault(p, set()).add(kind)
+    for p, held in kinds.items():
+        a.add_word(f" {p} ", frozenset(held))
     a.make_automaton()
     return a
 
@@ -133,6 +136,9 @@ def votes(text: str, seq: list[str]) -> dict[str, float]:
         for lang, pattern in _SCRIPTS:
             if n := len(pattern.findall(text)):
                 out[lang] = out.get(lang, 0) + n / 3
+        for lang, letters in W.LETTERS.items():
+            if n := sum(map(text.count, letters)):
+                out[lang] = out.get(lang, 0) + n / 4
     return out
 
 
@@ -164,14 +170,29 @@ def _statements(answer: str) -> Iterator[list[str]]:
             yield from map(words, _CLAUSE.split(sentence))
 
 
+def declines(seq: list[str], kinds: set[str]) -> bool:
+    """Whether a sentence with phrases of these kinds declines to answer.
+
+    Some phrases do by themselves. Others, and denials, do if the speaker says so of speaking or of what was asked; that
+    somebody may not do something, or that a letter stays without an answer, is matter like any other.
+    """
+    if "refusal" in kinds:
+        return True
+    if not kinds & {"half", "denial"}:
+        return False
+    have = set(seq)
+    spoken = have & W.SPEAKING or have & W.ASKED
+    return bool(spoken and have & W.SPEAKER) or "half" in kinds and bool(have & W.ASKED)
+
+
 def is_refusal(answer: str) -> bool:
     """Every sentence declines, apologises or offers other help, and one at least declines; other bits are fewer words than that."""
     refused = bits = 0
     for seq in _statements(answer):
         if not seq:
             continue
-        kinds = {k for _, (k, _) in _phrases().iter(f" {' '.join(seq)} ")}
-        if "refusal" in kinds:
+        kinds = {k for _, held in _phrases().iter(f" {' '.join(seq)} ") for k in held}
+        if declines(seq, kinds):
             refused += len(seq)
         elif not _says_nothing(seq, "filler" in kinds):
             if len(seq) > 4:
@@ -215,7 +236,7 @@ def is_other_language(prompt_text: str, prompt: list[str], answer: str) -> bool:
     if lang not in W.STOPWORDS and (home is None or home in W.STOPWORDS):
         # another script than the prompt's: few letters of it are names or signs
         return bool(prompt) and got[lang] >= 1.6 * got.get(home, 0) + 0.5
-    if home is None or own[home] < own.get(lang, 0) + 0.3:
+    if home is None or own[home] < own.get(lang, 0) + 0.4:
         return False
     return got[lang] >= 1.6 * got.get(home, 0) + 0.5
 
@@ -235,8 +256,17 @@ def _left_open(text: str) -> bool:
     return bool(stack)
 
 
-def is_truncated(answer: str) -> bool:
-    """An open code fence, code or JSON with a bracket left open, or prose whose last line stops without an end mark."""
+def asks_fact(prompt: list[str]) -> bool:
+    """Whether a question begins as those do that a few words answer."""
+    head = " ".join(prompt[:5]) + " "
+    return any(head.startswith(f"{f} ") for f in W.FACTS)
+
+
+def is_truncated(answer: str, prompt: list[str] | None = None) -> bool:
+    """An open code fence, code or JSON with a bracket left open, or prose whose last line stops without an end mark.
+
+    A single phrase without a mark is whole if the prompt asks for a fact and the phrase doesn't end with a word after which a sentence goes on.
+    """
     if answer.count("```") % 2:
         return True
     text = _SIGNATURE.sub("", _INVISIBLE.sub("", answer).rstrip()).rstrip()
@@ -259,6 +289,11 @@ def is_truncated(answer: str) -> bool:
     if text[-1] in ")]}”»" and not stack:
         return False
     n = len(line.split())
+    if not stack and _CODE_LINE.search(line) and text[-1] in ";}" and "\n" not in text:
+        return False
+    if prompt and "\n" not in text and n <= 12 and text[-1].isalnum() and not any(c in text for c in _END) and asks_fact(prompt):
+        last = words(line)[-1:]
+        return not last or last[0] in W.LINKS
     if _ITEM.match(line):
         others = [x.rstrip() for x in text.split("\n")[:-1] if _ITEM.match(x)]
         return bool(stack) or n > 8 or 2 * sum(x[-1] in _END for x in others) > len(others)
@@ -280,7 +315,7 @@ def defect(prompt: str | None, answer: str | None) -> str | None:
         return "copy"
     if is_other_language(prompt, asked, answer):
         return "language"
-    if is_truncated(answer):
+    if is_truncated(answer, asked):
         return "truncated"
     return None
 
