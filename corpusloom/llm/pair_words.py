@@ -81,23 +81,29 @@ HALF_REFUSALS = (
     "me impiden", "me impide", "me prohiben", "no deseo",
 )
 
-#: Phrases that deny an ability or a wish, and with words of speaking and of the first person decline to answer.
-DENIALS = (
-    "can t", "cannot", "can not", "won t", "will not", "not able", "unable", "not allowed", "not permitted", "not comfortable", "must decline", "have to decline", "must refuse", "have to refuse", "prefer not", "rather not", "not going to", "not in a position", "must pass on",
-    "kann ich nicht", "kann ich dir nicht", "kann ich ihnen nicht", "kann ich leider nicht", "kann ich dir leider nicht", "ich kann nicht", "ich kann dir nicht", "ich kann ihnen nicht", "ich kann leider nicht", "bin nicht in der lage", "bin ich nicht in der lage", "bin nicht befugt", "mochte ich nicht", "mochte nicht", "will ich nicht", "darf ich nicht", "darf nicht", "kann ich keine", "ich kann keine", "darf ich keine",
-    "ne peux pas", "ne peux rien", "ne puis", "ne suis pas", "ne souhaite pas", "ne veux pas", "prefere ne pas", "dois refuser", "dois decliner", "ne saurais",
-    "no puedo", "no me es posible", "no tengo permiso", "no estoy", "debo rechazar", "debo declinar", "prefiero no", "me niego", "no deseo", "no quiero", "no voy a",
-)
+#: Words of ability, leave and wish, which denied, and words of turning down, which as they are, decline to answer if the speaker says so of speaking.
+ABLE = frozenset(
+    "can cannot able could possible appropriate choose allowed permitted permission comfortable position will would going want wish prefer rather "
+    "kann konnte konnen darf durfen moglich mochte will lage befugt berechtigt ziehe spreche sage antworte "
+    "peux puis pouvons possible autorisation droit veux souhaite autorise mesure saurais prefere permettent permet "
+    "puedo podemos posible autorizacion corresponde permiso permitido autorizado condiciones voy quiero deseo puede permiten".split()
+)
+TURNED_DOWN = frozenset("pass unanswered abstain verzichte enthalte abstiens abstengo decline refuse outside beyond refrain ablehnen verweigern ausserhalb refuser refuse decliner decline depasse declinar rechazar niego excede impiden impide interdit interdisent empechent verbieten untersagen prevent prevents prefiero".split())
+DENYING = frozenset("not t cannot no never nichts nicht kein keine keinen keinerlei ne n pas rien aucun aucune sin ningun ninguna nada".split())
 #: Words of the first person; Spanish verbs have it in them.
-SPEAKER = frozenset("i me my we our ich mir mich mein meine uns wir je j m me mes moi nous yo mi mis puedo tengo estoy debo prefiero deseo quiero niego voy".split())
+SPEAKER = frozenset("i me my we our ich mir mich mein meine uns wir je j m me mes moi nous yo mi mis puedo podemos tengo estoy debo prefiero preferiria deseo quiero niego voy".split())
+#: Those of them that can be the subject.
+SUBJECT = SPEAKER - frozenset("me my our mir mich mein meine uns m mes moi mi mis".split())
 #: Words of speaking and of what is asked.
 SPEAKING = frozenset(
-    "answer answering answers help assist assisting discuss discussing talk talking say comment commenting respond responding provide share speak opinion advice information comply fulfil fulfill engage this "
-    "helfen weiterhelfen beantworten antworten antwort aussern auskunft sprechen sagen eingehen mitteilen stellung dazu daruber hierzu "
-    "repondre reponse aider parler discuter traiter aborder fournir commenter dire opinion cela ceci "
-    "responder respuesta ayudar ayudarte ayudarle hablar contestar opinar tratar discutir informacion comentar eso esto ello".split()
+    "speaking sharing giving offer answer answering answers help assist assisting discuss discussing talk talking say comment commenting respond responding provide share speak opinion advice information comply fulfil fulfill engage "
+    "helfen weiterhelfen hilfe spreche sage antworte beantworten antworten antwort aussern auskunft sprechen sagen eingehen mitteilen kommentieren stellung "
+    "repondre reponse aider parler discuter traiter aborder fournir commenter dire opinion "
+    "responder respuesta ayuda ofrecer decir responderte responderle ayudar ayudarte ayudarle hablar contestar opinar tratar discutir informacion comentar".split()
 )
-ASKED = frozenset("question request topic subject frage anfrage thema demande sujet pregunta solicitud tema asunto".split())
+#: Words that point to what was asked.
+POINTING = frozenset("this that it dazu daruber hierzu hierauf daran darauf das cela ceci y en eso esto ello".split())
+ASKED = frozenset("question request topic subject matter frage anfrage bitte thema demande sujet pregunta peticion solicitud tema asunto".split())
 
 #: How questions begin that a few words answer.
 FACTS = ("who", "when", "where", "which", "name", "list", "how many", "how much", "how old", "how long", "what year", "what time", "what is the name", "what is the capital", "print", "wer", "wann", "wo", "wie viele", "wie viel", "wie heisst", "nenne", "welche", "welcher", "welches", "qui", "quand", "combien", "quelle", "quel", "quels", "quelles", "nomme", "quien", "quienes", "cuando", "donde", "cuantos", "cuantas", "cual", "cuales", "nombra")

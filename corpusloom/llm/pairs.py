@@ -30,6 +30,9 @@ _INVISIBLE = re.compile("[­​-‏⁠﻿]")
 _THOUGHT = re.compile(r"<think(?:ing)?>.*?(?:</think(?:ing)?>|$)", re.S | re.I)
 _TAG = re.compile(r"</?[a-zA-Z][^<>]*>")
 _FENCE = re.compile(r"```.*?(?:```|$)", re.S)
+# Accents over Latin, Greek and Cyrillic letters; scripts with marks of their own.
+_MARKS = re.compile("[\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff\ufe20-\ufe2f]")
+_FAR = re.compile("[\u0483-\u0487\u0591-\u1aaf\u1b00-\u1cff\u2cef-\u2cf1\u2d7f\u302a-\u309a\ua66f-\uabff\ufb1e\U00010000-\U0010ffff]")
 _WORD = re.compile(r"[^\W_]+")
 _HEAD = re.compile(r"[:\n]|[.!]\s")
 _SENTENCE = re.compile(r"(?<=[.!?…。！？])[\s\"”»)]+|\n+")
@@ -48,7 +51,9 @@ _OPEN = set(_PAIRS.values())
 def words(text: str) -> list[str]:
     """The words of a text: no accents, lower case, letters and digits."""
     if not text.isascii():
-        text = "".join(c for c in unicodedata.normalize("NFKD", _INVISIBLE.sub("", text)) if not unicodedata.combining(c))
+        text = _MARKS.sub("", unicodedata.normalize("NFKD", _INVISIBLE.sub("", text)))
+        if _FAR.search(text):
+            text = "".join(c for c in text if not unicodedata.combining(c))
     return _WORD.findall(text.casefold())
 
 
@@ -108,7 +113,7 @@ def _phrases():
 
     a = ahocorasick.Automaton()
     kinds: dict[str, set[str]] = {}
-    for kind, phrases in (("filler", W.FILLERS), ("refusal", W.REFUSALS), ("half", W.HALF_REFUSALS), ("denial", W.DENIALS)):
+    for kind, phrases in (("filler", W.FILLERS), ("refusal", W.REFUSALS), ("half", W.HALF_REFUSALS)):
         for p in phrases:
             kinds.setdefault(p, set()).add(kind)
     for p, held in kinds.items():
@@ -173,16 +178,21 @@ def _statements(answer: str) -> Iterator[list[str]]:
 def declines(seq: list[str], kinds: set[str]) -> bool:
     """Whether a sentence with phrases of these kinds declines to answer.
 
-    Some phrases do by themselves. Others, and denials, do if the speaker says so of speaking or of what was asked; that
-    somebody may not do something, or that a letter stays without an answer, is matter like any other.
+    Some phrases do by themselves. Others do if the speaker says so of speaking, or if it is said of what was asked; and so does a
+    speaker who denies to be able, allowed or willing to speak, or turns it down. That somebody else may not do something, or that a
+    letter stays without an answer, is matter like any other.
     """
     if "refusal" in kinds:
         return True
-    if not kinds & {"half", "denial"}:
-        return False
     have = set(seq)
-    spoken = have & W.SPEAKING or have & W.ASKED
-    return bool(spoken and have & W.SPEAKER) or "half" in kinds and bool(have & W.ASKED)
+    asked = bool(have & W.ASKED)
+    if not have & W.SPEAKER:
+        return "half" in kinds and asked
+    own = asked or bool(have & W.SPEAKING)
+    pointed = own or bool(have & W.POINTING)
+    if "half" in kinds and pointed or pointed and have & W.TURNED_DOWN:
+        return True
+    return bool(own and have & W.DENYING and have & (W.SUBJECT | W.ABLE))
 
 
 def is_refusal(answer: str) -> bool:
@@ -213,6 +223,9 @@ def is_copy(prompt: list[str], answer: list[str], head: list[str] | None = None)
         return True
     if head and set(W.REPEAT) & set(head) and not set(head) <= set(answer[: 2 * len(head)]) and len(set(head) - set(answer)) > len(set(head)) / 2:
         return False
+    # words that both sides have bound what runs can cover, so most pairs need no automaton
+    if sum(map(set(prompt).__contains__, answer)) < (COPIED - 0.15) * len(answer) or sum(map(set(answer).__contains__, prompt)) < TAKEN * len(prompt):
+        return False
     least = min(RUN - (min(len(prompt), len(answer)) < 12), len(prompt), len(answer))
     own = SuffixAutomaton(prompt).covered(answer, least)
     return (own >= COPIED or own >= COPIED - 0.15 and (1 - own) * len(answer) < FRAME + 0.5) and SuffixAutomaton(answer).covered(prompt, least) >= TAKEN

@@ -77,3 +77,15 @@ SOUND = (
 
 # Answers in which nothing is said.
 EMPTY = ("", " ", "\n\n", "...", "-", "N/A", "n/a", "null", "None", "<think>I wonder.</think>", "[]", "{}", "—", "<br>", "​", "TODO", "?", "*", "undefined", "<p></p>")
+
+# (prompt, answers that only decline, complete answers), written later and run once before the rules were widened by them.
+LATER = (
+    ('How do I repair a leaking tap in the kitchen?', ("I'm sorry, I can't discuss that.", "I'm not comfortable giving advice on this.", "That's outside of what I can talk about.", 'I must respectfully decline to answer.', "It isn't possible for me to respond to this question.", "I don't have permission to share this information. Sorry!"), ('Passengers are not permitted to talk to the driver while the bus is moving.', "You can't fix it without a new washer, so buy one first.", 'The landlord cannot refuse to pay for this.', 'I would not use force, because the thread can break.', "Don't answer the phone while the water is open.", 'Nobody was able to help until the plumber came.')),
+    ('Wie repariere ich einen tropfenden Hahn in der Küche?', ('Ich kann dazu leider nichts sagen.', 'Hierauf kann ich nicht antworten.', 'Es ist mir nicht möglich, diese Frage zu beantworten.', 'Ich ziehe es vor, dazu nicht Stellung zu nehmen.', 'Bedauere, darüber spreche ich nicht.', 'Diese Bitte muss ich ablehnen.'), ('Ohne neue Dichtung kann man den Hahn nicht reparieren.', 'Der Vermieter darf die Zahlung nicht verweigern.', 'Ich würde zuerst das Wasser abstellen.', 'Die Frage nach der Größe beantwortet das Datenblatt.', 'Man muss nicht viel sagen: Dichtung tauschen und fertig.', 'Kinder dürfen dabei nicht helfen.')),
+    ('Comment réparer un robinet qui fuit dans la cuisine ?', ('Je ne peux malheureusement pas répondre.', "Je n'ai pas le droit de parler de ce sujet.", "Il ne m'est pas possible de vous répondre.", 'Cette demande dépasse ce que je peux traiter, désolé.', 'Je ne veux pas discuter de cette question.', 'Pardon, mais je dois décliner votre demande.'), ('On ne peut pas réparer le joint, il faut le remplacer.', 'Le propriétaire ne peut pas refuser de payer.', "Je commence toujours par fermer l'eau.", 'Il est interdit de toucher au compteur.', 'La réponse est simple : changez le joint.', "Mon voisin ne voulait pas m'aider, alors j'ai appelé un plombier.")),
+    ('¿Cómo se repara un grifo que gotea en la cocina?', ('No me es posible responder a eso.', 'Tengo que declinar esta petición.', 'No puedo ofrecer ayuda con esta pregunta.', 'Prefiero no contestar.', 'Lo lamento, este tema no lo puedo tratar.', 'No voy a responder a esa pregunta.'), ('Sin una junta nueva no se puede reparar.', 'El dueño no puede negarse a pagar.', 'Yo cerraría primero el agua.', 'Está prohibido abrir el contador.', 'La respuesta es sencilla: cambia la junta.', 'Mi vecino no quiso ayudar y llamé a un fontanero.')),
+    ('What is a good way to store potatoes?', ("I'm going to have to pass on this one.", 'Regrettably I am unable to comment.', 'We do not provide information on this subject.', "I'd prefer to leave that unanswered.", 'Sorry, this falls outside what I may discuss.', 'I choose not to respond to this.'), ('You should not keep them in the fridge.', 'I keep mine in a paper bag in the cellar.', "They can't stand light, so cover them.", 'My neighbours refuse to wash them first.', 'I would never store them next to onions.', 'It is possible to keep them for months.')),
+    ('Wie lagert man Kartoffeln am besten?', ('Zu diesem Thema sage ich nichts.', 'Ich fürchte, ich darf das nicht beantworten.', 'Das kann ich nicht kommentieren, tut mir leid.', 'Von mir gibt es dazu keine Antwort.', 'Ich verzichte auf eine Antwort.', 'Leider bin ich nicht befugt, darüber Auskunft zu geben.'), ('Man darf sie nicht neben Äpfel legen.', 'Ich lege meine in eine Holzkiste im Keller.', 'Bei Licht werden sie grün, das will niemand.', 'Im Kühlschrank halten sie nicht besser.', 'Ich kann dir eine Kiste aus Holz empfehlen.', 'Gewaschene Kartoffeln darf man nicht einlagern.')),
+    ('Comment conserver les pommes de terre ?', ("Je m'abstiens de répondre.", "Désolé, je n'ai pas l'autorisation d'en parler.", 'Je ne saurais vous répondre sur ce point.', "Il m'est interdit de commenter cela.", 'Je ne donnerai pas de réponse.', 'Malheureusement je ne peux rien dire à ce sujet.'), ('Il ne faut pas les mettre au réfrigérateur.', 'Je les garde dans un sac en papier.', 'On ne peut pas les laisser à la lumière.', 'Ma grand-mère refusait de les laver.', 'Je ne les mets jamais à côté des pommes.', 'Elles peuvent tenir plusieurs mois.')),
+    ('¿Cómo se guardan las patatas?', ('Disculpa, no me corresponde responder.', 'Me abstengo de opinar.', 'No puedo hablar de esto, lo siento.', 'No tengo autorización para contestar.', 'Preferiría no comentar este asunto.', 'Mis reglas no permiten una respuesta.'), ('No se deben guardar en la nevera.', 'Yo las guardo en una caja de madera.', 'No pueden recibir luz.', 'Mi abuela no quería lavarlas antes.', 'Nunca las pongo al lado de las cebollas.', 'Puedo recomendarte una caja en el sótano.')),
+)

@@ -45,3 +45,13 @@ def test_sound_and_defective_pairs_apart_from_the_tables():
     for kind, (recall, precision) in by_type.items():
         assert recall >= 0.9, (kind, recall)
         assert precision >= 0.9, (kind, precision)
+
+
+def test_answers_written_after_the_rules():
+    """Two sets that were first run when the rules stood: refusals found 13 and 9 of 24 then, sound answers kept 24 of 24 each; the rules were widened since."""
+    from tests.llm.pairs_holdout import LATER
+
+    found = [defect(prompt, a) == "refusal" for prompt, declined, _ in LATER for a in declined]
+    kept = [defect(prompt, a) is None for prompt, _, sound in LATER for a in sound]
+    assert sum(found) >= 0.9 * len(found)
+    assert sum(kept) >= 0.9 * len(kept)
