@@ -10,6 +10,7 @@ hash buckets first, then within a bucket, so no task orders a whole source.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -22,8 +23,8 @@ from corpusloom.session import checkpointed
 
 #: Patterns that the flow distinguishes; texts of rarer ones are laid out document by document, each with its own source's.
 PATTERNS = 5000
-#: Hash buckets of a pattern.
-BUCKETS = 4096
+#: Texts of a hash bucket of a pattern, about; buckets double until the largest pattern's hold no more. There are 4,096 at least.
+TEXTS_PER_BUCKET = 50_000
 _PATTERN = "array<struct<source:string,n:bigint>>"
 #: Uses of a pattern that have a price of their own; further ones cost alike.
 PRICED = 24
@@ -141,14 +142,15 @@ def mixed(documents: DataFrame, targets: DataFrame, seed: int = 1, vocabulary: s
     spark = documents.sparkSession
     held = held_by(rows, sorted(wanted))
     texts = texts_of(held, copies).withColumn("pattern", F.col("members"))
-    tops = texts.groupBy("pattern").agg(F.sum("n_tokens").alias("n")).orderBy(F.desc("n"), "pattern").limit(PATTERNS + 1).collect()
+    tops = texts.groupBy("pattern").agg(F.sum("n_tokens").alias("n"), F.count("*").alias("texts")).orderBy(F.desc("n"), "pattern").limit(PATTERNS + 1).collect()
     folded = len(tops) > PATTERNS
     if folded:
         kept = F.broadcast(spark.createDataFrame([(list(r["pattern"]),) for r in tops[:PATTERNS]], f"kept {_PATTERN}"))
         rare = F.flatten(F.transform("members", lambda m: F.array_repeat(F.array(F.struct(m["source"].alias("source"), F.lit(1).cast("bigint").alias("n"))), m["n"].cast("int"))))
         texts = texts.join(kept, F.col("pattern") == F.col("kept"), "left").withColumn("pattern", F.explode(F.when(F.col("kept").isNull(), rare).otherwise(F.array("pattern")))).drop("kept")
-        tops = texts.groupBy("pattern").agg(F.sum("n_tokens").alias("n")).collect()
-    texts = texts.withColumn("order", F.xxhash64("key", F.lit(seed))).withColumn("bucket", F.shiftrightunsigned("order", 52).cast("int"))
+        tops = texts.groupBy("pattern").agg(F.sum("n_tokens").alias("n"), F.count("*").alias("texts")).collect()
+    bits = max(12, math.ceil(math.log2(max([r["texts"] for r in tops], default=1) / TEXTS_PER_BUCKET + 1)))
+    texts = texts.withColumn("order", F.xxhash64("key", F.lit(seed))).withColumn("bucket", F.shiftrightunsigned("order", 64 - bits).cast("int"))
     sizes = {tuple((m["source"], m["n"]) for m in r["pattern"]): int(r["n"]) for r in tops}
     p = plan(sizes, wanted, total)
     routes = spark.createDataFrame([(list(k), sizes[k], [(s, a, b) for s, a, b in v]) for k, v in p.routes.items()], f"pattern {_PATTERN}, size bigint, parts array<struct<source:string,first:bigint,last:bigint>>")

@@ -69,3 +69,28 @@ def test_training_reads_a_bounded_sample(spark):
     d = spark.range(3000).selectExpr("id AS doc_id", "'We found that the text of the page is kept as it was, because the copy is the same.' AS text")
     model = quality.train(d, rows=500)
     assert quality.document_quality(d, model).where("kind <> 'prose'").count() == 0
+
+
+def test_texts_that_neither_rules_nor_trees_have_seen(spark):
+    import os
+
+    import numpy as np
+    import pyarrow as pa
+
+    from corpusloom.llm import quality
+    from corpusloom.llm.quality_features import features
+    from corpusloom.llm.quality_labels import KINDS
+    from tests.llm.quality_unseen import UNSEEN
+
+    root = "/root/testdata/sf0.01/documents.parquet"
+    if not os.path.exists(root):
+        pytest.skip("no test tables")
+    assert len(UNSEEN) >= 200
+    truth = np.array([KINDS.index(k) for k, _ in UNSEEN])
+    p = quality.train(spark.read.parquet(root)).probabilities(features(pa.array([t for _, t in UNSEEN]))[:, quality._SEEN])
+    right = p.argmax(1) == truth
+    assert right.mean() >= 0.85
+    assert min(right[truth == k].mean() for k in range(len(KINDS))) >= 0.6
+    # what is said with confidence is right about as often as said
+    sure = p.max(1) >= 0.95
+    assert abs(p.max(1)[sure].mean() - right[sure].mean()) < 0.05
