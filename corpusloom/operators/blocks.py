@@ -22,8 +22,9 @@ def _blocks(sizes: Column, target: Column, fewest: int, left: int, short: Column
     def goal(first: Column) -> Column:
         if short is None:
             return target
-        draw = F.pmod(F.xxhash64(doc, first, F.lit(seed)), F.lit(1_000_003))
-        return F.when(draw < short * 1_000_003, 2 + F.pmod(F.xxhash64(first, doc, F.lit(seed)), target - 1)).otherwise(target).cast("int")
+        # draws by MD5, which any engine can compute
+        drawn = lambda what: F.conv(F.substring(F.md5(F.concat_ws("-", F.lit(str(seed)), F.lit(what), doc.cast("string"), first.cast("string"))), 1, 12), 16, 10).cast("bigint")
+        return F.when(drawn("short") % 1_000_000 < short * 1_000_000, 2 + drawn("size") % (target - 1)).otherwise(target).cast("int")
 
     start = F.struct(F.lit(0).alias("first"), F.lit(0).alias("length"), none.alias("out"))
 

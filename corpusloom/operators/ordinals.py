@@ -318,6 +318,13 @@ def collated(df: DataFrame, batch: str, ids: str, labels: str, multiple: int, pa
     return d.withColumns(made).drop("_x", "_y", "_n")
 
 
+def rank_domains(world: int, tensor: int, pipeline: int) -> list[list[int]]:
+    """Ranks that read the same part of the data, of a machine of ``world`` ranks: one list for each position in the stages' data parallel groups."""
+    stage = world // pipeline
+    groups = [list(range(i * stage + j, (i + 1) * stage, tensor)) for i in range(pipeline) for j in range(tensor)]
+    return [list(ranks) for ranks in zip(*groups, strict=True)] if groups else []
+
+
 def rank_of(position: Column, ranks: int) -> Column:
     """Rank of a position dealt out in turn."""
     return position % ranks

@@ -141,6 +141,12 @@ def loader_cyclic(spark: SparkSession, root: str) -> DataFrame:
     return ordinals.loader_order(_ids(spark, root), "doc_id", "cyclic", 2, 4, consumed=16, seed=9)
 
 
+def rank_domains(spark: SparkSession, root: str) -> DataFrame:
+    """BAT-05: which ranks read the same part, for a few machines."""
+    rows = [(w, t, p, k, r) for w, t, p in ((8, 2, 2), (16, 4, 1), (16, 2, 4)) for k, ranks in enumerate(ordinals.rank_domains(w, t, p)) for r in ranks]
+    return spark.createDataFrame(rows, "world int, tensor int, pipeline int, part int, rank int")
+
+
 def ranks_in_turn(spark: SparkSession, root: str) -> DataFrame:
     """BAT-02."""
     return ordinals.with_prefix(_ids(spark, root), ["doc_id"]).select("doc_id", ordinals.rank_of(F.col("ord"), 6).alias("rank"))
@@ -279,7 +285,7 @@ def texts_decoded(spark: SparkSession, root: str) -> DataFrame:
     return wide_table(spark, root, "documents").select("doc_id", "text").mapInArrow(run, "doc_id bigint, text string")
 
 
-QUERIES = {f.__name__: f for f in (arr_positions, arr_spans, arr_runs, arr_shifted, arr_filled, arr_masked, arr_ends, arr_load, arr_packed_positions, arr_regenerated, arr_attends, arr_context, arr_cut_pairs, arr_plain_cut, pack_totals, collated_batches, loader_single, loader_cyclic, ranks_in_turn, sample_provenance, epochs_planned, validation_split, stream_split, stream_resumed, sub_ranges, padded_parts, split_intersection, resampled_rows, bucketed_epoch, permutations, permutations_reshuffled, blend_drawn, blend_first_exhausted, blend_languages, blend_by_weight, vocabulary_sizes, texts_decoded)}
+QUERIES = {f.__name__: f for f in (arr_positions, arr_spans, arr_runs, arr_shifted, arr_filled, arr_masked, arr_ends, arr_load, arr_packed_positions, arr_regenerated, arr_attends, arr_context, arr_cut_pairs, arr_plain_cut, pack_totals, collated_batches, loader_single, loader_cyclic, rank_domains, ranks_in_turn, sample_provenance, epochs_planned, validation_split, stream_split, stream_resumed, sub_ranges, padded_parts, split_intersection, resampled_rows, bucketed_epoch, permutations, permutations_reshuffled, blend_drawn, blend_first_exhausted, blend_languages, blend_by_weight, vocabulary_sizes, texts_decoded)}
 
 _T = "WITH t AS (SELECT sample_id, COALESCE(input_ids, []) AS x, COALESCE(labels, []) AS y FROM sft_tokens)"
 #: One row a token, with the number of end tokens before it and its position behind the last one.
@@ -333,6 +339,7 @@ SQL = {
         {sql_listed("list_concat(list_transform(x, lambda v: 1), list_transform(range(0, n - len(x)), lambda i: 0))")} AS mask FROM m""",
     "loader_single": "SELECT doc_id, pos, CAST((pos % 32) // 4 AS INT) AS rank FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS pos FROM documents) WHERE pos >= 100",
     "loader_cyclic": f"{_BUCKETS} SELECT doc_id, pos, rank FROM q WHERE pos >= 4",
+    "rank_domains": "SELECT CAST(w AS INT) AS world, CAST(t AS INT) AS tensor, CAST(p AS INT) AS pipeline, CAST((r % (w // p)) // t AS INT) AS part, CAST(r AS INT) AS rank FROM (SELECT w, t, p, unnest(range(0, w)) AS r FROM (VALUES (8, 2, 2), (16, 4, 1), (16, 2, 4)) v(w, t, p))",
     "ranks_in_turn": "SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) % 6 AS rank FROM documents",
     "sample_provenance": """WITH d AS (SELECT doc_id, strlen(text) AS n FROM documents WHERE strlen(text) > 0), s AS (SELECT doc_id, n, SUM(n) OVER (ORDER BY doc_id) - n AS start FROM d), t AS (SELECT (SUM(n) - 1) // 65536 AS c FROM d), g AS (SELECT unnest(range(0, CAST(c AS BIGINT))) AS sample FROM t),
         j AS (SELECT sample, list(doc_id ORDER BY doc_id) AS l FROM g JOIN s ON s.start < sample * 65536 + 65537 AND s.start + s.n > sample * 65536 GROUP BY sample)

@@ -112,7 +112,16 @@ def source_subjects(spark: SparkSession, root: str) -> DataFrame:
     return table(spark, root, "jobs").select("job_id", text.subject_of_file(F.col("destination")).alias("subject"))
 
 
-QUERIES = {f.__name__: f for f in (key_normalize, key_counts, cmp_key_counts, cmp_summary, set_shared, set_only_first, set_matched, text_normalize, line_counts, record_statistics, record_classes, paper_texts, text_filter_statistics, gunzip_layers, gunzip_collisions, gunzip_status, code_fences, thoughts_removed, source_subjects)}
+def sorted_sources(spark: SparkSession, root: str) -> DataFrame:
+    """SRT-01: sources with their rank by falling size, of equal ones by name, dealt out to eight workers in turn."""
+    from corpusloom.operators import ordinals
+
+    sizes = table(spark, root, "job_lines").groupBy("source").agg(F.sum(F.octet_length(F.coalesce("line", F.lit("")))).alias("n"))
+    placed = ordinals.with_prefix(sizes.withColumn("_s", -F.col("n")), ["_s", "source"], name="rank")
+    return placed.select("source", "n", "rank", ordinals.rank_of(F.col("rank"), 8).alias("worker"))
+
+
+QUERIES = {f.__name__: f for f in (sorted_sources, key_normalize, key_counts, cmp_key_counts, cmp_summary, set_shared, set_only_first, set_matched, text_normalize, line_counts, record_statistics, record_classes, paper_texts, text_filter_statistics, gunzip_layers, gunzip_collisions, gunzip_status, code_fences, thoughts_removed, source_subjects)}
 
 _SIDES = f"WITH a AS (SELECT {_DOI} AS doi FROM doi_counts WHERE shard LIKE 'core%'), b AS (SELECT {_DOI} AS doi FROM doi_counts WHERE shard LIKE 's2orc%')"
 _MERGED = f"""{_SIDES}, m AS (SELECT doi, SUM(x) AS count_a, SUM(y) AS count_b FROM (SELECT doi, 1 AS x, 0 AS y FROM a UNION ALL SELECT doi, 0, 1 FROM b) WHERE doi IS NOT NULL GROUP BY doi)"""
@@ -125,6 +134,7 @@ SQL = {
     "record_statistics": f"""{_FIELDS} SELECT corpus, COUNT(*) AS lines, COUNT(*) FILTER (kind = 'empty') AS empty, COUNT(*) FILTER (kind = 'malformed') AS malformed, COUNT(*) FILTER (kind = 'other') AS not_object, COUNT(*) FILTER (kind = 'object') AS valid,
         COUNT(*) FILTER (kind = 'object' AND doi IS NOT NULL) AS with_doi, COUNT(*) FILTER (kind = 'object' AND has_body) AS with_body, COUNT(*) FILTER (kind = 'object' AND doi IS NOT NULL AND has_body) AS with_both, COUNT(*) FILTER (kind = 'object' AND doi IS NULL AND NOT has_body) AS with_neither, COUNT(DISTINCT doi) AS distinct_dois FROM l GROUP BY corpus""",
     "text_filter_statistics": f"""{_TEXTS} SELECT CASE WHEN GROUPING(source) = 1 THEN 'TOTAL' ELSE source END AS source, COUNT(*) AS lines, COUNT(*) FILTER (outcome = 'kept') AS kept, COUNT(*) FILTER (outcome IN ('empty', 'short')) AS empty_or_short, COUNT(*) FILTER (outcome = 'malformed') AS malformed, COUNT(*) FILTER (outcome = 'missing') AS missing FROM l GROUP BY ROLLUP (source)""",
+    "sorted_sources": "SELECT source, n, rank, rank % 8 AS worker FROM (SELECT source, n, row_number() OVER (ORDER BY n DESC, source) - 1 AS rank FROM (SELECT source, CAST(SUM(strlen(COALESCE(line, ''))) AS BIGINT) AS n FROM job_lines GROUP BY source))",
     "key_normalize": f"SELECT row_id, {_DOI} AS key FROM doi_counts",
     "key_counts": f"SELECT key, COUNT(*) AS n FROM (SELECT {_DOI} AS key FROM doi_counts) WHERE key IS NOT NULL GROUP BY key",
     "cmp_key_counts": f"{_MERGED} SELECT doi, CAST(count_a AS BIGINT) AS count_a, CAST(count_b AS BIGINT) AS count_b FROM m",

@@ -97,7 +97,27 @@ def _blend(weights: list[float], limits: list[int] | None, size: int) -> str:
         SELECT CAST(i - 1 AS BIGINT) AS pos, CAST(pick - 1 AS SMALLINT) AS dataset_id, CAST(sample AS BIGINT) AS sample_id FROM r WHERE i > 0"""
 
 
+def _sizes(extra: str) -> str:
+    """Sentence sizes of every document, as the blocks' queries split them."""
+    marked = r"regexp_replace(text, '([.!?])[ \t\n\x0b\f\r]+', '\1' || chr(1), 'g')"
+    return f"SELECT doc_id, list_transform(list_filter(string_split({marked}, chr(1)), lambda x: x <> ''), lambda x: strlen(x)) AS z{extra} FROM documents WHERE text IS NOT NULL"
+
+
+def _folded(sizes: str, goal: str) -> str:
+    """One step a sentence: a block ends when it is long enough and two sentences remain, or with the document; ``b`` is where it began."""
+    return f"""WITH RECURSIVE s AS (SELECT * FROM ({sizes}) WHERE len(z) >= 2 AND list_max(z) <= 512),
+        r AS (SELECT doc_id, 0 AS i, 0 AS first, 0 AS length, 0 AS b, FALSE AS done FROM s
+        UNION ALL SELECT doc_id, i + 1, CASE WHEN e THEN i + 1 ELSE first END, CASE WHEN e THEN 0 ELSE n END, first, e FROM (
+            SELECT r.doc_id, i, first, length + z[i + 1] AS n, (length + z[i + 1] >= {goal} AND len(z) - i - 1 >= 2 AND i + 1 - first >= 2) OR i + 1 = len(z) AS e FROM r JOIN s USING (doc_id) WHERE i < len(z)))"""
+
+
+_DRAWN = lambda what: f"CAST(('0x' || substr(md5(concat_ws('-', '1', '{what}', doc_id, first)), 1, 12)) AS BIGINT)"
+_TITLE = ", length(COALESCE(doi, '')) AS t"
+_GOAL = f"(CASE WHEN {_DRAWN('short')} % 1000000 < 100000 THEN 2 + {_DRAWN('size')} % 255 ELSE 256 END)"
+
 SQL = {
+    "sentence_blocks": f"{_folded(_sizes(''), _GOAL.replace('doc_id', 'r.doc_id'))} SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY b) - 1 AS INT) AS block, CAST(b AS INT) AS first, CAST(i AS INT) AS last, CAST({_GOAL.replace('first', 'b')} AS INT) AS target FROM r WHERE done",
+    "titled_blocks": f"{_folded(_sizes(_TITLE), '(512 - t)')} SELECT doc_id, CAST(b AS INT) AS first, CAST(i AS INT) AS last, row_number() OVER (ORDER BY doc_id, b) - 1 AS block_id FROM r WHERE done",
     "sequence_pointers": "SELECT doc_id, CAST(COALESCE(SUM(strlen(text)) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) * 4 AS BIGINT) AS pointer FROM documents",
     "split_ordinals": "SELECT doc_id, o AS ord, CASE WHEN o < round_even(0.9 * n, 0) THEN 'train' WHEN o < round_even((0.9 + 0.07) * n, 0) THEN 'valid' ELSE 'test' END AS split FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS o, COUNT(*) OVER () AS n FROM documents)",
     "sample_index": f"""{_STREAM}, g AS (SELECT unnest(generate_series(0, CAST((total - 1) // {LENGTH} AS BIGINT))) AS sample FROM t)

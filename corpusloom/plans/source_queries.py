@@ -162,6 +162,13 @@ def src_json_lines(spark: SparkSession, root: str) -> DataFrame:
     return files.read_json_lines(spark, f"{at}/data", "item_id bigint, question string, answer string", "*dev*")
 
 
+def src_cloud_json(spark: SparkSession, root: str) -> DataFrame:
+    """SRC-08: JSON lines through Hadoop's file systems, here the shared folder's."""
+    at = _scratch(spark)
+    table(spark, root, "eval_items").select("item_id", "question").repartition(2).write.option("ignoreNullFields", "false").json(f"{at}/bucket")
+    return files.read_cloud_json(spark, f"file://{at}/bucket").select("item_id", "question")
+
+
 def src_examples(spark: SparkSession, root: str) -> DataFrame:
     """SRC-22: examples nested in JSON files."""
     at = _scratch(spark)
@@ -331,7 +338,7 @@ def conv_registered(spark: SparkSession, root: str) -> DataFrame:
     return conversations.aligned(rows, "asked_said").select("item_id", F.get("prompt", F.lit(0))["content"].alias("asked"), F.get("response", F.lit(0))["content"].alias("said"))
 
 
-QUERIES = {f.__name__: f for f in (src_majority, src_formats, src_registry, src_sniffed, src_line_counts, src_gunzip, src_exams, src_json_lines, src_examples, src_store, src_packed_store, src_cached, src_mock, src_logs, snk_texts, snk_tables, snk_keys, snk_preprocessed, stm_files, stm_sessions, record_fields, record_texts, tpl_markup, tpl_inferred, conv_registered)}
+QUERIES = {f.__name__: f for f in (src_majority, src_formats, src_registry, src_sniffed, src_line_counts, src_gunzip, src_exams, src_json_lines, src_cloud_json, src_examples, src_store, src_packed_store, src_cached, src_mock, src_logs, snk_texts, snk_tables, snk_keys, snk_preprocessed, stm_files, stm_sessions, record_fields, record_texts, tpl_markup, tpl_inferred, conv_registered)}
 
 _SPACES = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
 _STRIP = lambda x: f"regexp_replace({x}, '^{_SPACES}+|{_SPACES}+$', '', 'g')"
@@ -355,6 +362,7 @@ SQL = {
     "src_gunzip": "SELECT doc_id, 1 AS round, CASE WHEN doc_id % 3 = 2 THEN 'failed' ELSE 'written' END AS status, CASE WHEN doc_id % 3 <> 2 THEN CAST(strlen(COALESCE(text, '')) AS BIGINT) END AS size_bytes FROM documents UNION ALL SELECT doc_id, 2, CASE WHEN doc_id % 3 = 2 THEN 'failed' ELSE 'skipped' END, NULL FROM documents",
     "src_exams": "SELECT question, a AS A, b AS B, c AS C, d AS D, answer FROM eval_items",
     "src_json_lines": "SELECT item_id, question, answer FROM eval_items UNION ALL SELECT -2, 'q', NULL",
+    "src_cloud_json": "SELECT item_id, question FROM eval_items",
     "src_examples": "SELECT COALESCE(question, '') AS input, COALESCE(answer, '') AS target, COUNT(*) AS n FROM eval_items GROUP BY 1, 2",
     "src_store": f"WITH t AS (SELECT sample_id, sample_id // 3 AS d, COALESCE(input_ids, []) AS x FROM sft_tokens) SELECT row_number() OVER (ORDER BY d % 2, sample_id) - 1 AS seq_id, dense_rank() OVER (ORDER BY d % 2, d) - 1 AS doc_id, {sql_listed('x')} AS tokens FROM t",
     "src_packed_store": f"SELECT row_number() OVER (ORDER BY sample_id) - 1 AS seq_id, {sql_listed('COALESCE(input_ids, [])')} AS input_ids, {sql_listed('COALESCE(labels, [])')} AS labels FROM sft_tokens",

@@ -183,6 +183,17 @@ SQL = {
     "token_cut_lengths": """WITH s AS (SELECT sample_id, len(input_ids) AS n, len(list_filter(COALESCE(labels, []), lambda x: x <> -100)) AS t FROM sft_tokens),
         c AS (SELECT sample_id, n - t AS src, t, CASE WHEN t * 2 < 1024 THEN 1024 WHEN (n - t) * 2 < 1024 THEN 1024 - (n - t) ELSE CAST(floor(1024 * (CAST(t AS DOUBLE) / GREATEST(n, 1))) AS BIGINT) END AS most FROM s WHERE t <= n)
         SELECT sample_id, CAST(LEAST(GREATEST(1024 - LEAST(most, t), 0), src) AS INT) AS source, CAST(LEAST(most, t) AS INT) AS target FROM c""",
+    "token_cut_turns": f"""WITH RECURSIVE t AS (SELECT sample_id, COALESCE(input_ids, []) AS x, list_concat(COALESCE(labels, []), list_transform(range(0, GREATEST(len(COALESCE(input_ids, [])) - len(COALESCE(labels, [])), 0)), lambda i: -100))[1:len(COALESCE(input_ids, []))] AS y FROM sft_tokens),
+        a AS (SELECT *, list_filter(range(1, len(y) + 1), lambda i: y[i] = -100 AND (i = 1 OR y[i - 1] <> -100)) AS a, list_concat(list_filter(range(2, len(y) + 1), lambda i: y[i] <> -100 AND y[i - 1] = -100), [len(y) + 1]) AS b FROM t WHERE len(x) > {LENGTH}),
+        r AS (SELECT sample_id, 0 AS k, CAST(0 AS BIGINT) AS used FROM a
+        UNION ALL SELECT sample_id, k + 1, used + LEAST(GREATEST(cut - LEAST(most, t), 0), s) + LEAST(most, t) FROM (SELECT sample_id, k, used, s, t, cut, CASE WHEN t * 2 < cut THEN cut WHEN s * 2 < cut THEN cut - s ELSE CAST(trunc(cut * (CAST(t AS DOUBLE) / GREATEST(s + t, 1))) AS BIGINT) END AS most FROM (
+            SELECT sample_id, k, used, b[k + 1] - a[k + 1] AS s, COALESCE(a[k + 2], len(y) + 1) - b[k + 1] AS t, {LENGTH} - used AS cut FROM r JOIN a USING (sample_id) WHERE k < len(a) AND used < {LENGTH})))
+        SELECT sample_id, CAST(MAX(used) AS INT) AS n, CAST(MAX(used) AS INT) AS n_labels FROM r GROUP BY sample_id UNION ALL SELECT sample_id, CAST(len(x) AS INT), CAST(len(y) AS INT) FROM t WHERE len(x) <= {LENGTH}""",
+    "pack_knapsack": f"""WITH RECURSIVE l AS (SELECT LEAST(len(input_ids), {LENGTH - 1}) AS n FROM sft_tokens WHERE len(input_ids) > 0), h AS (SELECT list(c ORDER BY k) AS c FROM (SELECT k, COUNT(n) AS c FROM (SELECT unnest(range(1, {LENGTH})) AS k) LEFT JOIN l ON l.n = k GROUP BY k)),
+        r AS (SELECT 0 AS i, c, CAST({LENGTH - 1} AS BIGINT) AS room, 0 AS pack, CAST(0 AS BIGINT) AS n FROM h
+        UNION ALL SELECT i + 1, list_transform(c, lambda x, j: CASE WHEN j = pick THEN x - 1 ELSE x END), CASE WHEN fit IS NULL THEN {LENGTH - 1} ELSE room END - pick, CASE WHEN fit IS NULL THEN pack + 1 ELSE pack END, pick FROM (
+            SELECT *, COALESCE(fit, top) AS pick FROM (SELECT i, c, room, pack, list_max(list_filter(range(1, room + 1), lambda k: c[k] > 0)) AS fit, list_max(list_filter(range(1, {LENGTH}), lambda k: c[k] > 0)) AS top FROM r)) WHERE top IS NOT NULL)
+        SELECT CAST(pack AS BIGINT) AS pack, CAST(COUNT(*) AS INT) AS n_samples, CAST(SUM(n) AS INT) AS n_tokens, CAST({LENGTH} AS INT) AS n, CAST(COUNT(*) AS INT) AS segments FROM r WHERE i > 0 GROUP BY pack""",
     "overlength_skipped": f"SELECT COUNT(*) AS sequences, COUNT(*) FILTER (len(input_ids) >= {LENGTH}) AS skipped FROM sft_tokens",
     "overlength_kept": f"SELECT sample_id FROM sft_tokens WHERE GREATEST(len(input_ids), COALESCE(len(labels), 0)) < {LENGTH}",
 }
