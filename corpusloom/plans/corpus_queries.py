@@ -135,6 +135,7 @@ SQL = {
         COUNT(*) FILTER (kind = 'object' AND doi IS NOT NULL) AS with_doi, COUNT(*) FILTER (kind = 'object' AND has_body) AS with_body, COUNT(*) FILTER (kind = 'object' AND doi IS NOT NULL AND has_body) AS with_both, COUNT(*) FILTER (kind = 'object' AND doi IS NULL AND NOT has_body) AS with_neither, COUNT(DISTINCT doi) AS distinct_dois FROM l GROUP BY corpus""",
     "text_filter_statistics": f"""{_TEXTS} SELECT CASE WHEN GROUPING(source) = 1 THEN 'TOTAL' ELSE source END AS source, COUNT(*) AS lines, COUNT(*) FILTER (outcome = 'kept') AS kept, COUNT(*) FILTER (outcome IN ('empty', 'short')) AS empty_or_short, COUNT(*) FILTER (outcome = 'malformed') AS malformed, COUNT(*) FILTER (outcome = 'missing') AS missing FROM l GROUP BY ROLLUP (source)""",
     "sorted_sources": "SELECT source, n, rank, rank % 8 AS worker FROM (SELECT source, n, row_number() OVER (ORDER BY n DESC, source) - 1 AS rank FROM (SELECT source, CAST(SUM(strlen(COALESCE(line, ''))) AS BIGINT) AS n FROM job_lines GROUP BY source))",
+    "paper_texts": source_queries.SQL["record_texts"].replace("md5(t) END AS text FROM r", "t END AS text FROM r WHERE outcome = 'kept'").replace("SELECT line_id, outcome, CASE", "SELECT line_id, CASE"),
     "key_normalize": f"SELECT row_id, {_DOI} AS key FROM doi_counts",
     "key_counts": f"SELECT key, COUNT(*) AS n FROM (SELECT {_DOI} AS key FROM doi_counts) WHERE key IS NOT NULL GROUP BY key",
     "cmp_key_counts": f"{_MERGED} SELECT doi, CAST(count_a AS BIGINT) AS count_a, CAST(count_b AS BIGINT) AS count_b FROM m",

@@ -189,6 +189,16 @@ SQL = {
         UNION ALL SELECT sample_id, k + 1, used + LEAST(GREATEST(cut - LEAST(most, t), 0), s) + LEAST(most, t) FROM (SELECT sample_id, k, used, s, t, cut, CASE WHEN t * 2 < cut THEN cut WHEN s * 2 < cut THEN cut - s ELSE CAST(trunc(cut * (CAST(t AS DOUBLE) / GREATEST(s + t, 1))) AS BIGINT) END AS most FROM (
             SELECT sample_id, k, used, b[k + 1] - a[k + 1] AS s, COALESCE(a[k + 2], len(y) + 1) - b[k + 1] AS t, {LENGTH} - used AS cut FROM r JOIN a USING (sample_id) WHERE k < len(a) AND used < {LENGTH})))
         SELECT sample_id, CAST(MAX(used) AS INT) AS n, CAST(MAX(used) AS INT) AS n_labels FROM r GROUP BY sample_id UNION ALL SELECT sample_id, CAST(len(x) AS INT), CAST(len(y) AS INT) FROM t WHERE len(x) <= {LENGTH}""",
+    "pack_knapsack_batches": f"""WITH RECURSIVE l AS (SELECT sample_id // 1000 AS batch, len(input_ids) AS n FROM sft_tokens WHERE len(input_ids) > 0 AND len(input_ids) <= {LENGTH}), h AS (SELECT batch, list(c ORDER BY k) AS c FROM (SELECT b.batch, k, COUNT(l.n) AS c FROM (SELECT DISTINCT batch FROM l) b CROSS JOIN (SELECT unnest(range(1, {LENGTH + 1})) AS k) LEFT JOIN l ON l.n = k AND l.batch = b.batch GROUP BY b.batch, k) GROUP BY batch),
+        r AS (SELECT batch, 0 AS i, c, CAST({LENGTH} AS BIGINT) AS room, 0 AS pack, CAST(0 AS BIGINT) AS n FROM h
+        UNION ALL SELECT batch, i + 1, list_transform(c, lambda x, j: CASE WHEN j = pick THEN x - 1 ELSE x END), CASE WHEN fit IS NULL THEN {LENGTH} ELSE room END - pick, CASE WHEN fit IS NULL THEN pack + 1 ELSE pack END, pick FROM (
+            SELECT *, COALESCE(fit, top) AS pick FROM (SELECT batch, i, c, room, pack, list_max(list_filter(range(1, room + 1), lambda k: c[k] > 0)) AS fit, list_max(list_filter(range(1, {LENGTH + 1}), lambda k: c[k] > 0)) AS top FROM r)) WHERE top IS NOT NULL)
+        SELECT CAST(batch AS BIGINT) AS batch, CAST(pack AS BIGINT) AS pack, CAST(COUNT(*) AS INT) AS n_samples, CAST(SUM(n) AS INT) AS n_tokens, CAST({LENGTH + 1} AS INT) AS n FROM r WHERE i > 0 GROUP BY batch, pack""",
+    "hdl_processed_sft": f"""WITH RECURSIVE d AS (SELECT example_id, COALESCE(_system, '') AS s, list_transform(list_concat(_prompt, _response), lambda x: strlen(COALESCE(x.content, ''))) AS t FROM sft_examples WHERE {_OK}),
+        r AS (SELECT example_id, 0 AS k, CAST(0 AS BIGINT) AS used, CAST(0 AS BIGINT) AS trained FROM d
+        UNION ALL SELECT example_id, k + 1, used + LEAST(GREATEST(cut - LEAST(most, t), 0), s) + LEAST(most, t), CASE WHEN k = 0 THEN LEAST(most, t) ELSE trained END FROM (SELECT *, CASE WHEN t * 2 < cut THEN cut WHEN s * 2 < cut THEN cut - s ELSE CAST(trunc(cut * (CAST(t AS DOUBLE) / (s + t))) AS BIGINT) END AS most FROM (
+            SELECT r.example_id, k, used, trained, d.t[len(d.t) - 2 * k - 1] + 2 + CASE WHEN len(d.t) = 2 * k + 2 THEN 1 + CASE WHEN d.s <> '' THEN 1 + strlen(d.s) ELSE 0 END ELSE 0 END AS s, d.t[len(d.t) - 2 * k] + 1 AS t, 512 - used AS cut FROM r JOIN d USING (example_id) WHERE 2 * k < len(d.t) AND used < 512)))
+        SELECT example_id, CAST(MAX(used) AS INT) AS n, CAST(arg_max(trained, k) AS INT) AS trained FROM r GROUP BY example_id""",
     "pack_knapsack": f"""WITH RECURSIVE l AS (SELECT LEAST(len(input_ids), {LENGTH - 1}) AS n FROM sft_tokens WHERE len(input_ids) > 0), h AS (SELECT list(c ORDER BY k) AS c FROM (SELECT k, COUNT(n) AS c FROM (SELECT unnest(range(1, {LENGTH})) AS k) LEFT JOIN l ON l.n = k GROUP BY k)),
         r AS (SELECT 0 AS i, c, CAST({LENGTH - 1} AS BIGINT) AS room, 0 AS pack, CAST(0 AS BIGINT) AS n FROM h
         UNION ALL SELECT i + 1, list_transform(c, lambda x, j: CASE WHEN j = pick THEN x - 1 ELSE x END), CASE WHEN fit IS NULL THEN {LENGTH - 1} ELSE room END - pick, CASE WHEN fit IS NULL THEN pack + 1 ELSE pack END, pick FROM (
