@@ -4,12 +4,14 @@ Documents are searched in two steps. A filter over whole Arrow batches hashes ev
 document with a rolling Karp-Rabin hash and keeps the documents in which one of the items' runs occurs: the shared-token
 seeds. Only those are tiled: greedy string tiling marks, for each item with a seed, the longest common run first, found by
 Karp-Rabin, then the next that doesn't overlap, down to ``least`` words. Tiles that another item has as well don't count.
-The items are held-out sets of bounded size; beyond ``ITEM_LIMIT`` bytes they are searched in blocks, and what is an item's
-own is decided for each document over the matches of all blocks together.
+Items of more than ``ITEM_LIMIT`` bytes are searched in blocks, and what is an item's own is decided for each document over the
+matches of all blocks together. One pass over all documents before that keeps those in which a bit filter of bounded size, made of the runs of all
+items, has a run; only they are written and searched block by block. The filter lets some documents too many through and none too few.
 """
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import pickle
 import re
@@ -31,6 +33,10 @@ LEAST = 12
 #: UTF-8 bytes of item texts that are sent to the tasks at once; more are searched in as many blocks. Their index takes about four times as many.
 ITEM_LIMIT = 16 << 20
 
+#: Bits of the filter of all items' runs, as a power of two, at most; and bits that each run sets.
+FILTER_POWER, PROBES = 29, 6
+_FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)
+
 _INVISIBLE = dict.fromkeys([0xAD, *range(0x200B, 0x2010), 0x2060, 0xFEFF])
 _LETTERS = {ord("ß"): "ss", ord("æ"): "ae", ord("œ"): "oe", ord("ø"): "o", ord("đ"): "d", ord("ł"): "l", ord("ı"): "i", ord("ſ"): "s"}
 # A word broken at a line's end: the hyphen, the break and whatever marks the next line's start.
@@ -142,6 +148,42 @@ def mixed(codes: np.ndarray) -> np.ndarray:
     return z ^ (z >> np.uint64(31))
 
 
+class WordCodes(dict):
+    """64 bits of each word, whatever the vocabulary; kept for words that recur."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 1_000_000:
+            self.clear()
+        self[word] = code = int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+        return code
+
+
+class RunFilter:
+    """Which runs of ``least`` words some item has, with few wrong yes and no wrong no."""
+
+    def __init__(self, texts: Iterator[str | None], runs: int, least: int) -> None:
+        self.least, self.power = least, max(10, min(FILTER_POWER, int(np.ceil(np.log2(max(runs, 1) * 12)))))
+        flags, codes = np.zeros(1 << self.power, bool), WordCodes()
+        for text in texts:
+            hashes = self._hashes(text, codes)
+            for f in _FACTORS[:PROBES]:
+                flags[(hashes * f) >> np.uint64(64 - self.power)] = True
+        self.bits = np.packbits(flags)
+
+    def _hashes(self, text: str | None, codes: WordCodes) -> np.ndarray:
+        seq = words(text)
+        return run_hashes(np.fromiter(map(codes.__getitem__, seq), np.uint64, len(seq)), self.least)
+
+    def any(self, text: str | None, codes: WordCodes) -> bool:
+        hashes = self._hashes(text, codes)
+        for f in _FACTORS[:PROBES]:
+            at = (hashes * f) >> np.uint64(64 - self.power)
+            hashes = hashes[(self.bits[at >> np.uint64(3)] >> (np.uint64(7) - (at & np.uint64(7))).astype(np.uint8)) & 1 == 1]
+            if not len(hashes):
+                return False
+        return True
+
+
 def tiles(document: np.ndarray, text: np.ndarray, seeds: list[tuple[int, int]], least: int) -> list[tuple[int, int, int]]:
     """Greedy string tiling: (position in document, in text, length) of the longest common runs that don't overlap.
 
@@ -269,13 +311,22 @@ def leaked_items(documents: DataFrame, items: DataFrame, texts: tuple[str, ...]
     blocks = max(1, -(-size // ITEM_LIMIT))
     rows = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).where(F.length("text") >= 2 * least - 1)
     held = items.select(F.col(item_id).cast("bigint").alias("item_id"), *texts)
+    block = lambda k: held if blocks == 1 else held.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k)
     if blocks > 1:
+        # a word takes two bytes at least, so there are at most half as many runs as bytes
+        runs = documents.sparkSession.sparkContext.broadcast(RunFilter((t for k in range(blocks) for r in block(k).toLocalIterator() for t in r[1:]), size // 2, least))
+
+        def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            codes = WordCodes()
+            for b in batches:
+                yield b.filter(pa.array([runs.value.any(t, codes) for t in b.column(1).to_pylist()], pa.bool_()))
+
+        rows = rows.mapInArrow(likely, "doc_id bigint, text string")
         # one number for each row, as ids may repeat; written, as numbers of rows read again could differ
         rows = checkpointed(rows.withColumn("row", F.monotonically_increasing_id()))
     out = None
     for k in range(blocks):
-        part = held if blocks == 1 else held.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k)
-        index = Items.of([(r[0], t) for r in part.collect() for t in r[1:]], least)
+        index = Items.of([(r[0], t) for r in block(k).collect() for t in r[1:]], least)
         shared = documents.sparkSession.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:

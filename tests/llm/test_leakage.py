@@ -108,3 +108,18 @@ def test_a_run_shared_by_items_of_different_blocks_is_no_leak(spark, monkeypatch
     assert {x[0] for x in whole} == {*range(20), 51, None}
     monkeypatch.setattr(L, "ITEM_LIMIT", 600)
     assert sorted((tuple(x) for x in L.leaked_items(docs, items).collect()), key=str) == whole
+
+
+def test_the_filter_of_runs_misses_none(monkeypatch):
+    import random
+
+    draw = random.Random(3)
+    vocabulary = [f"w{i}" for i in range(400)]
+    texts = [" ".join(draw.choice(vocabulary) for _ in range(40)) for _ in range(50)]
+    for power in (29, 10):
+        monkeypatch.setattr(L, "FILTER_POWER", power)
+        flt, codes = L.RunFilter(iter([*texts, None, "short"]), 50 * 40, 12), L.WordCodes()
+        assert all(flt.any(f"before it {' '.join(t.split()[5:20])} and behind", codes) for t in texts)
+        others = [" ".join(draw.choice(vocabulary) for _ in range(60)) for _ in range(100)]
+        assert power == 10 or sum(flt.any(t, codes) for t in others) < 10
+        assert not flt.any(None, codes)
