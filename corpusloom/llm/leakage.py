@@ -134,12 +134,15 @@ class Items:
 
     def meetings(self, document: np.ndarray, hashes: np.ndarray) -> dict[int, list[tuple[int, int]]]:
         """text -> [(position in the document, in the text)] of the runs at ``document`` whose hashes are given."""
-        by: dict[int, list[tuple[int, int]]] = {}
         low, high = np.searchsorted(self.seeds, hashes), np.searchsorted(self.seeds, hashes, side="right")
-        for d, a, b in zip(document.tolist(), low.tolist(), high.tolist(), strict=True):
-            for k, t in zip(self.text_of[a:b].tolist(), self.at[a:b].tolist(), strict=True):
-                by.setdefault(k, []).append((d, t - int(self.begins[k])))
-        return by
+        n = high - low
+        # all meetings behind one another: the n-th run of equal hash for each position
+        at = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
+        texts = self.text_of[at]
+        pairs = np.stack([np.repeat(document, n), self.at[at] - self.begins[texts]], 1)
+        order = np.argsort(texts, kind="stable")
+        cuts = np.flatnonzero(np.diff(texts[order])) + 1
+        return {int(texts[g[0]]): [tuple(p) for p in pairs[g].tolist()] for g in np.split(order, cuts) if len(g)}
 
 
 def mixed(codes: np.ndarray) -> np.ndarray:
