@@ -271,7 +271,8 @@ def from_chat(df: DataFrame, m: Mapping = OPENAI) -> DataFrame:
         called = lambda x, i: role(x).isin(ASSISTANT, FUNCTION) & F.get("__calls", i).isNotNull()
         rows = rows.withColumn("__said", F.transform("__said", lambda x, i: F.when(called(x, i), turn(FUNCTION, F.get("__calls", i))).otherwise(own(x)))).drop("__calls")
     known = F.forall("__said", lambda x: x["role"] != "unknown")
-    rows = rows.withColumn("__good", known).withColumn("__said", merged_tool_results(F.col("__said")))
+    # a generated column is computed once: filters on it aren't pushed into what makes it
+    rows = rows.withColumn("__good", known).withColumn("__merged", F.explode(F.array(merged_tool_results(F.col("__said"))))).drop("__said").withColumnRenamed("__merged", "__said")
     n = F.size("__said")
     fits = lambda x, i: F.when(i % 2 == 0, x["role"].isin(USER, OBSERVATION)).otherwise(x["role"].isin(ASSISTANT, FUNCTION))
     good = F.col("__good") & F.forall(F.transform("__said", fits), lambda ok: ok) & (n % 2 == (1 if m.ranking else 0)) & (n > 0)
