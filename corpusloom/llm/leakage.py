@@ -37,8 +37,8 @@ ITEM_LIMIT = 16 << 20
 FILTER_POWER, PROBES = 29, 6
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)
 
-_INVISIBLE = dict.fromkeys([0xAD, *range(0x200B, 0x2010), 0x2060, 0xFEFF])
-_LETTERS = {ord("ß"): "ss", ord("æ"): "ae", ord("œ"): "oe", ord("ø"): "o", ord("đ"): "d", ord("ł"): "l", ord("ı"): "i", ord("ſ"): "s"}
+_INVISIBLE = re.compile("[\u00ad\u200b-\u200f\u2060\ufeff]")
+_LETTERS = {"ß": "ss", "æ": "ae", "œ": "oe", "ø": "o", "đ": "d", "ł": "l", "ı": "i", "ſ": "s"}
 # A word broken at a line's end: the hyphen, the break and whatever marks the next line's start.
 _BROKEN = re.compile("(?<=[^\\W\\d_])[-‐‑¬][^\\S\\r\\n\\x0b\\x0c\\x85\\u2028\\u2029]*(?:\\r\\n|[\\r\\n\\x0b\\x0c\\x85\\u2028\\u2029])[^\\w\\n]*(?=[^\\W\\d_])")
 _MARKS = re.compile("[\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff\ufe20-\ufe2f]")
@@ -54,13 +54,17 @@ def words(text: str | None) -> list[str]:
     if not text:
         return []
     if not text.isascii():
-        text = text.translate(_INVISIBLE)
+        text = _INVISIBLE.sub("", text)
         if not text.isascii():
             text = _MARKS.sub("", unicodedata.normalize("NFKD", text))
     if "-" in text or not text.isascii():
         text = _BROKEN.sub("", text)
     text = text.casefold()
-    return _WORD.findall(text if text.isascii() else text.translate(_LETTERS))
+    if not text.isascii():
+        for letter, spelled in _LETTERS.items():
+            if letter in text:
+                text = text.replace(letter, spelled)
+    return _WORD.findall(text)
 
 
 def run_hashes(codes: np.ndarray, length: int) -> np.ndarray:
