@@ -10,12 +10,12 @@ from __future__ import annotations
 
 import os
 import struct
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 MAGIC = b"MMIDIDX\x00\x00"
 VERSION = 1
@@ -144,36 +144,44 @@ def get(prefix: str, sequence: int, offset: int = 0, length: int | None = None,
     return np.memmap(f"{prefix}.bin", index.dtype, "r", at, (n,)) if mapped and n else np.fromfile(f"{prefix}.bin", index.dtype, n, offset=at)
 
 
-def read_store(spark: SparkSession, prefix: str, tokens_per_task: int = 4 << 20) -> DataFrame:
-    """(doc_id, seq_id, tokens): a store, cut into ranges of sequences of about equal tokens, one for each task.
+def _side_by_side(spark: SparkSession, stores: dict[str, str], tokens_per_task: int) -> DataFrame:
+    """(doc_id, seq_id, a column of tokens for each name in ``stores``): equally long stores, cut at the same sequences into ranges of about
+    equal tokens of all of them, one for each task. Documents are those of the first.
 
-    The driver looks up the ranges' bounds in the mapped index, a task maps the part of its range.
+    The driver looks up the ranges' bounds in the mapped indexes, a task maps the parts of its range.
     """
-    index = Mapped(prefix)
-    n = len(index.lengths)
-    size = (int(index.starts[-1]) // index.dtype.itemsize + int(index.lengths[-1])) if n else 0
-    parts = max(1, -(-size // tokens_per_task))
-    cuts = np.searchsorted(index.starts, [k * tokens_per_task * index.dtype.itemsize for k in range(1, parts)]) if n else []
-    bounds = np.unique(np.concatenate([[0], cuts, [n]])).astype(int)
-    ranges = [(int(a), int(b)) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    indexes = [Mapped(s) for s in stores.values()]
+    n = len(indexes[0].lengths)
+    before = lambda i: sum(int(x.starts[i]) // x.dtype.itemsize for x in indexes)
+    size = before(n - 1) + sum(int(x.lengths[-1]) for x in indexes) if n else 0
+    cuts = [bisect_left(range(n), at, key=before) for at in range(tokens_per_task, size, tokens_per_task)]
+    bounds = sorted({0, *cuts, n})
+    ranges = list(zip(bounds[:-1], bounds[1:], strict=True))
+
+    def rows(prefix: str, own: Mapped, lo: int, hi: int) -> list[np.ndarray]:
+        lengths, starts = own.lengths[lo:hi].astype(np.int64), own.starts[lo:hi]
+        data = np.fromfile(f"{prefix}.bin", own.dtype, int(lengths.sum()), offset=int(starts[0]))
+        at = ((starts - starts[0]) // own.dtype.itemsize).astype(int)
+        return [data[s : s + n].astype(np.int32) for s, n in zip(at, lengths, strict=True)]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = Mapped(prefix)
-        width = own.dtype.itemsize
+        own = {name: (s, Mapped(s)) for name, s in stores.items()}
+        ends = next(iter(own.values()))[1].ends
         for frame in batches:
             for a, b in zip(frame["a"], frame["b"], strict=True):
                 for lo in range(a, b, 4096):
                     hi = min(lo + 4096, b)
-                    lengths, starts = own.lengths[lo:hi].astype(np.int64), own.starts[lo:hi]
-                    data = np.fromfile(f"{prefix}.bin", own.dtype, int(lengths.sum()), offset=int(starts[0]))
-                    at = ((starts - starts[0]) // width).astype(int)
-                    rows = [data[s : s + n].astype(np.int32) for s, n in zip(at, lengths, strict=True)]
                     seq = np.arange(lo, hi)
-                    first, last = np.searchsorted(own.ends, [lo, hi], side="right")
-                    yield pd.DataFrame({"doc_id": first - 1 + np.searchsorted(np.asarray(own.ends[first:last]), seq, side="right"), "seq_id": seq, "tokens": rows})
+                    first, last = np.searchsorted(ends, [lo, hi], side="right")
+                    yield pd.DataFrame({"doc_id": first - 1 + np.searchsorted(np.asarray(ends[first:last]), seq, side="right"), "seq_id": seq} | {name: rows(s, x, lo, hi) for name, (s, x) in own.items()})
 
     listed = spark.createDataFrame(ranges or [(0, 0)], "a bigint, b bigint").repartition(max(1, len(ranges)), "a")
-    return listed.mapInPandas(run, "doc_id bigint, seq_id bigint, tokens array<int>")
+    return listed.mapInPandas(run, ", ".join(["doc_id bigint", "seq_id bigint", *(f"`{name}` array<int>" for name in stores)]))
+
+
+def read_store(spark: SparkSession, prefix: str, tokens_per_task: int = 4 << 20) -> DataFrame:
+    """(doc_id, seq_id, tokens): a store, cut into ranges of sequences of about equal tokens, one for each task."""
+    return _side_by_side(spark, {"tokens": prefix}, tokens_per_task)
 
 
 def _copied(spark: SparkSession, parts: list[tuple[str, bool]], target: str, dtype) -> tuple[int, int, int]:
@@ -277,16 +285,15 @@ def merge_stores(folder: str, prefix: str, keys: list[str], spark: SparkSession
     return out
 
 
-def packed_store(spark: SparkSession, prefix: str) -> DataFrame:
-    """(seq_id, one column for each field) of the stores ``prefix_packed_<field>_document``, which must be equally long."""
+def packed_store(spark: SparkSession, prefix: str, tokens_per_task: int = 4 << 20) -> DataFrame:
+    """(seq_id, one column for each field) of the stores ``prefix_packed_<field>_document``, which must be equally long.
+
+    A task reads its range of sequences from every store, so no tokens are shuffled for a join or broadcast.
+    """
     folder, base = os.path.split(prefix)
     head, tail = f"{base}_packed_", "_document.idx"
     fields = sorted(n[len(head) : -len(tail)] for n in os.listdir(folder or ".") if n.startswith(head) and n.endswith(tail))
     stores = {f: f"{prefix}_packed_{f}_document" for f in fields}
     if len({header(f"{s}.idx")[1] for s in stores.values()}) != 1:
         raise ValueError("the stores of a packed set are not equally long")
-    out = None
-    for f, s in stores.items():
-        d = read_store(spark, s).select("seq_id", F.col("tokens").alias(f))
-        out = d if out is None else out.join(d, "seq_id")
-    return out
+    return _side_by_side(spark, stores, tokens_per_task).drop("doc_id")

@@ -1,5 +1,6 @@
 import gzip
 import json
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -124,6 +125,24 @@ def test_token_store(spark, tmp_path):
         indexed.merge_stores(str(tmp_path), str(tmp_path / "m"), ["half_text"])
 
 
+def test_packed_store_reads_its_stores_without_a_join(spark, tmp_path):
+    prefix = str(tmp_path / "s")
+    rows = [(i, [i] * (i % 4), [-i] * (i % 7)) for i in range(60)]
+    d = spark.createDataFrame(rows, "seq int, input_ids array<int>, labels array<int>")
+    for f in ("input_ids", "labels"):
+        indexed.write_store(d, f"{prefix}_packed_{f}_document", ["seq"], "seq", f)
+    got = indexed.packed_store(spark, prefix)
+    assert sorted((r["seq_id"], r["input_ids"], r["labels"]) for r in got.collect()) == rows
+    # the listing of ranges is small whatever the tokens are, so a join of two readings broadcasts one of them through the driver
+    assert re.findall("Join|BroadcastExchange", got._jdf.queryExecution().executedPlan().toString()) == []
+    cut = indexed.packed_store(spark, prefix, tokens_per_task=20)
+    assert sorted((r["seq_id"], r["input_ids"], r["labels"]) for r in cut.collect()) == rows
+    assert cut.rdd.getNumPartitions() > 5  # ranges of equal tokens, cut at the same sequences in both stores
+    indexed.write_store(d.limit(3), f"{prefix}_packed_labels_document", ["seq"], "seq", "labels")
+    with pytest.raises(ValueError, match="equally long"):
+        indexed.packed_store(spark, prefix)
+
+
 def test_sinks(spark, tmp_path):
     d = spark.createDataFrame([("a",), (None,), ("b",)], "text string").coalesce(1)
     sinks.write_texts(d, str(tmp_path / "t"), rows=1)
